@@ -34,7 +34,8 @@ class RunContext:
     def ts(self) -> Column:
         if self.run_ts is None:
             return F.localtimestamp()
-        return F.lit(self.run_ts).cast("timestamp_ntz")
+        # From text, so the stamp does not depend on the driver's time zone.
+        return F.lit(self.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
     def user(self) -> Column:
         if self.run_user is None:

@@ -69,5 +69,5 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark)}/mapflow/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)
+
+

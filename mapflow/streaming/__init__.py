@@ -1,0 +1,3 @@
+from .stream_merge import stream_merge
+
+__all__ = ["stream_merge"]
