@@ -1,0 +1,61 @@
+import pytest
+
+from conftest import rows
+from mapflow import ColumnSpec, ModelSpec, RunContext, TableRef, TableRegistry
+from mapflow.operators import build_delta, classify_columns, distinct_except, load_truncate
+
+
+def C(t, l, src="S"):
+    return ColumnSpec(t, l, src)
+
+
+def _spec(**kw):
+    base = dict(source=TableRef("S"), target="DW.T", unique_key=("K",), delta=True,
+                columns=(C("K", "k"), C("V", "v"), C("NM", "upper(nm)"), C("DATA_SRC", "'DW.T'"),
+                         C("UPDATE_DT", "CURRENT_TIMESTAMP()"), C("X", "x", None)))
+    base.update(kw)
+    return ModelSpec(**base)
+
+
+def test_classification():
+    compared, outer = classify_columns(_spec())
+    assert [c.target for c in compared] == ["K", "V"]
+    assert [c.target for c in outer] == ["NM", "DATA_SRC", "UPDATE_DT", "X"]
+
+
+def test_null_in_compared_column_is_equal(spark):
+    reg = TableRegistry(spark).register_source(
+        "S", spark.createDataFrame([(1, None), (2, 2.0), (3, 3.0)], "k bigint, v double"))
+    spec = _spec(columns=(C("K", "k"), C("V", "v"), C("DATA_SRC", "'DW.T'")))
+    target = spark.createDataFrame([(1, None), (2, 9.0)], "K bigint, V double")
+    out = build_delta(spec, reg, target, RunContext())
+    assert out.columns == ["DATA_SRC", "K", "V"]
+    assert rows(out) == [("DW.T", 2, 2.0), ("DW.T", 3, 3.0)]
+
+
+def test_delta_after_truncate_load_is_empty(spark, store):
+    src = spark.createDataFrame([(1, 1.0), (2, None), (2, None)], "k bigint, v double")
+    reg = TableRegistry(spark).register_source("S", src)
+    spec = _spec(columns=(C("K", "k"), C("V", "v")))
+    target = load_truncate(store, "DW.T", src.toDF("K", "V"))
+    assert build_delta(spec, reg, target).count() == 0
+
+
+def test_outer_logic_must_use_compared_columns(spark):
+    reg = TableRegistry(spark).register_source("S", spark.createDataFrame([(1, 1.0, "a")], "k bigint, v double, nm string"))
+    spec = _spec(columns=(C("K", "k"), C("V", "v"), C("NM", "upper(nm)")))
+    target = spark.createDataFrame([(5, 1.0)], "K bigint, V double")
+    with pytest.raises(ValueError):
+        build_delta(spec, reg, target)
+
+
+def test_distinct_except_semantics(spark):
+    l = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (2, None), (3, "c")], "a int, b string")
+    r = spark.createDataFrame([(None, "b"), (2, None), (2, None)], "a int, b string")
+    assert rows(distinct_except(l, r)) == [(1, "a"), (3, "c")]
+
+
+def test_distinct_except_complex_types_fall_back(spark):
+    l = spark.createDataFrame([([1, 2],), ([3],)], "a array<int>")
+    r = spark.createDataFrame([([3],)], "a array<int>")
+    assert [x[0] for x in distinct_except(l, r).collect()] == [[1, 2]]
