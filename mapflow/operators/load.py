@@ -9,8 +9,11 @@
 
 Every write goes through ``TableStore``: replacing loads write a new version
 and never touch the files a reader (or the merge itself) is reading.  A merge
-input is staged with a reliable checkpoint first, so the duplicate-key check
-and the merge read the same rows and the input is not recomputed.
+input is first written as Parquet to a fresh folder under the shared
+checkpoint root, so the duplicate-key check and the merge read the same rows,
+the input (often a delta over the whole target) is computed once, and a lost
+executor recomputes from files, not from the lineage.  The staged folder is
+removed when the load has committed.
 """
 
 from __future__ import annotations
@@ -19,20 +22,57 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.audit import RunContext
-from ..session import checkpoint_root
-from ..sources.store import TableStore
+from ..session import scratch_dir
+from ..sources.store import TableStore, remove_path
 from ..spec import DEFAULT_UPDATE_EXCLUDE, ModelSpec
 from .conform import landing_projection
+from .join import bounded_count
 from .keys import assert_unique_keys, assign_surrogate_keys
 from .merge import align_to, merge_frames
 
-
-def stage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+# A merge batch is broadcast (target not shuffled) only under both bounds:
+# an exact row count, and rows x schema width as an in-memory estimate.
+MERGE_BROADCAST_MAX_ROWS = 2_000_000
+MERGE_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+def _row_width(df: DataFrame) -> int:
+    """Bytes per row in memory, estimated from the schema (strings count 64)."""
+    def width(t: T.DataType) -> int:
+        if isinstance(t, (T.BooleanType, T.ByteType)):
+            return 1
+        if isinstance(t, (T.ShortType,)):
+            return 2
+        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+            return 4
+        if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+            return 8
+        if isinstance(t, T.DecimalType):
+            return 16
+        if isinstance(t, T.StructType):
+            return sum(width(f.dataType) for f in t.fields)
+        if isinstance(t, (T.ArrayType, T.MapType, T.BinaryType)):
+            return 256
+        return 64
+    return sum(width(f.dataType) for f in df.schema.fields) + 16
+
+
+def merge_strategy(batch: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> str:
+    """'broadcast' when the batch provably fits the bounds, else 'shuffle'."""
+    max_rows = MERGE_BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    max_bytes = MERGE_BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    limit = min(max_rows, max_bytes // _row_width(batch))
+    return "broadcast" if limit > 0 and bounded_count(batch, limit) is not None else "shuffle"
+
+
+def stage(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write ``df`` to a fresh folder in the shared checkpoint root; read it back."""
+    path = scratch_dir(df.sparkSession, "stage")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path), path
 
 
 def load_truncate(store: TableStore, table: str, df: DataFrame) -> DataFrame:
@@ -57,15 +97,26 @@ def load_insert_by_name(store: TableStore, table: str, df: DataFrame) -> DataFra
 def load_merge(store: TableStore, table: str, source: DataFrame, keys: Sequence[str],
                update_columns: Sequence[str] | None = None,
                exclude: Sequence[str] | None = DEFAULT_UPDATE_EXCLUDE,
-               check_duplicates: bool = True) -> DataFrame:
-    """Keyed upsert of ``source`` into ``table`` (created from ``source`` if absent)."""
-    staged = stage(source)
-    if check_duplicates:
-        assert_unique_keys(staged, keys)
-    if not store.exists(table):
-        store.overwrite(table, staged)
-    else:
-        store.overwrite(table, merge_frames(store.read(table), staged, keys, update_columns, exclude))
+               check_duplicates: bool = True, stage_input: bool = True,
+               strategy: str | None = None) -> DataFrame:
+    """Keyed upsert of ``source`` into ``table`` (created from ``source`` if absent).
+
+    ``stage_input=False`` skips staging when ``source`` is already a scan of
+    immutable files (a streaming micro-batch, a stored table).  ``strategy``
+    forces ``"shuffle"`` or ``"broadcast"``; by default a size check decides.
+    """
+    staged, path = stage(source) if stage_input else (source, None)
+    try:
+        if check_duplicates:
+            assert_unique_keys(staged, keys)
+        if not store.exists(table):
+            store.overwrite(table, staged)
+        else:
+            how = strategy or merge_strategy(staged)
+            store.overwrite(table, merge_frames(store.read(table), staged, keys, update_columns, exclude, how))
+    finally:
+        if path:
+            remove_path(source.sparkSession, path)
     return store.read(table)
 
 

@@ -7,6 +7,17 @@ keys never match.  Rows with a NULL key are split off before the join and
 passed straight through (target) or inserted (source): they cannot match, and
 left in the join they would all hash to one reducer.  With unique non-NULL
 keys on both sides (checked by ``keys.assert_unique_keys``) no key is hot.
+
+Two physical shapes, chosen by the caller from a proven size of the batch:
+
+* ``shuffle``: one full outer sort-merge join; both sides are shuffled on the
+  key.  Works for any batch size.
+* ``broadcast``: for a batch of bounded size.  The target is never shuffled:
+  (1) target LEFT JOIN broadcast(batch) gives every target row, updated where
+  matched; (2) the target's key column, semi-joined with the broadcast batch
+  keys, gives the matched keys (at most one row per batch row); (3) batch
+  LEFT ANTI matched keys gives the inserts.  Cost: one scan of the target,
+  one key-only scan, no shuffle of target rows.
 """
 
 from __future__ import annotations
@@ -57,15 +68,19 @@ def _all_not_null(alias: str | None, keys: Sequence[str]) -> Column:
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update_columns: Sequence[str] | None = None,
-                 exclude: Sequence[str] | None = DEFAULT_UPDATE_EXCLUDE) -> DataFrame:
+                 exclude: Sequence[str] | None = DEFAULT_UPDATE_EXCLUDE,
+                 strategy: str = "shuffle") -> DataFrame:
     """New target state after upserting ``source`` on ``keys``.
 
     ``update_columns`` lists what a match may overwrite; when omitted it is
     every target column except ``exclude``.  Unmatched source rows are
     inserted whole; target columns the source lacks are NULL for them.
+    ``strategy="broadcast"`` is only for a source whose size was checked.
     """
     if not keys:
         raise ValueError("a merge needs at least one key column")
+    if strategy not in ("shuffle", "broadcast"):
+        raise ValueError(f"unknown merge strategy {strategy!r}")
     schema = target.schema
     tkeys = _resolve(keys, target.columns, "key")
     src = align_to(source, schema)
@@ -74,6 +89,8 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
         updatable = {c.upper() for c in target.columns if c.upper() not in excl}
     else:
         updatable = {c.upper() for c in _resolve(update_columns, target.columns, "update")}
+    if strategy == "broadcast":
+        return _merge_broadcast(target, src, tkeys, updatable)
 
     t_ok = target.where(_all_not_null(None, tkeys))
     s_ok = src.where(_all_not_null(None, tkeys))
@@ -100,3 +117,22 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
         out.append(e.alias(f.name))
     merged = joined.select(*out)
     return merged.unionByName(t_null).unionByName(s_null)
+
+
+def _merge_broadcast(target: DataFrame, src: DataFrame, tkeys: list[str], updatable: set[str]) -> DataFrame:
+    flagged = src.withColumn("__matched", F.lit(True))
+    cond = None
+    for k in tkeys:
+        c = col(k, "t") == col(k, "s")
+        cond = c if cond is None else cond & c
+    joined = target.alias("t").join(F.broadcast(flagged.alias("s")), cond, "left")
+    hit = F.col("s.__matched").isNotNull()
+    kept = joined.select(*[
+        (F.when(hit, col(f.name, "s")).otherwise(col(f.name, "t")) if f.name.upper() in updatable
+         and f.name not in tkeys else col(f.name, "t")).alias(f.name)
+        for f in target.schema.fields
+    ])
+    matched_keys = (target.select(*[col(k) for k in tkeys]).where(_all_not_null(None, tkeys))
+                    .join(F.broadcast(src.select(*[col(k) for k in tkeys])), tkeys, "left_semi"))
+    inserts = src.join(matched_keys, tkeys, "left_anti")
+    return kept.unionByName(inserts)

@@ -7,7 +7,10 @@ Here each column is first split into (value-or-default, is-null) so plain
 equality is null-safe; both sides are de-duplicated (map-side partial
 aggregation, so a hot group of identical rows shrinks to one row per task
 before the shuffle), and the anti join then reuses the aggregation's hash
-partitioning: one shuffle per side.
+partitioning: one shuffle per side.  Float and double columns are keyed by
+their exact text (after folding -0.0 into 0.0; NaN equals NaN, as in Spark):
+Spark wraps float join keys in a normalisation expression, which would stop
+the join from reusing the aggregation's partitioning and add a shuffle.
 """
 
 from __future__ import annotations
@@ -44,20 +47,30 @@ def _encodable(schema: T.StructType) -> bool:
     return all(_default(f.dataType) is not None for f in schema.fields)
 
 
+def _is_float(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.FloatType, T.DoubleType))
+
+
 def _encode(df: DataFrame) -> DataFrame:
     out = []
     for i, f in enumerate(df.schema.fields):
         c = col(f.name)
-        out.append(F.coalesce(c, _default(f.dataType)).alias(f"__v{i}"))
+        if _is_float(f.dataType):
+            # shortest round-trip text: exact, and equal for equal values
+            v = F.when(c == 0, F.lit(0.0).cast(f.dataType)).otherwise(c).cast("string")
+            out.append(F.coalesce(v, F.lit("")).alias(f"__v{i}"))
+        else:
+            out.append(F.coalesce(c, _default(f.dataType)).alias(f"__v{i}"))
         out.append(c.isNull().alias(f"__n{i}"))
     return df.select(*out)
 
 
 def _decode(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*[
-        F.when(F.col(f"__n{i}"), F.lit(None).cast(f.dataType)).otherwise(F.col(f"__v{i}")).alias(f.name)
-        for i, f in enumerate(schema.fields)
-    ])
+    out = []
+    for i, f in enumerate(schema.fields):
+        v = F.col(f"__v{i}").cast(f.dataType) if _is_float(f.dataType) else F.col(f"__v{i}")
+        out.append(F.when(F.col(f"__n{i}"), F.lit(None).cast(f.dataType)).otherwise(v).alias(f.name))
+    return df.select(*out)
 
 
 def distinct_except(left: DataFrame, right: DataFrame) -> DataFrame:

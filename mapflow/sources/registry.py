@@ -87,4 +87,5 @@ def catalog_columns(spark: SparkSession, table: str | DataFrame) -> DataFrame:
         T.StructField("COLUMN_NAME", T.StringType(), False),
         T.StructField("DATA_TYPE", T.StringType(), False),
     ])
-    return spark.createDataFrame(rows, out_schema).orderBy("ORDINAL_POSITION")
+    # One local partition, rows already in ordinal order: no sort job needed.
+    return spark.createDataFrame(rows, out_schema)

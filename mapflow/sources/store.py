@@ -24,6 +24,13 @@ class TableNotFound(LookupError):
     pass
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library created (staged inputs)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, compression: str = "zstd"):
         self.spark = spark

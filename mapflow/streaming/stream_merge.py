@@ -41,7 +41,8 @@ def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         ctx = ctx_for_batch(batch_id) if ctx_for_batch else RunContext()
         df = transform(batch, ctx) if transform else batch
-        load_merge(store, table, df, keys, update_columns, exclude)
+        # The batch is a scan of files the offset log pins: re-reading it is exact.
+        load_merge(store, table, df, keys, update_columns, exclude, stage_input=False)
 
     writer = (stream.writeStream.foreachBatch(merge_batch)
               .option("checkpointLocation", checkpoint_location or scratch_dir(spark, f"stream-{table}")))

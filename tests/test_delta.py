@@ -59,3 +59,22 @@ def test_distinct_except_complex_types_fall_back(spark):
     l = spark.createDataFrame([([1, 2],), ([3],)], "a array<int>")
     r = spark.createDataFrame([([3],)], "a array<int>")
     assert [x[0] for x in distinct_except(l, r).collect()] == [[1, 2]]
+
+
+def test_distinct_except_doubles_exact(spark):
+    vals = [(0.1,), (-0.0,), (float("nan"),), (None,), (1e-300,), (123456789.123456789,), (2.5,)]
+    l = spark.createDataFrame(vals, "d double")
+    r = spark.createDataFrame([(0.0,), (float("nan"),), (2.5,)], "d double")
+    got = sorted((x[0] for x in distinct_except(l, r).collect()), key=repr)
+    assert got == sorted([0.1, None, 1e-300, 123456789.123456789], key=repr)
+
+
+def test_distinct_except_one_shuffle_per_side(spark):
+    from conftest import plan_text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        l = spark.range(100).selectExpr("id", "cast(id as double) / 3 as d", "cast(id as string) as s")
+        txt = plan_text(distinct_except(l, l.where("id > 50")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert txt.count("Arguments: hashpartitioning") == 2

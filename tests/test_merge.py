@@ -72,3 +72,34 @@ def test_merge_plan_is_one_full_outer_join(spark):
     s = spark.range(500, 1500).select(F.col("id").alias("K"), F.lit("y").alias("NM"))
     txt = plan_text(merge_frames(t, s, ["K"]))
     assert txt.count("SortMergeJoin FullOuter") == 1
+
+
+@pytest.mark.parametrize("how", ["shuffle", "broadcast"])
+def test_both_strategies_agree(spark, how):
+    t = spark.createDataFrame([(None, "tn", 1.0, "old", "old"), (1, "a", 1.0, "old", "old"),
+                               (2, "b", 2.0, "old", "old")], SCHEMA)
+    s = spark.createDataFrame([(None, "sn", 2.0, "new", "new"), (1, "A", 2.0, "new", "new"),
+                               (7, "g", 7.0, "new", "new")], "K bigint, NM string, BAL double, CREATE_BY string, UPDATE_BY string")
+    out = merge_frames(t, s.drop("CREATE_BY"), ["k"], strategy=how)
+    assert rows(out) == sorted([(None, "tn", 1.0, "old", "old"), (None, "sn", 2.0, None, "new"),
+                                (1, "A", 2.0, "old", "new"), (2, "b", 2.0, "old", "old"),
+                                (7, "g", 7.0, None, "new")], key=repr)
+
+
+def test_broadcast_merge_never_shuffles_target(spark):
+    t = spark.range(1000).select(F.col("id").alias("K"), F.lit("x").alias("NM"))
+    s = spark.range(500, 1500).select(F.col("id").alias("K"), F.lit("y").alias("NM"))
+    txt = plan_text(merge_frames(t, s, ["K"], strategy="broadcast"))
+    assert "SortMergeJoin" not in txt and "BroadcastHashJoin LeftOuter" in txt
+
+
+def test_load_merge_picks_strategy_by_size(spark, store, monkeypatch):
+    import mapflow.operators.load as L
+    assert L.merge_strategy(spark.range(10)) == "broadcast"
+    assert L.merge_strategy(spark.range(10), max_rows=5) == "shuffle"
+    s = spark.createDataFrame([(1, "a", 1.0, "n", "n")], SCHEMA)
+    load_merge(store, "DW.M", s, ["K"])
+    monkeypatch.setattr(L, "MERGE_BROADCAST_MAX_ROWS", 0)
+    assert L.merge_strategy(spark.range(10)) == "shuffle"
+    out = load_merge(store, "DW.M", spark.createDataFrame([(2, "b", 1.0, "n", "n")], SCHEMA), ["K"])
+    assert rows(out, "K") == [(1,), (2,)]
