@@ -60,6 +60,22 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+def key_profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(row count, largest count of one non-NULL key) in one aggregation job.
+
+    Counts are combined map-side per key, so a hot key costs one row per task
+    in the shuffle; the second, global aggregate sees one row per key group.
+    """
+    present = F.lit(True)
+    for k in keys:
+        present = present & col(k).isNotNull()
+    per_key = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__cnt"))
+    per_key = per_key.select("__cnt", present.alias("__present"))
+    row = per_key.agg(F.sum("__cnt").alias("rows"),
+                      F.max(F.when(F.col("__present"), F.col("__cnt"))).alias("dup")).first()
+    return int(row["rows"] or 0), int(row["dup"] or 0)
+
+
 def assert_unique_keys(df: DataFrame, keys: Sequence[str], sample: int = 5) -> None:
     """Fail when a non-NULL key value occurs twice (NULL keys never match anyway)."""
     present = df.where(F.expr(" AND ".join(f"{quote(k)} IS NOT NULL" for k in keys))) if keys else df
@@ -72,7 +88,10 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk_col: str, s
                           num_partitions: int | None = None) -> DataFrame:
     """Add ``sk_col`` = start_after + dense position of each row by ``order_by``.
 
-    Range-partition and sort by the order, then write the result with a
+    Range-partition and sort by the order plus a hash of the whole row as tie
+    breaker (so one order value held by many rows spreads over adjacent
+    partitions instead of landing in one, and ties number reproducibly), then
+    write the result with a
     reliable ``checkpoint`` (shared checkpoint folder) so partition contents
     cannot move between the two passes below, even if executors are lost.
     Pass 1 counts rows per partition (one row per partition reaches the
@@ -84,7 +103,8 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk_col: str, s
     checkpoint_root(df.sparkSession)
     start = int(start_after or 0)
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    ordered = df.repartitionByRange(n, *[col(c) for c in order_by]).sortWithinPartitions(*[col(c) for c in order_by])
+    order = [col(c) for c in order_by] + [F.xxhash64(*[col(c) for c in df.columns]).alias("__tie")]
+    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     staged = ordered.checkpoint(eager=True)
     with_pos = staged.select("*", F.spark_partition_id().alias("__pid"),
                              (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("__pos"))

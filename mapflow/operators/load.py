@@ -30,7 +30,7 @@ from ..sources.store import TableStore, remove_path
 from ..spec import DEFAULT_UPDATE_EXCLUDE, ModelSpec
 from .conform import landing_projection
 from .join import bounded_count
-from .keys import assert_unique_keys, assign_surrogate_keys
+from .keys import assert_unique_keys, assign_surrogate_keys, key_profile
 from .merge import align_to, merge_frames
 
 # A merge batch is broadcast (target not shuffled) only under both bounds:
@@ -60,12 +60,24 @@ def _row_width(df: DataFrame) -> int:
     return sum(width(f.dataType) for f in df.schema.fields) + 16
 
 
-def merge_strategy(batch: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> str:
-    """'broadcast' when the batch provably fits the bounds, else 'shuffle'."""
+def _broadcast_limit(batch: DataFrame, max_rows: int | None, max_bytes: int | None) -> int:
     max_rows = MERGE_BROADCAST_MAX_ROWS if max_rows is None else max_rows
     max_bytes = MERGE_BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    limit = min(max_rows, max_bytes // _row_width(batch))
-    return "broadcast" if limit > 0 and bounded_count(batch, limit) is not None else "shuffle"
+    return min(max_rows, max_bytes // _row_width(batch))
+
+
+def merge_strategy(batch: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
+                   rows: int | None = None) -> str:
+    """'broadcast' when the batch provably fits the bounds, else 'shuffle'.
+
+    ``rows`` is an exact count when the caller has one; otherwise a bounded
+    count reads at most limit+1 rows."""
+    limit = _broadcast_limit(batch, max_rows, max_bytes)
+    if limit <= 0:
+        return "shuffle"
+    if rows is not None:
+        return "broadcast" if rows <= limit else "shuffle"
+    return "broadcast" if bounded_count(batch, limit) is not None else "shuffle"
 
 
 def stage(df: DataFrame) -> tuple[DataFrame, str]:
@@ -107,12 +119,15 @@ def load_merge(store: TableStore, table: str, source: DataFrame, keys: Sequence[
     """
     staged, path = stage(source) if stage_input else (source, None)
     try:
+        rows = None
         if check_duplicates:
-            assert_unique_keys(staged, keys)
+            rows, dup = key_profile(staged, keys)
+            if dup > 1:
+                assert_unique_keys(staged, keys)  # raises, with examples
         if not store.exists(table):
             store.overwrite(table, staged)
         else:
-            how = strategy or merge_strategy(staged)
+            how = strategy or merge_strategy(staged, rows=rows)
             store.overwrite(table, merge_frames(store.read(table), staged, keys, update_columns, exclude, how))
     finally:
         if path:

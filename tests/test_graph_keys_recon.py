@@ -52,3 +52,11 @@ def test_duplicate_keys_and_recon(spark):
     rep = reconcile(t, s)
     assert rep["target_count"] == 5 and rep["source_count"] == 1 and rep["readable"]
     assert len(rep["target_only_sample"]) == 4
+
+
+def test_key_profile(spark):
+    from mapflow.operators.keys import key_profile
+    t = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e"), (None, "f")], "K int, V string")
+    assert key_profile(t, ["K"]) == (6, 2)
+    assert key_profile(t.where("K = 2 or K is null"), ["K"]) == (4, 1)
+    assert key_profile(t.where("K > 5"), ["K"]) == (0, 0)

@@ -91,3 +91,16 @@ def test_store_ignores_uncommitted_versions(spark, store):
     assert rows(store.read("DW.T")) == [(1,)]
     load_truncate(store, "DW.T", spark.createDataFrame([(3,)], "K bigint"))
     assert store.version("DW.T") == 3 and rows(store.read("DW.T")) == [(3,)]
+
+
+def test_surrogate_keys_hot_order_value_spreads(spark):
+    # a third of the rows share one order value
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("G"),
+                                  F.col("id").alias("ID"))
+    out = assign_surrogate_keys(df, ["G"], "SK", num_partitions=6)
+    parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in parts) < 1000
+    got = sorted((r["G"], r["SK"]) for r in out.collect())
+    assert sorted(sk for _, sk in got) == list(range(1, 3001))
+    # numbering follows the order column
+    assert [g for g, _ in sorted(got, key=lambda x: x[1])] == sorted(g for g, _ in got)
