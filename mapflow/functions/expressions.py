@@ -66,7 +66,7 @@ def qualify_join_lhs(condition: str, main_alias: str = "source") -> str:
 
 def split_conjuncts(condition: str) -> list[str]:
     """Split on top-level AND (outside parentheses and literals)."""
-    masked = _map_outside_quotes(condition, lambda s: s)
+    masked = condition
     out, depth, start, i = [], 0, 0, 0
     spans = [(m.start(), m.end()) for m in _QUOTED.finditer(masked)]
 

@@ -28,8 +28,10 @@ JOIN_TYPES = {
     "FULL OUTER": "full_outer",
 }
 
-# Largest row count a side may have to be broadcast for a non-equi join.
-THETA_BROADCAST_MAX_ROWS = 1_000_000
+# Largest row count a side may have to be broadcast for a non-equi join.  Each
+# row of the other side is compared with every broadcast row, so the cost is
+# (other side) x (this bound): keep it to lookup-table sizes.
+THETA_BROADCAST_MAX_ROWS = 10_000
 
 
 class JoinError(ValueError):

@@ -8,7 +8,6 @@ which is the case in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,7 +66,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/mapflow/{purpose}-{uuid.uuid4().hex[:12]}"
-
-
-
-

@@ -41,3 +41,33 @@ def test_invalid_specs_rejected():
         ModelSpec.from_config(CONFIG, materialization="weird")
     with pytest.raises(ValueError):
         ModelSpec.from_config(CONFIG, delta=True, group_by=("ITEM_CD",))
+
+
+def test_config_shape_runs_end_to_end(spark, registry):
+    """A workbook-shaped config with joins, where and group by becomes one plan."""
+    from conftest import rows
+    from mapflow.operators import build_model
+    cfg = {
+        "Source": {"Type": "source", "Schema": "testdata", "Table Name": "orders"},
+        "Target": {"Schema": "DW", "Table Name": "A_NATION_ORDERS", "materialization": "table"},
+        "Columns": [
+            {"Target Column": "NATION_NM", "Source Table": "nation", "Logic": "n.n_name"},
+            {"Target Column": "ORDER_CNT", "Source Table": "orders", "Logic": "count(*)"},
+            {"Target Column": "MAX_AMT", "Source Table": "orders", "Logic": "max(main.o_totalprice)"},
+        ],
+        "Joins": [
+            {"Join Type": "INNER", "Table Type": "source", "Table Name": "customer", "Alias": "c",
+             "Join Condition": "o_custkey = c.c_custkey"},
+            {"Join Type": "LEFT", "Table Type": "source", "Table Name": "nation", "Alias": "n",
+             "Join Condition": "c.c_nationkey = n.n_nationkey"},
+        ],
+        "Where": "main.o_orderstatus = 'F'",
+        "Group By": ["n.n_name"],
+    }
+    got = rows(build_model(ModelSpec.from_config(cfg), registry))
+    want = rows(spark.sql(
+        "select n.n_name, count(*), max(o.o_totalprice) from parquet.`/root/testdata/sf0.001/orders.parquet` o "
+        "join parquet.`/root/testdata/sf0.001/customer.parquet` c on o.o_custkey = c.c_custkey "
+        "left join parquet.`/root/testdata/sf0.001/nation.parquet` n on c.c_nationkey = n.n_nationkey "
+        "where o.o_orderstatus = 'F' group by n.n_name"))
+    assert got == want and len(got) > 5
