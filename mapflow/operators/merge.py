@@ -1,23 +1,21 @@
 """Keyed upsert as one DataFrame plan: the new state of the target.
 
-``target FULL OUTER JOIN source ON key``; per column, a matched row takes the
-source value when the column is updatable and keeps the target value when it
-is not; an unmatched row keeps its own side.  Keys use plain ``=``, so NULL
-keys never match.  Rows with a NULL key are split off before the join and
-passed straight through (target) or inserted (source): they cannot match, and
-left in the join they would all hash to one reducer.  With unique non-NULL
-keys on both sides (checked by ``keys.assert_unique_keys``) no key is hot.
-
-Two physical shapes, chosen by the caller from a proven size of the batch:
-
-* ``shuffle``: one full outer sort-merge join; both sides are shuffled on the
-  key.  Works for any batch size.
-* ``broadcast``: for a batch of bounded size.  The target is never shuffled:
-  (1) target LEFT JOIN broadcast(batch) gives every target row, updated where
-  matched; (2) the target's key column, semi-joined with the broadcast batch
-  keys, gives the matched keys (at most one row per batch row); (3) batch
-  LEFT ANTI matched keys gives the inserts.  Cost: one scan of the target,
-  one key-only scan, no shuffle of target rows.
+Per column, a matched row takes the source value when the column is updatable
+and keeps the target value when it is not; an unmatched row keeps its own
+side.  Keys use plain ``=``, so NULL keys never match.  The plan has two parts:
+
+* updated target: ``target LEFT JOIN batch ON key`` gives every target row,
+  updated where matched;
+* inserts: ``batch LEFT ANTI (target keys)`` gives the batch rows with a new key.
+
+With a batch of proven size (the caller checks) both joins broadcast the batch
+and the target is never shuffled: the target key column is semi-joined with the
+broadcast batch keys, so the inserts' anti join sees at most one row per batch
+row.  Otherwise both joins shuffle; the target is the streamed (left) side of
+the left join, so AQE can split a partition made hot by a duplicated key or
+many NULL keys, and the target keys are de-duplicated (map-side partial
+aggregation) before the anti join's shuffle, so no key is hot there either.
+A full outer join would shuffle less but AQE cannot split its skew.
 """
 
 from __future__ import annotations
@@ -89,50 +87,27 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
         updatable = {c.upper() for c in target.columns if c.upper() not in excl}
     else:
         updatable = {c.upper() for c in _resolve(update_columns, target.columns, "update")}
-    if strategy == "broadcast":
-        return _merge_broadcast(target, src, tkeys, updatable)
+    return _merge(target, src, tkeys, updatable, strategy == "broadcast")
 
-    t_ok = target.where(_all_not_null(None, tkeys))
-    s_ok = src.where(_all_not_null(None, tkeys))
-    t_null = target.where(~_all_not_null(None, tkeys))
-    s_null = src.where(~_all_not_null(None, tkeys))
 
-    t, s = t_ok.alias("t"), s_ok.alias("s")
-    cond = None
-    for k in tkeys:
-        c = col(k, "t") == col(k, "s")
-        cond = c if cond is None else cond & c
-    joined = t.join(s, cond, "full_outer")
-    in_t = col(tkeys[0], "t").isNotNull()
-    in_s = col(tkeys[0], "s").isNotNull()
-    out = []
-    for f in schema.fields:
-        tv, sv = col(f.name, "t"), col(f.name, "s")
-        if f.name in tkeys:
-            e = F.coalesce(tv, sv)
-        elif f.name.upper() in updatable:
-            e = F.when(in_s, sv).otherwise(tv)
-        else:
-            e = F.when(in_t, tv).otherwise(sv)
-        out.append(e.alias(f.name))
-    merged = joined.select(*out)
-    return merged.unionByName(t_null).unionByName(s_null)
-
-
-def _merge_broadcast(target: DataFrame, src: DataFrame, tkeys: list[str], updatable: set[str]) -> DataFrame:
+def _merge(target: DataFrame, src: DataFrame, tkeys: list[str], updatable: set[str], small: bool) -> DataFrame:
     flagged = src.withColumn("__matched", F.lit(True))
     cond = None
     for k in tkeys:
         c = col(k, "t") == col(k, "s")
         cond = c if cond is None else cond & c
-    joined = target.alias("t").join(F.broadcast(flagged.alias("s")), cond, "left")
+    right = F.broadcast(flagged) if small else flagged
+    joined = target.alias("t").join(right.alias("s"), cond, "left")
     hit = F.col("s.__matched").isNotNull()
     kept = joined.select(*[
         (F.when(hit, col(f.name, "s")).otherwise(col(f.name, "t")) if f.name.upper() in updatable
          and f.name not in tkeys else col(f.name, "t")).alias(f.name)
         for f in target.schema.fields
     ])
-    matched_keys = (target.select(*[col(k) for k in tkeys]).where(_all_not_null(None, tkeys))
-                    .join(F.broadcast(src.select(*[col(k) for k in tkeys])), tkeys, "left_semi"))
-    inserts = src.join(matched_keys, tkeys, "left_anti")
+    target_keys = target.select(*[col(k) for k in tkeys]).where(_all_not_null(None, tkeys))
+    if small:
+        target_keys = target_keys.join(F.broadcast(src.select(*[col(k) for k in tkeys])), tkeys, "left_semi")
+    else:
+        target_keys = target_keys.distinct()
+    inserts = src.join(target_keys, tkeys, "left_anti")
     return kept.unionByName(inserts)

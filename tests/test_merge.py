@@ -67,11 +67,15 @@ def test_duplicate_source_keys_fail(spark, store):
         load_merge(store, "DW.T", s, ["K"])
 
 
-def test_merge_plan_is_one_full_outer_join(spark):
+def test_shuffle_merge_streams_target_through_left_join(spark):
     t = spark.range(1000).select(F.col("id").alias("K"), F.lit("x").alias("NM"))
     s = spark.range(500, 1500).select(F.col("id").alias("K"), F.lit("y").alias("NM"))
-    txt = plan_text(merge_frames(t, s, ["K"]))
-    assert txt.count("SortMergeJoin FullOuter") == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        txt = plan_text(merge_frames(t, s, ["K"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin LeftOuter" in txt and "FullOuter" not in txt
 
 
 @pytest.mark.parametrize("how", ["shuffle", "broadcast"])
@@ -103,3 +107,35 @@ def test_load_merge_picks_strategy_by_size(spark, store, monkeypatch):
     assert L.merge_strategy(spark.range(10)) == "shuffle"
     out = load_merge(store, "DW.M", spark.createDataFrame([(2, "b", 1.0, "n", "n")], SCHEMA), ["K"])
     assert rows(out, "K") == [(1,), (2,)]
+
+
+def test_shuffle_merge_with_hot_duplicated_target_key(spark):
+    """A third of the target shares one key (appended duplicates): all of them are updated."""
+    t = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("K"),
+                                 F.lit("x").alias("NM"))
+    s = spark.createDataFrame([(-1, "hot"), (5000, "new")], "K bigint, NM string")
+    out = merge_frames(t, s, ["K"], strategy="shuffle")
+    got = {r["K"]: r["NM"] for r in out.where("K in (-1, 5000)").distinct().collect()}
+    assert got == {-1: "hot", 5000: "new"}
+    assert out.count() == 3001
+
+
+def test_aqe_splits_hot_target_partition(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        t = spark.range(200000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("K"),
+                                       F.sha2(F.col("id").cast("string"), 256).alias("NM"))
+        s = spark.range(0, 200000, 7).select(F.col("id").alias("K"), F.lit("y").alias("NM"))
+        out = merge_frames(t, s, ["K"], strategy="shuffle")
+        # every target row kept; batch keys that are multiples of 3 are new (target row 0 became -1)
+        inserts = sum(1 for i in range(0, 200000, 7) if i % 3 == 0)
+        assert len(out.collect()) == 200000 + inserts
+        assert "SortMergeJoin(skew=true)" in plan_text(out)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
