@@ -178,6 +178,16 @@ def _supplier_nation(how):
         joins=(JoinSpec(how, TableRef("nation"), "n", "source.s_nationkey = n.n_nationkey and source.s_acctbal > 5000"),))
 
 
+def q_join_left_split(spark, d):
+    """LEFT join whose joined side holds many rows per key, planned skew-safe."""
+    spec = ModelSpec(
+        source=TableRef("customer"), target="DW.F_CUSTOMER_ORDER",
+        columns=(C("CUST_ID", "c_custkey"), C("ORDER_ID", "o.o_orderkey", "orders"),
+                 C("AMT", "o.o_totalprice", "orders")),
+        joins=(JoinSpec("LEFT", TableRef("orders"), "o", "source.c_custkey = o.o_custkey", skew="split"),))
+    return build_model(spec, _registry(spark, d), RUN)
+
+
 def q_join_right(spark, d):
     return build_model(_supplier_nation("RIGHT"), _registry(spark, d), RUN)
 
@@ -348,6 +358,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_left_chain": q_join_left_chain,
     "join_inner": q_join_inner,
     "join_theta": q_join_theta,
+    "join_left_split": q_join_left_split,
     "join_right": q_join_right,
     "join_full": q_join_full,
     "group_by": q_group_by,
@@ -444,6 +455,9 @@ _ORACLE = {
     "join_theta": (
         "select source.s_suppkey as SUPP_ID, n.n_nationkey as NATION_ID from supplier source "
         "left join nation n on source.s_nationkey > n.n_nationkey and source.s_acctbal > 0"),
+    "join_left_split": (
+        "select source.c_custkey as CUST_ID, o.o_orderkey as ORDER_ID, o.o_totalprice as AMT from customer source "
+        "left join orders o on source.c_custkey = o.o_custkey"),
     "join_right": _SUPPLIER_NATION.format(how="right"),
     "join_full": _SUPPLIER_NATION.format(how="full outer"),
     "group_by": (

@@ -97,6 +97,27 @@ def split_conjuncts(condition: str) -> list[str]:
 _EQ = re.compile(r"^\(?\s*([A-Za-z_`][\w`$ ]*)\.([\w`$]+)\s*(?:=|==|<=>)\s*([A-Za-z_`][\w`$ ]*)\.([\w`$]+)\s*\)?$")
 
 
+def equi_pairs(condition: str, right_alias: str) -> tuple[list[tuple[str, str]], bool]:
+    """Equality conjuncts between ``right_alias`` and other relations, as
+    (other ``alias.column``, right column) pairs; and whether they are all
+    the condition has (a pure equi join)."""
+    ra = right_alias.strip("`").lower()
+    pairs, pure = [], True
+    for conj in split_conjuncts(condition):
+        m = _EQ.match(conj)
+        if not m:
+            pure = False
+            continue
+        a1, c1, a2, c2 = (g.strip("`") for g in m.groups())
+        if (a1.lower() == ra) == (a2.lower() == ra):
+            pure = False
+        elif a1.lower() == ra:
+            pairs.append((f"{a2}.{c2}", c1))
+        else:
+            pairs.append((f"{a1}.{c1}", c2))
+    return pairs, pure and bool(pairs)
+
+
 def has_equi_conjunct(condition: str, right_alias: str) -> bool:
     """True when some top-level conjunct equates a column of ``right_alias``
     with a column of another relation, so Spark can hash or sort-merge on it."""

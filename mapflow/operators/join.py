@@ -7,6 +7,15 @@ with no equality between the two sides cannot be hashed: it is accepted only
 when the joined side is proven small (a bounded count) and is then broadcast
 to a nested-loop join; two unbounded sides with a pure range condition, and
 joins with no condition at all (a product), are refused.
+
+AQE splits a skewed partition on the left side of a LEFT join and on either
+side of an INNER join, but never the right side of a LEFT join nor any side of
+a FULL join.  A join row with ``skew="split"`` therefore plans an outer join
+as the inner join (both sides splittable) plus, per preserved side, that side
+anti-joined with the other (null-padded).  For a pure equi condition the anti
+join's other side is reduced to its distinct key values first, so a key held
+by a third of the rows arrives as one row per task.  The parts are unioned;
+the result equals the outer join, at the cost of reading both sides twice.
 """
 
 from __future__ import annotations
@@ -14,7 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import has_equi_conjunct, qualify_join_lhs, rewrite_main
+from functools import reduce
+
+from ..functions.expressions import equi_pairs, has_equi_conjunct, qualify_join_lhs, rewrite_main
 from ..spec import JoinSpec
 
 # Join words a mapping may use, and the Spark join type of each.
@@ -69,4 +80,23 @@ def apply_join(left: DataFrame, right: DataFrame, join: JoinSpec, main_alias: st
             raise JoinError(f"non-equi join to {join.alias}: joined side has more than {theta_max_rows} rows; "
                             "add an equality between the two sides")
         right = F.broadcast(right)
+    elif join.skew == "split" and how != "inner":
+        return split_outer_join(left, right, cond, how, join.alias)
     return left.join(right, F.expr(cond), how)
+
+
+def split_outer_join(left: DataFrame, right: DataFrame, cond: str, how: str, right_alias: str) -> DataFrame:
+    """``left <how> JOIN right`` as inner join plus null-padded anti joins."""
+    pairs, pure = equi_pairs(cond, right_alias)
+    on = F.expr(cond)
+    parts = [left.join(right, on, "inner")]
+    if how in ("left", "full_outer"):
+        other = right.select(*[F.col(f"{right_alias}.{c}") for _, c in pairs]).distinct().alias(right_alias) \
+            if pure else right
+        only = left.join(other, on, "left_anti")
+        parts.append(only.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))
+    if how in ("right", "full_outer"):
+        other = left.select(*[F.col(ref) for ref, _ in pairs]).distinct() if pure else left
+        only = right.join(other, on, "left_anti")
+        parts.append(only.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields], "*"))
+    return reduce(DataFrame.union, parts)

@@ -58,10 +58,18 @@ class ColumnSpec:
 
 @dataclass(frozen=True)
 class JoinSpec:
+    """One join row.  ``skew="split"`` plans an outer join as inner join plus
+    anti joins, so a hot key on either side can be split (see ``join.py``)."""
+
     how: str
     table: TableRef
     alias: str
     condition: str | None
+    skew: str = "auto"
+
+    def __post_init__(self):
+        if self.skew not in ("auto", "split"):
+            raise ValueError(f"skew must be 'auto' or 'split', got {self.skew!r}")
 
 
 @dataclass(frozen=True)
@@ -128,7 +136,7 @@ class ModelSpec:
         )
         joins = tuple(
             JoinSpec(j.get("Join Type") or "LEFT", TableRef(j["Table Name"], j.get("Table Type", "ref")),
-                     j["Alias"], j.get("Join Condition") or None)
+                     j["Alias"], j.get("Join Condition") or None, (j.get("Skew") or "auto").lower())
             for j in cfg.get("Joins", [])
         )
         keys = tgt.get("unique_key") or []

@@ -66,3 +66,26 @@ def test_filter_pushed_to_scan(spark, registry):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in txt
     # only the used columns are read
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in txt
+
+
+@pytest.mark.parametrize("how", ["LEFT", "RIGHT", "FULL"])
+@pytest.mark.parametrize("extra", ["", " and j.W < 50"])
+def test_split_outer_join_equals_outer_join(spark, how, extra):
+    from pyspark.sql import functions as F
+    reg = TableRegistry(spark)
+    # a third of the right rows share key 1, both sides carry NULL keys
+    left = spark.range(60).select(F.when(F.col("id") % 10 == 0, None).otherwise(F.col("id") % 20).alias("ID"),
+                                  F.col("id").alias("V"))
+    right = spark.range(90).select(F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") == 5, None)
+                                   .otherwise(F.col("id")).alias("ID"), F.col("id").alias("W"))
+    reg.register_source("S", left).register_source("J", right)
+    cols = (ColumnSpec("SID", "source.ID", "S"), ColumnSpec("V", "source.V", "S"),
+            ColumnSpec("JID", "j.ID", "J"), ColumnSpec("W", "j.W", "J"))
+
+    def spec(skew):
+        return ModelSpec(source=TableRef("S"), target="DW.T", columns=cols,
+                         joins=(JoinSpec(how, TableRef("J", "source"), "j", "source.ID = j.ID" + extra, skew),))
+    want = rows(build_model(spec("auto"), reg))
+    got = build_model(spec("split"), reg)
+    assert rows(got) == want and len(want) > 60
+    assert "FullOuter" not in plan_text(got) and "RightOuter" not in plan_text(got)
