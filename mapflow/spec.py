@@ -143,7 +143,10 @@ class ModelSpec:
         if isinstance(keys, str):
             keys = [k for k in keys.split(",")]
         dag = cfg.get("DAG") or {}
-        deps = tuple(f"{s}.{o}" for s, o in zip(dag.get("Dependency Schema") or [], dag.get("Dependency Object") or []))
+        dep_schemas, dep_objects = dag.get("Dependency Schema") or [], dag.get("Dependency Object") or []
+        if len(dep_schemas) != len(dep_objects):
+            raise ValueError(f"dependency lists differ in length: {dep_schemas} vs {dep_objects}")
+        deps = tuple(f"{s}.{o}" for s, o in zip(dep_schemas, dep_objects))
         group_by = cfg.get("Group By") or ()
         if isinstance(group_by, str):
             group_by = (group_by,)

@@ -89,3 +89,21 @@ def test_split_outer_join_equals_outer_join(spark, how, extra):
     got = build_model(spec("split"), reg)
     assert rows(got) == want and len(want) > 60
     assert "FullOuter" not in plan_text(got) and "RightOuter" not in plan_text(got)
+
+
+def test_cube_contract_ansi_and_concat_null(spark):
+    from pyspark.sql import types as T
+    reg = TableRegistry(spark).register_source(
+        "S", spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", None, 3)], "A string, B string, N int"))
+    cube = ModelSpec(source=TableRef("S"), target="DW.T", grouping="cube", group_by=("A", "B"),
+                     columns=(ColumnSpec("A", "A"), ColumnSpec("B", "B"), ColumnSpec("TOT", "sum(N)"),
+                              ColumnSpec("AB", "A || '-' || B")), )
+    got = rows(build_model(cube, reg))  # AB is computed from grouping columns only
+    assert (None, None, 6, None) in got and ("a", None, 3, None) in got and ("a", "x", 1, "a-x") in got
+    assert len(got) == 9
+    concat = ModelSpec(source=TableRef("S"), target="DW.T", columns=(ColumnSpec("AB", "A || '-' || B"),))
+    assert sorted(rows(build_model(concat, reg)), key=repr) == sorted([("a-x",), ("a-y",), (None,)], key=repr)
+    contract = T.StructType([T.StructField("A", T.IntegerType())])
+    bad = ModelSpec(source=TableRef("S"), target="DW.T", columns=(ColumnSpec("A", "A"),), contract=contract)
+    with pytest.raises(Exception):
+        build_model(bad, reg).collect()  # ANSI cast of 'a' to int fails instead of loading NULL

@@ -71,3 +71,10 @@ def test_config_shape_runs_end_to_end(spark, registry):
         "left join parquet.`/root/testdata/sf0.001/nation.parquet` n on c.c_nationkey = n.n_nationkey "
         "where o.o_orderstatus = 'F' group by n.n_name"))
     assert got == want and len(got) > 5
+
+
+def test_dependencies_are_pairs_and_empty_is_root():
+    bad = dict(CONFIG, DAG={"Dependency Schema": ["a", "b"], "Dependency Object": ["t1"]})
+    with pytest.raises(ValueError):
+        ModelSpec.from_config(bad)
+    assert ModelSpec.from_config(dict(CONFIG, DAG={})).depends_on == ()
