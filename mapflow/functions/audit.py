@@ -15,15 +15,10 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..spec import AUDIT_COLUMNS
+from ..fixed_values import AUDIT_COLUMNS
 
-AUDIT_TIME_COLUMNS = ("CREATE_DT", "UPDATE_DT")
-AUDIT_USER_COLUMNS = ("CREATE_BY", "UPDATE_BY")
-AUDIT_PGM_COLUMNS = ("CREATE_PGM", "UPDATE_PGM")
-
-# The default audit logic a mapping sheet carries for time and user.
-DEFAULT_TIME_LOGIC = "CURRENT_TIMESTAMP()"
-DEFAULT_USER_LOGIC = "CAST(CURRENT_USER() AS VARCHAR(200))"
+from ..fixed_values import (AUDIT_PGM_COLUMNS, AUDIT_TIME_COLUMNS, AUDIT_USER_COLUMNS,  # noqa: F401
+                            DEFAULT_TIME_LOGIC, DEFAULT_USER_LOGIC)
 
 
 @dataclass(frozen=True)

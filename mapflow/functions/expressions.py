@@ -12,10 +12,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed_values import COMPUTED_MARKERS, COMPUTED_WORD, MAIN_PREFIX
+
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_$]*$")
 _QUOTED = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`(?:[^`]|``)*`)")
 
-# Words that look like bare identifiers but are SQL values.
+# Words that look like bare identifiers but are SQL values.
 _SQL_WORDS = {"NULL", "TRUE", "FALSE", "CURRENT_DATE", "CURRENT_TIMESTAMP", "CURRENT_USER"}
 
 
@@ -38,7 +40,7 @@ def rewrite_main(text: str | None, main_alias: str = "source") -> str | None:
     """``main.x`` names the main relation; rewrite it to its alias."""
     if text is None:
         return None
-    return _map_outside_quotes(text, lambda s: re.sub(r"(?<![\w.$`])main\.", f"{main_alias}.", s, flags=re.I))
+    return _map_outside_quotes(text, lambda s: re.sub(rf"(?<![\w.$`]){MAIN_PREFIX}\.", f"{main_alias}.", s, flags=re.I))
 
 
 def is_bare_identifier(logic: str | None) -> bool:
@@ -132,12 +134,9 @@ def has_equi_conjunct(condition: str, right_alias: str) -> bool:
     return False
 
 
-# The characters and words that mark a logic as computed rather than a
-# plain column, for the delta comparison.
-COMPUTED_MARKERS = ("'", "(", " ", "+", "-", "*", "/", "||")
 
 
 def is_computed_logic(logic: str | None) -> bool:
     if logic is None:
         return True
-    return any(m in logic for m in COMPUTED_MARKERS) or "CASE" in logic.upper()
+    return any(m in logic for m in COMPUTED_MARKERS) or COMPUTED_WORD in logic.upper()

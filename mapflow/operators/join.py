@@ -28,7 +28,7 @@ from functools import reduce
 from ..functions.expressions import equi_pairs, has_equi_conjunct, qualify_join_lhs, rewrite_main
 from ..spec import JoinSpec
 
-# Join words a mapping may use, and the Spark join type of each.
+# Join words a mapping may use, and the Spark join type of each.
 JOIN_TYPES = {
     "LEFT": "left",
     "LEFT OUTER": "left",

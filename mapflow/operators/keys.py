@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..fixed_values import KEY_CODE_SUFFIX, KEY_ID_NAMES, KEY_ID_SUFFIXES
 from ..functions.expressions import col, quote
 from ..session import checkpoint_root
 
@@ -36,10 +37,10 @@ def choose_merge_key(columns: Sequence[str], declared: Sequence[str] | None = No
     for cand in (clean(declared), clean(previous), clean(sheet_key)):
         if cand:
             return cand
-    cd = [c for c in columns if c.upper().endswith("_CD")]
+    cd = [c for c in columns if c.upper().endswith(KEY_CODE_SUFFIX)]
     if cd:
         return cd
-    ids = [c for c in columns if c.upper().endswith(("_ID", "_KEY")) or c.upper() in ("ID", "KEY")]
+    ids = [c for c in columns if c.upper().endswith(KEY_ID_SUFFIXES) or c.upper() in KEY_ID_NAMES]
     if ids:
         return ids
     if clean(primary):

@@ -13,17 +13,8 @@ from typing import Any
 
 from pyspark.sql.types import StructType
 
-# The seven audit column names of a target table, in layout order.
-AUDIT_COLUMNS = ("DATA_SRC", "CREATE_DT", "CREATE_BY", "CREATE_PGM", "UPDATE_DT", "UPDATE_BY", "UPDATE_PGM")
-
-# Columns a keyed merge never overwrites unless told otherwise.
-DEFAULT_UPDATE_EXCLUDE = ("CREATE_DT", "CREATE_BY", "CREATE_PGM")
-
-# Mapping-sheet artefact columns that are never projected.
-SHEET_ARTEFACTS = ("LIST (Y,N)", "TABLE TYPE", "REF")
-
-# Materialisations a mapping may ask for.
-MATERIALIZATIONS = ("table", "view", "truncate_load", "lnd_load", "incremental")
+from .fixed_values import (AUDIT_COLUMNS, DEFAULT_UPDATE_EXCLUDE, MATERIALIZATIONS, SEQUENCE_WORD,  # noqa: F401
+                           SHEET_ARTEFACTS)
 
 GROUPINGS = ("plain", "rollup", "cube")
 
@@ -49,7 +40,7 @@ class ColumnSpec:
 
     @property
     def is_sequence(self) -> bool:
-        return self.logic is not None and "NEXTVAL" in self.logic.upper()
+        return self.logic is not None and SEQUENCE_WORD in self.logic.upper()
 
     @property
     def is_artefact(self) -> bool:
