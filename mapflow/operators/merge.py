@@ -10,8 +10,8 @@ side.  Keys use plain ``=``, so NULL keys never match.  The plan has two parts:
 
 With a batch of proven size (the caller checks) both joins broadcast the batch
 and the target is never shuffled: the target key column is semi-joined with the
-broadcast batch keys, so the inserts' anti join sees at most one row per batch
-row.  Otherwise both joins shuffle; the target is the streamed (left) side of
+broadcast batch keys and de-duplicated, so the inserts' anti join sees at most
+one row per batch row.  Otherwise both joins shuffle; the target is the streamed (left) side of
 the left join, so AQE can split a partition made hot by a duplicated key or
 many NULL keys, and the target keys are de-duplicated (map-side partial
 aggregation) before the anti join's shuffle, so no key is hot there either.
@@ -106,7 +106,10 @@ def _merge(target: DataFrame, src: DataFrame, tkeys: list[str], updatable: set[s
     ])
     target_keys = target.select(*[col(k) for k in tkeys]).where(_all_not_null(None, tkeys))
     if small:
-        target_keys = target_keys.join(F.broadcast(src.select(*[col(k) for k in tkeys])), tkeys, "left_semi")
+        # distinct matched keys: at most one per batch row, so as bounded as the batch
+        # (without the distinct, a key duplicated in the target would repeat)
+        target_keys = F.broadcast(
+            target_keys.join(F.broadcast(src.select(*[col(k) for k in tkeys])), tkeys, "left_semi").distinct())
     else:
         target_keys = target_keys.distinct()
     inserts = src.join(target_keys, tkeys, "left_anti")
