@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from ..fixed_values import KEY_CODE_SUFFIX, KEY_ID_NAMES, KEY_ID_SUFFIXES
 from ..functions.expressions import col, quote
 from ..session import checkpoint_root
+from ..spec import ModelSpec
 
 
 def choose_merge_key(columns: Sequence[str], declared: Sequence[str] | None = None,
@@ -48,6 +49,17 @@ def choose_merge_key(columns: Sequence[str], declared: Sequence[str] | None = No
     return list(columns[:1])
 
 
+def with_merge_key(spec: ModelSpec, sheet_key: Sequence[str] | str | None = None,
+                   primary: Sequence[str] | None = None) -> ModelSpec:
+    """An incremental spec with its merge key chosen by ``choose_merge_key``
+    over the target column names (declared keys win)."""
+    if spec.materialization != "incremental":
+        return spec
+    names = [c.target for c in spec.columns if not c.is_artefact]
+    return spec.with_(unique_key=tuple(choose_merge_key(names, declared=spec.unique_key, sheet_key=sheet_key,
+                                                        primary=primary)))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "DUP_CNT",
                    names: Sequence[str] | None = None) -> DataFrame:
     """Key values that occur more than once, with their count."""
