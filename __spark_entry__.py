@@ -341,7 +341,7 @@ def q_stream_merge(spark, d):
 
     store.overwrite("RAW.EVENTS", shape(events.where("event_type = 'view'")).withColumn("VAL", F.lit(0.0)))
     q = stream_merge(spark, landing, events.schema, store, "RAW.EVENTS", ["EVENT_ID"], transform=shape,
-                     max_files_per_trigger=1)
+                     max_files_per_trigger=1, checkpoint_location=scratch_dir(spark, "stream-checkpoint"))
     q.awaitTermination()
     return store.read("RAW.EVENTS")
 

@@ -4,7 +4,7 @@ from .conform import conform_by_name, landing_projection, match_columns, positio
 from .delta import build_delta, classify_columns
 from .join import JoinError, apply_join
 from .keys import (DuplicateKeyError, assert_unique_keys, assign_surrogate_keys, choose_merge_key,
-                   duplicate_keys)
+                   duplicate_keys, key_profile, with_merge_key)
 from .load import (load_append, load_insert_by_name, load_landing, load_merge, load_truncate,
                    load_with_surrogate_key, materialize, stage)
 from .merge import align_to, merge_frames
@@ -18,5 +18,5 @@ __all__ = [
     "conform_by_name", "distinct_except", "duplicate_keys", "landing_projection", "load_append",
     "load_insert_by_name", "load_landing", "load_merge", "load_truncate", "load_with_surrogate_key",
     "match_columns", "materialize", "merge_frames", "model_frame", "positional_rename", "publish_view",
-    "recon_counts", "recon_empty_probe", "recon_except", "reconcile", "stage",
+    "recon_counts", "recon_empty_probe", "recon_except", "reconcile", "stage", "key_profile", "with_merge_key",
 ]

@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.audit import RunContext
 from ..operators.load import load_merge
-from ..session import scratch_dir
+from ..session import checkpoint_root
 from ..sources.store import TableStore
 from ..spec import DEFAULT_UPDATE_EXCLUDE
 
@@ -44,8 +44,10 @@ def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store
         # The batch is a scan of files the offset log pins: re-reading it is exact.
         load_merge(store, table, df, keys, update_columns, exclude, stage_input=False)
 
-    writer = (stream.writeStream.foreachBatch(merge_batch)
-              .option("checkpointLocation", checkpoint_location or scratch_dir(spark, f"stream-{table}")))
+    # The default checkpoint is stable per target, so each scheduled run resumes
+    # where the previous one stopped.
+    location = checkpoint_location or f"{checkpoint_root(spark)}/mapflow/streams/{table.upper()}"
+    writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -22,3 +22,18 @@ def test_three_files_three_batches_then_idle(spark, store):
     q2 = stream_merge(spark, landing, sch, store, "RAW.T", ["K"], checkpoint_location=ckpt)
     q2.awaitTermination()
     assert store.version("RAW.T") == v
+
+
+def test_default_checkpoint_is_stable_per_table(spark, store):
+    landing = scratch_dir(spark, "t-landing2")
+    schema = "K bigint, V string"
+    spark.createDataFrame([(1, "a")], schema).write.parquet(landing)
+    sch = spark.read.parquet(landing).schema
+    table = "RAW.T_" + landing[-12:].upper()
+    stream_merge(spark, landing, sch, store, table, ["K"]).awaitTermination()
+    v = store.version(table)
+    stream_merge(spark, landing, sch, store, table, ["K"]).awaitTermination()  # nothing new
+    assert store.version(table) == v
+    spark.createDataFrame([(1, "b")], schema).write.mode("append").parquet(landing)
+    stream_merge(spark, landing, sch, store, table, ["K"]).awaitTermination()
+    assert rows(store.read(table)) == [(1, "b")]
