@@ -76,10 +76,10 @@ DIM_SPEC = ModelSpec(
     where="main.c_acctbal > 0")
 
 
-def _seed_target(spark, sf_dir):
+def _seed_target(spark, sf_dir, buckets: int | None = None):
     store = _store(spark)
     reg = _registry(spark, sf_dir, store)
-    store.overwrite("DW.D_CUSTOMER", build_model(TARGET_SPEC, reg))
+    store.overwrite("DW.D_CUSTOMER", build_model(TARGET_SPEC, reg), (["CUST_ID"], buckets) if buckets else None)
     return reg, store
 
 
@@ -251,14 +251,15 @@ def q_load_append(spark, d):
     return materialize(spec, build_model(spec, reg, RUN), store, RUN)
 
 
-def _merge(spark, d, exclude):
-    reg, store = _seed_target(spark, d)
+def _merge(spark, d, exclude, buckets=None):
+    reg, store = _seed_target(spark, d, buckets)
     changes = build_delta(CHANGE_SPEC, reg, store.read("DW.D_CUSTOMER"), RUN)
     return load_merge(store, "DW.D_CUSTOMER", changes, ["CUST_ID"], exclude=exclude)
 
 
 def q_merge_update_columns(spark, d):
-    return _merge(spark, d, exclude=("CREATE_DT", "CREATE_BY", "CREATE_PGM"))
+    """Upsert of the delta into a target bucketed by its key: only the batch is shuffled."""
+    return _merge(spark, d, exclude=("CREATE_DT", "CREATE_BY", "CREATE_PGM"), buckets=8)
 
 
 def q_merge_all_columns(spark, d):

@@ -87,8 +87,9 @@ def stage(df: DataFrame) -> tuple[DataFrame, str]:
     return df.sparkSession.read.parquet(path), path
 
 
-def load_truncate(store: TableStore, table: str, df: DataFrame) -> DataFrame:
-    store.overwrite(table, df)
+def load_truncate(store: TableStore, table: str, df: DataFrame,
+                  bucket_by: tuple[Sequence[str], int] | None = None) -> DataFrame:
+    store.overwrite(table, df, bucket_by)
     return store.read(table)
 
 
@@ -110,12 +111,13 @@ def load_merge(store: TableStore, table: str, source: DataFrame, keys: Sequence[
                update_columns: Sequence[str] | None = None,
                exclude: Sequence[str] | None = DEFAULT_UPDATE_EXCLUDE,
                check_duplicates: bool = True, stage_input: bool = True,
-               strategy: str | None = None) -> DataFrame:
+               strategy: str | None = None, buckets: int | None = None) -> DataFrame:
     """Keyed upsert of ``source`` into ``table`` (created from ``source`` if absent).
 
     ``stage_input=False`` skips staging when ``source`` is already a scan of
     immutable files (a streaming micro-batch, a stored table).  ``strategy``
     forces ``"shuffle"`` or ``"broadcast"``; by default a size check decides.
+    ``buckets`` creates a new target bucketed by ``keys`` (see ``TableStore``).
     """
     staged, path = stage(source) if stage_input else (source, None)
     try:
@@ -125,10 +127,15 @@ def load_merge(store: TableStore, table: str, source: DataFrame, keys: Sequence[
             if dup > 1:
                 assert_unique_keys(staged, keys)  # raises, with examples
         if not store.exists(table):
-            store.overwrite(table, staged)
+            store.overwrite(table, staged, (list(keys), buckets) if buckets else None)
         else:
             how = strategy or merge_strategy(staged, rows=rows)
-            store.overwrite(table, merge_frames(store.read(table), staged, keys, update_columns, exclude, how))
+            # A target read as n buckets comes out of the merge partitioned by
+            # bucket (kept rows by the scan, inserts by key): write it as is.
+            bucketed = store.is_bucketed_read(table)
+            n = store.bucketing(table)[1] if bucketed else None
+            merged = merge_frames(store.read(table), staged, keys, update_columns, exclude, how, n)
+            store.overwrite(table, merged, distribute=not bucketed)
     finally:
         if path:
             remove_path(source.sparkSession, path)
@@ -155,12 +162,14 @@ def materialize(spec: ModelSpec, df: DataFrame, store: TableStore, ctx: RunConte
     """Load a built model the way its spec says; returns the table as stored."""
     table = spec.target
     m = spec.materialization
+    bucket_by = (list(spec.unique_key), spec.buckets) if spec.buckets else None
     if m in ("table", "truncate_load"):
-        return load_truncate(store, table, df)
+        return load_truncate(store, table, df, bucket_by)
     if m == "lnd_load":
         return load_landing(store, table, df, spec.source.name, ctx)
     if m == "incremental":
         if spec.unique_key:
-            return load_merge(store, table, df, spec.unique_key, spec.update_columns, spec.exclusions)
+            return load_merge(store, table, df, spec.unique_key, spec.update_columns, spec.exclusions,
+                              buckets=spec.buckets)
         return load_append(store, table, df)
     raise ValueError(f"materialization {m!r} is not a table load")

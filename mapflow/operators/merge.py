@@ -67,13 +67,15 @@ def _all_not_null(alias: str | None, keys: Sequence[str]) -> Column:
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update_columns: Sequence[str] | None = None,
                  exclude: Sequence[str] | None = DEFAULT_UPDATE_EXCLUDE,
-                 strategy: str = "shuffle") -> DataFrame:
+                 strategy: str = "shuffle", partitions: int | None = None) -> DataFrame:
     """New target state after upserting ``source`` on ``keys``.
 
     ``update_columns`` lists what a match may overwrite; when omitted it is
     every target column except ``exclude``.  Unmatched source rows are
     inserted whole; target columns the source lacks are NULL for them.
     ``strategy="broadcast"`` is only for a source whose size was checked.
+    ``partitions=n`` hash-partitions the inserted rows into ``n`` by key, to
+    match a target read as ``n`` buckets (the kept rows already are).
     """
     if not keys:
         raise ValueError("a merge needs at least one key column")
@@ -87,10 +89,11 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
         updatable = {c.upper() for c in target.columns if c.upper() not in excl}
     else:
         updatable = {c.upper() for c in _resolve(update_columns, target.columns, "update")}
-    return _merge(target, src, tkeys, updatable, strategy == "broadcast")
+    return _merge(target, src, tkeys, updatable, strategy == "broadcast", partitions)
 
 
-def _merge(target: DataFrame, src: DataFrame, tkeys: list[str], updatable: set[str], small: bool) -> DataFrame:
+def _merge(target: DataFrame, src: DataFrame, tkeys: list[str], updatable: set[str], small: bool,
+           partitions: int | None) -> DataFrame:
     flagged = src.withColumn("__matched", F.lit(True))
     cond = None
     for k in tkeys:
@@ -113,4 +116,6 @@ def _merge(target: DataFrame, src: DataFrame, tkeys: list[str], updatable: set[s
     else:
         target_keys = target_keys.distinct()
     inserts = src.join(target_keys, tkeys, "left_anti")
+    if partitions:
+        inserts = inserts.repartition(partitions, *[col(k) for k in tkeys])
     return kept.unionByName(inserts)

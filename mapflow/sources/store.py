@@ -7,17 +7,33 @@ highest version whose ``_SUCCESS`` marker the job commit wrote.  A failed or
 retried job leaves a version without a marker, which no reader sees.  Appends
 add files to the current version with Spark's own committer.
 
+A table may be *bucketed* by its merge key (``bucket_by=(keys, n)`` on the
+first write; later writes keep it).  Each version is then written with
+``bucketBy`` and read through a catalog entry that declares the buckets, so a
+join or aggregation on the key reads the table already partitioned: a keyed
+merge shuffles only its batch.  A bucketed scan cannot be split by AQE, so a
+version is read as bucketed only when a metadata check at commit (file sizes
+per bucket) finds no bucket far above the median; a version with a hot bucket
+is read as plain Parquet, where AQE's skew split applies.
+
 The root should be a shared folder (HDFS, object store); files are listed with
 the Hadoop ``FileSystem`` of the session, so any Hadoop-supported scheme works.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import json
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 _VERSION = re.compile(r"^version-(\d+)$")
+_BUCKET_OF_FILE = re.compile(r"_(\d{5})(?:\.c\d{3})?(?:\.\w+)*\.parquet$")
+_SPEC_PREFIX = "_bucketing."
+_BALANCED = "_BUCKETS_BALANCED"
 
 
 class TableNotFound(LookupError):
@@ -31,11 +47,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, compression: str = "zstd"):
+    def __init__(self, spark: SparkSession, root: str, compression: str = "zstd",
+                 skew_factor: float = 4.0, skew_min_bytes: int = 64 * 1024 * 1024):
         self.spark = spark
         self.root = root.rstrip("/")
         self.compression = compression
+        self.skew_factor = skew_factor
+        self.skew_min_bytes = skew_min_bytes
 
     # -- file system -------------------------------------------------------
     def _path(self, p: str):
@@ -43,6 +66,10 @@ class TableStore:
         path = jvm.org.apache.hadoop.fs.Path(p)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    def _touch(self, p: str) -> None:
+        fs, path = self._path(p)
+        fs.create(path, True).close()
+
     def _table_dir(self, name: str) -> str:
         return f"{self.root}/{name.upper()}"
 
@@ -58,6 +85,65 @@ class TableStore:
                 out.append((int(m.group(1)), bool(done)))
         return sorted(out)
 
+    # -- bucketing ---------------------------------------------------------
+    def bucketing(self, name: str) -> tuple[list[str], int] | None:
+        """(key columns, bucket count) if the table is bucketed."""
+        fs, path = self._path(self._table_dir(name))
+        if not fs.exists(path):
+            return None
+        for st in fs.listStatus(path):
+            n = st.getPath().getName()
+            if n.startswith(_SPEC_PREFIX):
+                spec = json.loads(base64.urlsafe_b64decode(n[len(_SPEC_PREFIX):].encode()))
+                return spec["keys"], spec["n"]
+        return None
+
+    def _set_bucketing(self, name: str, keys: Sequence[str], n: int) -> None:
+        token = base64.urlsafe_b64encode(json.dumps({"keys": list(keys), "n": int(n)}).encode()).decode()
+        self._touch(f"{self._table_dir(name)}/{_SPEC_PREFIX}{token}")
+
+    def _catalog_name(self, path: str) -> str:
+        return "mapflow_v_" + hashlib.sha1(path.encode()).hexdigest()[:20]
+
+    def _register(self, path: str, keys: Sequence[str], n: int) -> str:
+        cat = self._catalog_name(path)
+        if self.spark.catalog.tableExists(cat):
+            return cat
+        schema = self.spark.read.parquet(path).schema  # footers only
+        columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        cols = ", ".join(_quote(k) for k in keys)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {cat} ({columns}) USING parquet CLUSTERED BY ({cols}) "
+                       f"INTO {int(n)} BUCKETS LOCATION '{path}'")
+        return cat
+
+    def _bucket_sizes(self, path: str) -> dict[int, int]:
+        fs, p = self._path(path)
+        sizes: dict[int, int] = {}
+        for st in fs.listStatus(p):
+            m = _BUCKET_OF_FILE.search(st.getPath().getName())
+            if m:
+                b = int(m.group(1))
+                sizes[b] = sizes.get(b, 0) + st.getLen()
+        return sizes
+
+    def _mark_balance(self, path: str, n: int) -> None:
+        sizes = list(self._bucket_sizes(path).values())
+        sizes = sorted(sizes + [0] * max(0, n - len(sizes)))
+        median = sizes[len(sizes) // 2] if sizes else 0
+        hot = sizes[-1] if sizes else 0
+        fs, marker = self._path(f"{path}/{_BALANCED}")
+        if hot <= self.skew_min_bytes or hot <= self.skew_factor * max(median, 1):
+            fs.create(marker, True).close()
+        elif fs.exists(marker):
+            fs.delete(marker, False)
+
+    def is_bucketed_read(self, name: str) -> bool:
+        path = self.current_path(name)
+        if path is None or self.bucketing(name) is None:
+            return False
+        fs, marker = self._path(f"{path}/{_BALANCED}")
+        return bool(fs.exists(marker))
+
     # -- reads -------------------------------------------------------------
     def current_path(self, name: str) -> str | None:
         done = [v for v, ok in self._versions(name) if ok]
@@ -70,6 +156,9 @@ class TableStore:
         path = self.current_path(name)
         if path is None:
             raise TableNotFound(f"table {name} has no committed version under {self.root}")
+        spec = self.bucketing(name)
+        if spec is not None and self.is_bucketed_read(name):
+            return self.spark.table(self._register(path, *spec))
         return self.spark.read.parquet(path)
 
     def version(self, name: str) -> int | None:
@@ -77,12 +166,37 @@ class TableStore:
         return done[-1] if done else None
 
     # -- writes ------------------------------------------------------------
-    def overwrite(self, name: str, df: DataFrame) -> str:
-        """Write ``df`` as a new version; readers switch when the job commits."""
+    def _write(self, df: DataFrame, path: str, mode: str, spec: tuple[list[str], int] | None,
+               distribute: bool = True) -> None:
+        if spec is None:
+            df.write.mode(mode).option("compression", self.compression).parquet(path)
+            return
+        keys, n = spec
+        cat = self._catalog_name(path)
+        if mode == "append":
+            self._register(path, keys, n)
+        if distribute:
+            # About one task per bucket, so a bucket lands in few files; REBALANCE
+            # (unlike repartition) lets AQE split a hot bucket over several tasks.
+            df = df.hint("rebalance", n, *keys)
+        (df.write.mode(mode).format("parquet")
+           .option("compression", self.compression).option("path", path)
+           .bucketBy(n, *keys).saveAsTable(cat))
+        self._mark_balance(path, n)
+
+    def overwrite(self, name: str, df: DataFrame, bucket_by: tuple[Sequence[str], int] | None = None,
+                  distribute: bool = True) -> str:
+        """Write ``df`` as a new version; readers switch when the job commits.
+
+        ``bucket_by=(keys, n)`` makes the table bucketed from now on.
+        ``distribute=False`` skips redistributing rows by bucket, for input
+        that is already partitioned by the buckets (a merge over a bucketed read)."""
+        if bucket_by is not None:
+            self._set_bucketing(name, list(bucket_by[0]), int(bucket_by[1]))
         versions = self._versions(name)
         nxt = (versions[-1][0] + 1) if versions else 1
         path = f"{self._table_dir(name)}/version-{nxt:09d}"
-        df.write.mode("errorifexists").option("compression", self.compression).parquet(path)
+        self._write(df, path, "errorifexists", self.bucketing(name), distribute)
         return path
 
     def append(self, name: str, df: DataFrame) -> str:
@@ -90,9 +204,9 @@ class TableStore:
         path = self.current_path(name)
         if path is None:
             return self.overwrite(name, df)
-        df.write.mode("append").option("compression", self.compression).parquet(path)
+        self._write(df, path, "append", self.bucketing(name))
         return path
 
     def truncate(self, name: str) -> str:
         """Empty the table, keeping its schema."""
-        return self.overwrite(name, self.read(name).where("1=0"))
+        return self.overwrite(name, self.spark.read.parquet(self.current_path(name)).where("1=0"))

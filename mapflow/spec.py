@@ -79,6 +79,7 @@ class ModelSpec:
     delta: bool = False
     contract: StructType | None = None
     depends_on: tuple[str, ...] = ()
+    buckets: int | None = None
     main_alias: str = "source"
     extra: dict[str, Any] = field(default_factory=dict, compare=False)
 
@@ -91,6 +92,8 @@ class ModelSpec:
             raise ValueError(f"target must be SCHEMA.TABLE, got {self.target!r}")
         # A blank key is no key.
         object.__setattr__(self, "unique_key", tuple(k.strip() for k in self.unique_key if k and k.strip()))
+        if self.buckets is not None and (self.buckets < 1 or not self.unique_key):
+            raise ValueError("buckets needs a positive count and a unique key to bucket by")
         if self.delta and self.group_by:
             raise ValueError("a delta model cannot also group; the comparison runs on ungrouped rows")
 

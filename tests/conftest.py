@@ -14,7 +14,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from mapflow.session import build_session
 
-    s = build_session("local[*]", app_name="mapflow-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app_name="mapflow-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="mapflow-test-wh-")})
     # Tests run without a cluster: give them their own checkpoint folder.
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="mapflow-test-ckpt-"))
     yield s

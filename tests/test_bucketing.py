@@ -1,0 +1,101 @@
+"""Bucketed targets: the keyed merge shuffles only its batch; hot buckets fall back."""
+
+import contextlib
+import io
+
+from pyspark.sql import functions as F
+
+from conftest import plan_text, rows
+from mapflow import TableStore
+from mapflow.operators import load_merge, load_truncate, merge_frames
+from mapflow.session import scratch_dir
+
+
+def _no_auto_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+def test_bucketed_merge_shuffles_only_the_batch(spark, store):
+    _no_auto_broadcast(spark)
+    try:
+        t = spark.range(2000).select(F.col("id").alias("K"), F.sha2(F.col("id").cast("string"), 256).alias("NM"))
+        load_truncate(store, "DW.B", t, bucket_by=(["K"], 8))
+        assert store.bucketing("DW.B") == (["K"], 8) and store.is_bucketed_read("DW.B")
+        target = store.read("DW.B")
+        batch = spark.range(1500, 2500).select(F.col("id").alias("K"), F.lit("new").alias("NM"))
+        txt = plan_text(merge_frames(target, batch, ["K"], strategy="shuffle"))
+        assert "Bucketed: true" in txt
+        assert txt.count("Arguments: hashpartitioning") == 2  # both on the batch
+        out = load_merge(store, "DW.B", batch, ["K"], strategy="shuffle")
+        assert out.count() == 2500 and out.where("NM = 'new'").count() == 1000
+        assert store.is_bucketed_read("DW.B")  # the new version is bucketed too
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_bucket_is_read_plain(spark):
+    store = TableStore(spark, scratch_dir(spark, "hot"), skew_min_bytes=0)
+    t = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("K"),
+                                 F.sha2(F.col("id").cast("string"), 256).alias("NM"))
+    load_truncate(store, "DW.H", t, bucket_by=(["K"], 16))
+    assert not store.is_bucketed_read("DW.H")
+    assert "Bucketed: true" not in plan_text(store.read("DW.H"))
+    out = load_merge(store, "DW.H", spark.createDataFrame([(-1, "hot")], "K bigint, NM string"), ["K"],
+                     check_duplicates=False)
+    assert out.where("K = -1 and NM = 'hot'").count() == 2000
+
+
+def test_bucketed_append_and_new_session_registration(spark, store):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "K bigint, NM string")
+    load_truncate(store, "DW.A", df, bucket_by=(["K"], 4))
+    store.append("DW.A", spark.createDataFrame([(3, "c")], "K bigint, NM string"))
+    assert rows(store.read("DW.A")) == [(1, "a"), (2, "b"), (3, "c")]
+    # a session without the catalog entry registers it again on read
+    spark.sql(f"DROP TABLE IF EXISTS {store._catalog_name(store.current_path('DW.A'))}")
+    assert rows(store.read("DW.A")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_bucketed_empty_table(spark, store):
+    load_truncate(store, "DW.E", spark.createDataFrame([], "K bigint, NM string"), bucket_by=(["K"], 4))
+    assert store.read("DW.E").count() == 0
+    out = load_merge(store, "DW.E", spark.createDataFrame([(1, "a")], "K bigint, NM string"), ["K"])
+    assert rows(out) == [(1, "a")]
+
+
+def test_merge_into_bucketed_target_never_shuffles_target_rows(spark, store):
+    """Broadcast and shuffle merges: the only exchanges carry batch rows or bounded keys."""
+    from mapflow.operators.merge import merge_frames as mf
+    t = spark.range(20000).select(F.col("id").alias("K"), F.sha2(F.col("id").cast("string"), 256).alias("NM"))
+    load_truncate(store, "DW.C", t, bucket_by=(["K"], 8))
+    batch = spark.range(19000, 21000).select(F.col("id").alias("K"), F.lit("new").alias("NM"))
+    for how, auto in (("broadcast", "10MB"), ("shuffle", "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+        try:
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                mf(store.read("DW.C"), batch, ["K"], strategy=how, partitions=8).explain()
+            assert not _exchanges_over_target(buf.getvalue()), how
+            out = load_merge(store, "DW.C", batch, ["K"], strategy=how)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert out.count() == 21000 and store.is_bucketed_read("DW.C")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        store.read("DW.C").repartition(8, "NM").explain()
+    assert _exchanges_over_target(buf.getvalue())  # the check does catch a target shuffle
+
+
+def _exchanges_over_target(plan: str) -> list[str]:
+    """Shuffle exchanges with the full target scan (it reads NM) somewhere below them."""
+    lines = [l for l in plan.split("== Physical Plan ==")[-1].split("\n") if l.strip()]
+    bad = []
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" not in line and "Exchange rebalance" not in line.lower():
+            continue
+        depth = len(line) - len(line.lstrip(" :+-|"))
+        for below in lines[i + 1:]:
+            if len(below) - len(below.lstrip(" :+-|")) <= depth:
+                break
+            if "mapflow_v_" in below and "NM#" in below:
+                bad.append(line.strip())
+    return bad
