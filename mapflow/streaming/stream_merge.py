@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -41,8 +42,14 @@ def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         ctx = ctx_for_batch(batch_id) if ctx_for_batch else RunContext()
         df = transform(batch, ctx) if transform else batch
-        # The batch is a scan of files the offset log pins: re-reading it is exact.
-        load_merge(store, table, df, keys, update_columns, exclude, stage_input=False)
+        # The merge reads its batch several times (key profile, joins).  The batch is a
+        # scan of files the offset log pins, so a lost cached block is recomputed exactly;
+        # MEMORY_AND_DISK spills instead of failing for a large catch-up batch.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            load_merge(store, table, df, keys, update_columns, exclude, stage_input=False)
+        finally:
+            df.unpersist()
 
     # The default checkpoint is stable per target, so each scheduled run resumes
     # where the previous one stopped.
