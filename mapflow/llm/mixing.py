@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh, stored, table
+from .common import WORD, fresh, row_order, stored, table
 
 WEIGHTS = (3, 1, 2)
 
@@ -105,6 +105,23 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: tuple[int, int
                       (F.col("copies") * F.col("size")).alias("taken"), *keep)
 
 
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix`` takes it, with their columns unchanged.
+
+    Rows alike in every column count as one row with the copies of all of them.
+    """
+    uid, times = fresh(docs, "mix_row"), fresh(docs, "mix_times")
+    hashed = docs.withColumn(uid, row_order(docs))
+    keyed = hashed.select(F.col("doc_id"), F.col("source"), F.col("text"), F.col(uid).alias("uid"))
+    taken = stored(mix(keyed, keep=["uid"], **options).groupBy("doc_id", "uid").agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0").withColumnsRenamed({"doc_id": "k_id", "uid": "k_uid"}),
+        "mixing-taken")
+    out = hashed.join(taken, (hashed[uid] == taken.k_uid) & hashed["doc_id"].cast("long").eqNullSafe(taken.k_id))
+    once, again = out.where("rows = 1"), out.where("rows > 1").dropDuplicates([uid])
+    names = [f"`{c}`" for c in docs.columns]
+    return once.union(again).select(*names, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(times)).select(*names)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
