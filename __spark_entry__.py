@@ -385,8 +385,23 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _text_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """The text operators' queries and SQL; empty without their subpackage or the pipeline beside it."""
+    try:
+        import corpus_pipeline
+        from mapflow.llm import queries as text
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "mapflow.llm", "mapflow.llm.queries"):
+            raise
+        return {}, {}
+    sql = dict(text.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**text.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_text_queries()[0]}
 
 
 # --- oracle SQL --------------------------------------------------------------------
@@ -504,4 +519,4 @@ _ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return {**_ORACLE, **_text_queries()[1]}
