@@ -181,7 +181,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: flo
     whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(row), docs["text"].alias("text"),
                         docs["lang"].cast("string").alias("stratum"))
     judged = counts(whole, [row, "stratum"])
-    return judged.where(~(base_failed() | rejected(cutoffs, F.col("stratum")))).select(f"{row}.*")
+    # One row or none from an array: a plain filter would be pushed down and count every text again for each test.
+    good = F.when(~(base_failed() | rejected(cutoffs, F.col("stratum"))), F.array(row))
+    return judged.select(F.explode(good).alias(row)).select(f"{row}.*")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
