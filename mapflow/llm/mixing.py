@@ -111,15 +111,16 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     Rows alike in every column count as one row with the copies of all of them.
     """
     uid, times = fresh(docs, "mix_row"), fresh(docs, "mix_times")
+    copies, rows, key_id, key_uid = (fresh(docs, f"mix_{x}") for x in ("copies", "rows", "key_id", "key_uid"))
     hashed = docs.withColumn(uid, row_order(docs))
     keyed = hashed.select(F.col("doc_id"), F.col("source"), F.col("text"), F.col(uid).alias("uid"))
     taken = stored(mix(keyed, keep=["uid"], **options).groupBy("doc_id", "uid").agg(
-        F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0").withColumnsRenamed({"doc_id": "k_id", "uid": "k_uid"}),
-        "mixing-taken")
-    out = hashed.join(taken, (hashed[uid] == taken.k_uid) & hashed["doc_id"].cast("long").eqNullSafe(taken.k_id))
-    once, again = out.where("rows = 1"), out.where("rows > 1").dropDuplicates([uid])
+        F.sum("copies").alias(copies), F.count("*").alias(rows)).where(F.col(copies) > 0)
+        .withColumnsRenamed({"doc_id": key_id, "uid": key_uid}), "mixing-taken")
+    out = hashed.join(taken, (hashed[uid] == taken[key_uid]) & hashed["doc_id"].cast("long").eqNullSafe(taken[key_id]))
+    once, again = out.where(F.col(rows) == 1), out.where(F.col(rows) > 1).dropDuplicates([uid])
     names = [f"`{c}`" for c in docs.columns]
-    return once.union(again).select(*names, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(times)).select(*names)
+    return once.union(again).select(*names, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(times)).select(*names)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,9 @@
 Two first-order models over ASCII characters are trained from labelled samples:
 values that the base patterns caught in a bounded sample of documents and seeded
 random strings on the one side, long words and identifiers built from the words
-of those documents on the other.  A token's score is the log-likelihood ratio of
-the two, from the start of the token on; the cut is the highest score of held-out
-ordinary tokens plus a margin.  Tokens above it that touch no base span are added
+of those documents and from common program words on the other.  A token's score is
+the log-likelihood ratio of the two per character, from the start of the token on;
+the cut lies between the scores of held-out tokens of both kinds.  Tokens above it that touch no base span are added
 as spans of kind ``markov``.
 
 Null and empty texts have no spans; null ``doc_id`` is kept; repeated rows are
@@ -42,6 +42,16 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 SPANS = ("doc_id long, n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string, "
          "found array<struct<kind:string,start:long,end:long,value_start:long,value_end:long>>")
 
+#: Words that identifiers are made of, beside those of the documents.
+PROGRAM_WORDS = tuple(
+    "get set put add remove delete update insert create open close read write load save send receive start stop run init parse "
+    "format print check test find search select sort filter map list array table index key value name type data file path text "
+    "string number count size length width height time date user account order customer item price total config option param "
+    "request response server client session message event handler error result status state buffer stream thread process "
+    "queue stack node tree graph link page image color font view model control service manager factory builder helper util "
+    "default current previous next first last min max sum average version release build module package class method function "
+    "interface object instance field property attribute element content header footer title description comment".split())
+
 _CODE = np.zeros(256, np.int64)
 for _i, _c in enumerate(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"):
     _CODE[_c] = _i + 1
@@ -76,7 +86,7 @@ def transitions(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class MarkovModel:
-    """``ratio``: log-likelihood ratio of every pair of characters, flat; ``cut``: a token above it is a secret."""
+    """``ratio``: log-likelihood ratio of every pair of characters, flat; ``cut``: a token that scores above it is a secret."""
 
     ratio: np.ndarray
     cut: float
@@ -85,7 +95,7 @@ class MarkovModel:
         if not tokens:
             return np.zeros(0)
         pairs, first = transitions(tokens)
-        return np.add.reduceat(self.ratio[pairs], first)
+        return np.add.reduceat(self.ratio[pairs], first) / np.fromiter(map(len, tokens), np.int64, len(tokens))
 
 
 def seeded_randoms(n: int, seed: int) -> list[str]:
@@ -101,30 +111,39 @@ def identifiers(words: list[str], n: int, seed: int) -> list[str]:
     """Ordinary long names built from words: long words, snake_case, kebab-case, CONSTANTS, paths, camelCase, numbered."""
     rng = random.Random(seed)
     out = [w for w in words if len(w) >= 12]
-    short = [w for w in words if 2 <= len(w) <= 12] or ["get", "user", "name", "data", "file", "config", "value"]
+    short = [w for w in words if 2 <= len(w) <= 12] or list(PROGRAM_WORDS)
     for _ in range(n):
-        w = [rng.choice(short) for _ in range(rng.randint(3, 7))]
+        own = rng.random() < 0.5
+        w = [rng.choice(PROGRAM_WORDS if own else short) for _ in range(rng.randint(3, 7))]
         kind = rng.randrange(6)
         out.append("_".join(w).lower() if kind == 0 else "-".join(w).lower() if kind == 1
                    else "_".join(w).upper() if kind == 2 else "/".join(w) if kind == 3
                    else w[0].lower() + "".join(x.capitalize() for x in w[1:]) if kind == 4
                    else "_".join(w) + str(rng.randint(0, 2030)))
-    out += ["-" * k for k in range(16, 80, 4)] + ["=" * k for k in range(16, 80, 4)] + ["_" * k for k in range(16, 80, 4)]
-    out += ["0123456789" * 2, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "xxxxxxxxxxxxxxxx"]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    runs = [letters, letters.upper(), "0123456789" * 2, letters + "0123456789", "qwertyuiopasdfghjklzxcvbnm"]
+    out += [c * rng.randint(16, 80) for c in letters + letters.upper() + "0123456789+/_=-" for _ in range(80 if c in "-_=" else 6)]
+    out += [r[i:] for r in runs for i in range(0, max(1, len(r) - 12)) for _ in range(3)]
     return [t for t in out if len(t) >= 12]
 
 
-def train(secrets: list[str], ordinary: list[str], margin: float = 4.0) -> MarkovModel:
-    """Add-one-half models of both samples; every fourth ordinary token is held out to place the cut."""
+def train(secrets: list[str], ordinary: list[str]) -> MarkovModel:
+    """Add-one-half models of both samples; a fourth of each is held out to place the cut.
+
+    The cut is half-way between what one ordinary token in a thousand exceeds and what
+    one secret in a hundred falls short of, and no lower than the former.
+    """
     def table_of(tokens):
         pairs, _ = transitions(tokens)
         counts = np.bincount(pairs, minlength=_STATES * _STATES).reshape(_STATES, _STATES) + 0.5
         return np.log(counts / counts.sum(axis=1, keepdims=True))
 
-    fit, held = [t for i, t in enumerate(ordinary) if i % 4], ordinary[::4]
-    model = MarkovModel((table_of(secrets) - table_of(fit)).ravel(), 0.0)
-    top = model.scores(held).max() if held else 0.0
-    return MarkovModel(model.ratio, float(max(0.0, top) + margin))
+    parts = [([t for i, t in enumerate(x) if i % 4], [t for t in x[::4] if len(t) >= 16]) for x in (secrets, ordinary)]
+    (fit_secret, held_secret), (fit_plain, held_plain) = parts
+    model = MarkovModel((table_of(fit_secret) - table_of(fit_plain)).ravel(), 0.0)
+    plain = float(np.quantile(model.scores(held_plain), 0.999)) if held_plain else 0.0
+    secret = float(np.quantile(model.scores(held_secret), 0.01)) if held_secret else plain
+    return MarkovModel(model.ratio, max(plain, (plain + secret) / 2))
 
 
 _WORD = re.compile(r"[A-Za-z]{2,}")

@@ -1,0 +1,48 @@
+"""Awkward document tables that every text operator has to take."""
+
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = " ".join(f"word{i % 997} other{i % 1009}" for i in range(20_000))
+
+ROWS = [
+    (1, "The quick brown fox jumps over the lazy dog of the house and it was in a good mood that day", "en", "a", 10),
+    (1, "The quick brown fox jumps over the lazy dog of the house and it was in a good mood that day", "en", "a", 10),
+    (2, "", "en", "b", 0),
+    (3, None, "fr", None, None),
+    (None, "no id here, but a text of some words", None, "c", 5),
+    (4, LONG, "en", "a", len(LONG)),
+    (5, "   \n\t \x0b\x0c\r ", "de", "b", 8),
+    (6, "Ünïcödé – naïve café 漢字 🙂 end", "de", "", 30),
+    (6, "another text under the same id", None, "c", 30),
+    (7, "\ud7ff\u2028 odd\u0000marks\u00a0here", "es", "d", 3),
+]
+
+#: Names that operators use for themselves somewhere.
+EXTRA = ("fp", "sig", "score", "held_out", "copies", "bucket", "place", "pid", "uid", "k", "copy", "own", "edited", "simhash_row",
+         "simhash_text", "q_row", "q_text", "q_words", "stratum", "mix_row", "mix_times", "component_id", "host", "path", "rows",
+         "n_words", "size", "draw", "tie", "best", "root", "keep_id", "words", "target")
+
+
+def edge(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def wide(spark):
+    """The same rows with clashing further columns, one of them a map."""
+    out = edge(spark)
+    for i, name in enumerate(EXTRA):
+        out = out.withColumn(name, F.lit(f"x{i}"))
+    return out.withColumn("props", F.create_map(F.lit("a"), F.lit(1)))
+
+
+def labels(spark, rows=()):
+    return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
+
+
+def same(df, other):
+    assert sorted(map(repr, df.collect())) == sorted(map(repr, other.collect()))
