@@ -6,11 +6,11 @@ import __spark_entry__ as E
 from conftest import SF01
 from tools.oracle_check import compare
 
-NAMES = sorted(E.queries())
+NAMES = sorted(E._QUERIES)
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E._ORACLE) == set(E._QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
