@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapflow import ColumnSpec, JoinSpec, ModelSpec, RunContext, TableRef, TableRegistry, TableStore
-from mapflow.operators import (assign_surrogate_keys, build_delta, build_model, conform_by_name, duplicate_keys,
-                               load_append, load_insert_by_name, load_landing, load_merge, materialize,
+from mapflow.fixed_values import DEFAULT_TIME_LOGIC, DEFAULT_USER_LOGIC
+from mapflow.operators import (assign_surrogate_keys, build_delta, build_model, conform_by_name, create_view, duplicate_keys,
+                               load_append, load_insert_by_name, load_landing, load_merge, load_truncate, materialize,
                                publish_view, recon_counts, recon_empty_probe, recon_except)
-from mapflow.plans import run_models
+from mapflow.plans import run_models, spec_job
 from mapflow.session import scratch_dir
 from mapflow.sources import catalog_columns
 from mapflow.streaming import stream_merge
@@ -69,8 +70,8 @@ DIM_SPEC = ModelSpec(
              C("REGION_NM", "r.r_name"),
              C("BAL_TIER", "CASE WHEN source.c_acctbal > 5000 THEN 'HIGH' ELSE 'STD' END"),
              C("SEG_NATION", "source.c_mktsegment || '/' || n.n_name"),
-             C("DATA_SRC", "'DW.D_CUSTOMER'"), C("CREATE_DT", "CURRENT_TIMESTAMP()"),
-             C("CREATE_BY", "CAST(CURRENT_USER() AS VARCHAR(200))")),
+             C("DATA_SRC", "'DW.D_CUSTOMER'"), C("CREATE_DT", DEFAULT_TIME_LOGIC),
+             C("CREATE_BY", DEFAULT_USER_LOGIC)),
     joins=(JoinSpec("LEFT", TableRef("nation"), "n", "c_nationkey = n.n_nationkey"),
            JoinSpec("LEFT", TableRef("region"), "r", "n.n_regionkey = r.r_regionkey")),
     where="main.c_acctbal > 0")
@@ -130,9 +131,9 @@ def q_project_ddl_order(spark, d):
 def q_audit_stamp(spark, d):
     spec = ModelSpec(
         source=TableRef("customer"), target="DW.D_CUSTOMER",
-        columns=(C("CUST_ID", "c_custkey"), C("DATA_SRC", "'DW.D_CUSTOMER'"), C("CREATE_DT", "CURRENT_TIMESTAMP()"),
-                 C("CREATE_BY", "CAST(CURRENT_USER() AS VARCHAR(200))"), C("CREATE_PGM", "'DW.D_CUSTOMER'"),
-                 C("UPDATE_DT", "CURRENT_TIMESTAMP()"), C("UPDATE_BY", "CAST(CURRENT_USER() AS VARCHAR(200))"),
+        columns=(C("CUST_ID", "c_custkey"), C("DATA_SRC", "'DW.D_CUSTOMER'"), C("CREATE_DT", DEFAULT_TIME_LOGIC),
+                 C("CREATE_BY", DEFAULT_USER_LOGIC), C("CREATE_PGM", "'DW.D_CUSTOMER'"),
+                 C("UPDATE_DT", DEFAULT_TIME_LOGIC), C("UPDATE_BY", DEFAULT_USER_LOGIC),
                  C("UPDATE_PGM", "'DW.D_CUSTOMER'")))
     return build_model(spec, _registry(spark, d), RUN)
 
@@ -291,20 +292,28 @@ def q_conform_automap(spark, d):
 
 
 def q_landing_load(spark, d):
+    """Every column of the source; of the audit names in it, DATA_SRC, the values are replaced."""
     store = _store(spark)
-    raw = _registry(spark, d).source("testdata.supplier").select(
-        "s_suppkey", "s_name", "s_nationkey", F.lit("raw").alias("DATA_SRC"))
+    raw = _registry(spark, d).source("testdata.supplier").withColumn("DATA_SRC", F.lit("raw"))
     return load_landing(store, "LND.SUPPLIER", raw, "testdata.supplier", RUN)
 
 
+def q_view_lasting(spark, d):
+    """A catalog view with its own column list over the stored table."""
+    return create_view(spark, "dp_supplier_lasting", f"parquet.`{d}/supplier.parquet`",
+                       ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], ["SUPP_ID", "SUPP_NM", "NATION_ID", "BAL"], ctx=RUN)
+
+
 def q_view_positional(spark, d):
     sup = _registry(spark, d).source("supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     return publish_view(sup, "dp_supplier", ["SUPP_ID", "SUPP_NM", "NATION_ID", "BAL"])
 
 
 def q_recon_except(spark, d):
+    """Whole rows of the target against the raw source, by position: their names differ."""
     reg, store = _seed_target(spark, d)
-    return recon_except(store.read("DW.D_CUSTOMER"), build_model(SRC_SPEC, reg, RUN), ["CUST_ID", "ACCT_BAL"])
+    source = reg.source("customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", F.lit("old"), F.lit("old").alias("x"))
+    return recon_except(store.read("DW.D_CUSTOMER"), source)
 
 
 def q_recon_counts(spark, d):
@@ -331,22 +340,155 @@ def q_model_graph(spark, d):
 
 
 def q_stream_merge(spark, d):
+    """All columns of all events, streamed in four batches that hold every key twice: the later revision stays."""
     store = _store(spark)
-    events = _registry(spark, d).source("events")
+    events = _registry(spark, d).source("events").withColumn("rev", F.lit(2))
+    stale = events.withColumns({"value": F.lit(-1.0), "props": F.lit("{}"), "rev": F.lit(1)})
     landing = scratch_dir(spark, "landing-events")
-    events.repartitionByRange(4, "event_id").write.parquet(landing)
+    events.union(stale).repartitionByRange(4, "event_id").write.parquet(landing)
 
     def shape(df, ctx=RUN):
-        return df.select(F.col("event_id").alias("EVENT_ID"), F.col("user_id").alias("USER_ID"),
-                         F.col("event_type").alias("EVENT_TYPE"), F.col("value").alias("VAL"))
+        return df.toDF(*[c.upper() for c in df.columns])
 
-    store.overwrite("RAW.EVENTS", shape(events.where("event_type = 'view'")).withColumn("VAL", F.lit(0.0)))
+    store.overwrite("RAW.EVENTS", shape(events.where("event_type = 'view'")).withColumn("VALUE", F.lit(0.0)))
     q = stream_merge(spark, landing, events.schema, store, "RAW.EVENTS", ["EVENT_ID"], transform=shape,
-                     max_files_per_trigger=1, checkpoint_location=scratch_dir(spark, "stream-checkpoint"))
+                     max_files_per_trigger=1, checkpoint_location=scratch_dir(spark, "stream-checkpoint"), order_by=["REV"])
     q.awaitTermination()
     return store.read("RAW.EVENTS")
 
 
+def q_delta_truncate_load(spark, d):
+    """Truncate-and-load with a delta over a seeded target: the table ends as the whole model."""
+    reg, store = _seed_target(spark, d)
+    return run_models([SRC_SPEC.with_(delta=True, materialization="truncate_load")], reg, store, RUN)["DW.D_CUSTOMER"]
+
+
+def q_delta_mixed_types(spark, d):
+    """Integer model against a double target: values that only the wider type tells apart are changes."""
+    store = _store(spark)
+    reg = _registry(spark, d, store)
+    store.overwrite("DW.D_NATION_OF", reg.source("customer").selectExpr(
+        "c_custkey as CUST_ID", "c_nationkey + if(c_mktsegment = 'BUILDING', 0.5D, 0D) as NATION_ID"))
+    spec = ModelSpec(source=TableRef("customer"), target="DW.D_NATION_OF", unique_key=("CUST_ID",), delta=True,
+                     columns=(C("CUST_ID", "c_custkey"), C("NATION_ID", "c_nationkey")))
+    return build_delta(spec, reg, store.read("DW.D_NATION_OF"), RUN)
+
+
+def q_join_expr_equi(spark, d):
+    """Equality of expressions of both sides: hashed, not looped."""
+    spec = ModelSpec(
+        source=TableRef("orders"), target="DW.F_ORDER",
+        columns=(C("ORDER_ID", "o_orderkey", "orders"), C("CUST_NM", "c.c_name")),
+        joins=(JoinSpec("LEFT", TableRef("customer"), "c",
+                        "upper(cast(source.o_custkey as string)) = trim(cast(c.c_custkey as string)) and c.c_acctbal > 0"),))
+    return build_model(spec, _registry(spark, d), RUN)
+
+
+SEQ_SPEC = SRC_SPEC.with_(columns=(C("CUST_SK", "DW.SEQ_CUSTOMER.NEXTVAL"),) + SRC_SPEC.columns)
+
+
+def _seed_numbered(spark, d):
+    """The current target with a surrogate key, numbered in key order."""
+    reg, store = _seed_target(spark, d)
+    current = store.read("DW.D_CUSTOMER").select("CUST_ID", "CUST_NM", "ACCT_BAL", "SEG_CD")
+    load_truncate(store, "DW.D_CUSTOMER", assign_surrogate_keys(current, ["CUST_ID"], "CUST_SK"))
+    return reg, store
+
+
+def q_merge_with_sequence(spark, d):
+    """Keyed merge of a mapping with a sequence column: new rows are numbered on, matched rows keep their number."""
+    reg, store = _seed_numbered(spark, d)
+    return run_models([SEQ_SPEC.with_(materialization="incremental")], reg, store, RUN)["DW.D_CUSTOMER"]
+
+
+def q_insert_with_sequence(spark, d):
+    """INSERT of the model's rows: all are numbered on from the stored maximum."""
+    reg, store = _seed_numbered(spark, d)
+    return run_models([SEQ_SPEC.with_(materialization="insert", where="c_mktsegment = 'HOUSEHOLD'")], reg, store, RUN)["DW.D_CUSTOMER"]
+
+
+ORDER_SPEC = ModelSpec(
+    source=TableRef("orders"), target="DW.F_ORDER", unique_key=("ORDER_ID",), delta=True, materialization="incremental",
+    columns=(C("ORDER_ID", "o_orderkey", "orders"), C("CUST_ID", "o_custkey", "orders"), C("STATUS", "o_orderstatus", "orders"),
+             C("AMT", "o_totalprice", "orders"), C("ORDER_DT", "o_orderdate", "orders"), C("PRIO", "o_orderpriority", "orders")))
+
+
+def q_merge_orders(spark, d):
+    """Delta of all orders merged into a bucketed target, then a correction of one customer's orders, which touches few buckets."""
+    store = _store(spark)
+    reg = _registry(spark, d, store)
+    old = ORDER_SPEC.with_(where="o_orderpriority <> '1-URGENT'", delta=False)
+    seed = build_model(old, reg, RUN).withColumn("AMT", F.when(F.col("STATUS") == "P", 0.0).otherwise(F.col("AMT")))
+    store.overwrite("DW.F_ORDER", seed, (["ORDER_ID"], 64))
+    run_models([ORDER_SPEC], reg, store, RUN)
+    few = ORDER_SPEC.with_(delta=False, where="o_custkey = 7", columns=ORDER_SPEC.columns[:3] + (
+        C("AMT", "o_totalprice * 2", "orders"),) + ORDER_SPEC.columns[4:])
+    return run_models([few], reg, store, RUN)["DW.F_ORDER"]
+
+
+def q_insert_select_joined(spark, d):
+    """INSERT from a mapping with joins, filter and grouping; target columns it does not name become NULL."""
+    store = _store(spark)
+    reg = _registry(spark, d, store)
+    store.overwrite("DW.A_NATION", reg.source("nation").selectExpr("n_name as NATION_NM", "0L as ORDER_CNT", "n_regionkey as REGION_ID"))
+    spec = ModelSpec(
+        source=TableRef("orders"), target="DW.A_NATION", materialization="insert",
+        columns=(C("ORDER_CNT", "count(*)"), C("NATION_NM", "n.n_name")),
+        joins=(JoinSpec("INNER", TableRef("customer"), "c", "o_custkey = c.c_custkey"),
+               JoinSpec("INNER", TableRef("nation"), "n", "c.c_nationkey = n.n_nationkey")),
+        where="main.o_orderstatus = 'F'", group_by=("n.n_name",))
+    return run_models([spec], reg, store, RUN)["DW.A_NATION"]
+
+
+def q_job_steps(spark, d):
+    """One spec's job: build the table, merge the model into it, insert its rows once more."""
+    store = _store(spark)
+    reg = _registry(spark, d, store)
+    spec = ModelSpec(source=TableRef("part"), target="DW.D_PART", unique_key=("PART_ID",), materialization="truncate_load",
+                     columns=(C("PART_ID", "p_partkey", "part"), C("PART_NM", "p_name", "part"), C("PRICE", "p_retailprice", "part")))
+    job = spec_job(spec, reg, store, RUN)
+    job.run()
+    return store.read("DW.D_PART")
+
+
+def q_group_by_config(spark, d):
+    """A workbook's grouping text with several keys, one of them an expression with a comma."""
+    spec = ModelSpec.from_config({
+        "Source": {"Type": "source", "Database": "LAKE", "Schema": "testdata", "Table Name": "part"},
+        "Target": {"Schema": "DW", "Table Name": "A_PART"},
+        "Columns": [{"Target Column": "BRAND", "Source Table": "part", "Logic": "source.p_brand"},
+                    {"Target Column": "SIZE_CD", "Source Table": "part", "Logic": "coalesce(source.p_size % 5, -1)"},
+                    {"Target Column": "PART_CNT", "Source Table": "part", "Logic": "count(*)"},
+                    {"Target Column": "MAX_PRICE", "Source Table": "part", "Logic": "max(main.p_retailprice)"}],
+        "Group By": "main.p_brand, coalesce(main.p_size % 5, -1)"})
+    return build_model(spec, _registry(spark, d), RUN)
+
+
+def q_merge_chosen_key(spark, d):
+    """An incremental mapping without a key, loaded twice: the chosen key (the _ID column) keeps rows single."""
+    store = _store(spark)
+    reg = _registry(spark, d, store)
+    spec = ModelSpec(source=TableRef("part"), target="DW.D_PART", materialization="incremental",
+                     columns=(C("PART_NM", "p_name", "part"), C("PART_ID", "p_partkey", "part"), C("PRICE", "p_retailprice", "part")))
+    run_models([spec], reg, store, RUN)
+    dearer = spec.with_(columns=spec.columns[:2] + (C("PRICE", "p_retailprice + 1", "part"),), where="p_size > 25")
+    return run_models([dearer], reg, store, RUN)["DW.D_PART"]
+
+
+def q_conform_rules(spark, d):
+    """Conforming by name with renaming rules from source to target names."""
+    return conform_by_name(_registry(spark, d).source("part"), ["PART_ID", "p_name", "LIST_PRICE", "P_SIZE", "NOTE"], "DW.D_PART", RUN,
+                           rules={"P_PARTKEY": "PART_ID", "p_retailprice": "LIST_PRICE"})
+
+
+def q_odd_names(spark, d):
+    """Target names with spaces and parentheses, kept as written."""
+    spec = ModelSpec(source=TableRef("part"), target="DW.D_PART",
+                     columns=(C("Part Key", "p_partkey", "part"), C("Price (USD)", "p_retailprice", "part"),
+                              C("Brand-Size", "p_brand || '/' || cast(p_size as string)", "part")))
+    return build_model(spec, _registry(spark, d), RUN)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_dimension": q_customer_dimension,
     "scan_source": q_scan_source,
@@ -382,6 +524,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_keys": q_duplicate_keys,
     "model_graph": q_model_graph,
     "stream_merge": q_stream_merge,
+    "view_lasting": q_view_lasting,
+    "delta_truncate_load": q_delta_truncate_load,
+    "delta_mixed_types": q_delta_mixed_types,
+    "join_expr_equi": q_join_expr_equi,
+    "merge_with_sequence": q_merge_with_sequence,
+    "insert_with_sequence": q_insert_with_sequence,
+    "merge_orders": q_merge_orders,
+    "insert_select_joined": q_insert_select_joined,
+    "job_steps": q_job_steps,
+    "group_by_config": q_group_by_config,
+    "merge_chosen_key": q_merge_chosen_key,
+    "conform_rules": q_conform_rules,
+    "odd_names": q_odd_names,
 }
 
 
@@ -504,17 +659,58 @@ _ORACLE = {
         f"as CUST_SK from ({_NEW}) n"),
     "conform_automap": (
         "select s_suppkey as S_SUPPKEY, s_name as S_NAME, '' as S_COUNTRY, 'DW.D_SUPPLIER' as DATA_SRC from supplier"),
-    "landing_load": "select s_suppkey, s_name, s_nationkey, 'testdata.supplier' as DATA_SRC from supplier",
+    "landing_load": "select *, 'testdata.supplier' as DATA_SRC from supplier",
     "view_positional": (
         "select s_suppkey as SUPP_ID, s_name as SUPP_NM, s_nationkey as NATION_ID, s_acctbal as BAL from supplier"),
-    "recon_except": f"(select CUST_ID, ACCT_BAL from ({_TGT}) t) except (select CUST_ID, ACCT_BAL from ({_SRC}) s)",
+    "recon_except": (
+        f"(select * from ({_TGT}) t) except (select c_custkey, c_name, c_acctbal, c_mktsegment, 'old', 'old' from customer)"),
     "recon_counts": (
         f"select (select count(*) from ({_TGT}) t) as TARGET_CNT, (select count(*) from ({_SRC}) s) as SOURCE_CNT"),
     "recon_empty_probe": f"select * from ({_TGT}) t where 1=0",
     "duplicate_keys": (
         "select l_orderkey as ORDER_ID, count(*) as DUP_CNT from lineitem group by l_orderkey having count(*) > 1"),
     "model_graph": f"select SEG_CD, count(*) as CUST_CNT, max(ACCT_BAL) as MAX_BAL from ({_SRC}) d group by SEG_CD",
-    "stream_merge": "select event_id as EVENT_ID, user_id as USER_ID, event_type as EVENT_TYPE, value as VAL from events",
+    "stream_merge": (
+        "select event_id as EVENT_ID, ts as TS, user_id as USER_ID, event_type as EVENT_TYPE, value as VALUE, props as PROPS, "
+        "2 as REV from events"),
+    "view_lasting": (
+        "select s_suppkey as SUPP_ID, s_name as SUPP_NM, s_nationkey as NATION_ID, s_acctbal as BAL from supplier"),
+    "delta_truncate_load": _SRC,
+    "delta_mixed_types": (
+        "select c_custkey as CUST_ID, cast(c_nationkey as double) as NATION_ID from customer where c_mktsegment = 'BUILDING'"),
+    "join_expr_equi": (
+        "select o_orderkey as ORDER_ID, c.c_name as CUST_NM from orders source left join customer c "
+        "on upper(cast(source.o_custkey as varchar)) = trim(cast(c.c_custkey as varchar)) and c.c_acctbal > 0"),
+    "merge_with_sequence": (
+        f"with t as (select CUST_ID, row_number() over (order by CUST_ID) as SK from ({_TGT}) a), s as ({_SRC}) "
+        "select coalesce(t.SK, (select max(SK) from t) + row_number() over (partition by t.SK is null order by s.CUST_ID)) as CUST_SK, "
+        "s.* from s left join t on s.CUST_ID = t.CUST_ID"),
+    "insert_with_sequence": (
+        f"with t as (select row_number() over (order by CUST_ID) as CUST_SK, CUST_ID, CUST_NM, ACCT_BAL, SEG_CD from ({_TGT}) a) "
+        "select * from t union all select (select max(CUST_SK) from t) + row_number() over (order by CUST_ID), s.* "
+        f"from ({_SRC}) s where SEG_CD = 'HOUSEHOLD'"),
+    "merge_orders": (
+        "select o_orderkey as ORDER_ID, o_custkey as CUST_ID, o_orderstatus as STATUS, "
+        "case when o_custkey = 7 then o_totalprice * 2 else o_totalprice end as AMT, o_orderdate as ORDER_DT, "
+        "o_orderpriority as PRIO from orders"),
+    "insert_select_joined": (
+        "select n_name as NATION_NM, cast(0 as bigint) as ORDER_CNT, n_regionkey as REGION_ID from nation union all "
+        "select n.n_name, count(*), null from orders source join customer c on o_custkey = c.c_custkey "
+        "join nation n on c.c_nationkey = n.n_nationkey where o_orderstatus = 'F' group by n.n_name"),
+    "job_steps": (
+        "select p_partkey as PART_ID, p_name as PART_NM, p_retailprice as PRICE from part union all "
+        "select p_partkey, p_name, p_retailprice from part"),
+    "group_by_config": (
+        "select p_brand as BRAND, coalesce(p_size % 5, -1) as SIZE_CD, count(*) as PART_CNT, max(p_retailprice) as MAX_PRICE "
+        "from part group by 1, 2"),
+    "merge_chosen_key": (
+        "select p_name as PART_NM, p_partkey as PART_ID, case when p_size > 25 then p_retailprice + 1 else p_retailprice end as PRICE "
+        "from part"),
+    "conform_rules": (
+        "select p_partkey as PART_ID, p_name as p_name, p_retailprice as LIST_PRICE, p_size as P_SIZE, '' as NOTE from part"),
+    "odd_names": (
+        "select p_partkey as \"Part Key\", p_retailprice as \"Price (USD)\", p_brand || '/' || cast(p_size as varchar) as "
+        "\"Brand-Size\" from part"),
 }
 
 

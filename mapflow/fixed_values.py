@@ -29,6 +29,9 @@ SEQUENCE_WORD = "NEXTVAL"
 # Materialisations a mapping may ask for.
 MATERIALIZATIONS = ("table", "view", "truncate_load", "lnd_load", "incremental")
 
+# Loads this library adds to those: an INSERT of the model's rows, matched by name.
+ADDED_MATERIALIZATIONS = ("insert",)
+
 # The characters that mark a logic as computed rather than a plain
 # column for the delta comparison, and the word that does the same.
 COMPUTED_MARKERS = ("'", "(", " ", "+", "-", "*", "/", "||")

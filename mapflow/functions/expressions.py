@@ -66,36 +66,31 @@ def qualify_join_lhs(condition: str, main_alias: str = "source") -> str:
     return _map_outside_quotes(condition, fix)
 
 
-def split_conjuncts(condition: str) -> list[str]:
-    """Split on top-level AND (outside parentheses and literals)."""
-    masked = condition
-    out, depth, start, i = [], 0, 0, 0
-    spans = [(m.start(), m.end()) for m in _QUOTED.finditer(masked)]
-
-    def in_quote(pos):
-        return any(a <= pos < b for a, b in spans)
-
-    upper = masked.upper()
-    while i < len(masked):
-        ch = masked[i]
-        if in_quote(i):
-            i += 1
-            continue
-        if ch == "(":
-            depth += 1
-        elif ch == ")":
-            depth -= 1
-        elif depth == 0 and upper.startswith("AND", i) and (i == 0 or not (masked[i - 1].isalnum() or masked[i - 1] == "_")) \
-                and (i + 3 >= len(masked) or not (masked[i + 3].isalnum() or masked[i + 3] == "_")):
-            out.append(masked[start:i].strip())
-            start = i + 3
-            i += 3
-            continue
-        i += 1
-    out.append(masked[start:].strip())
+def _split_top(text: str, at: str) -> list[str]:
+    """Split where the pattern ``at`` matches outside parentheses and literals."""
+    out, depth, start = [], 0, 0
+    for m in re.finditer(rf"{_QUOTED.pattern}|[()]|(?P<at>{at})", text, re.I):
+        if m.group() in "()":
+            depth += 1 if m.group() == "(" else -1
+        elif m.group("at") and depth == 0:
+            out.append(text[start:m.start()].strip())
+            start = m.end()
+    out.append(text[start:].strip())
     return [c for c in out if c]
 
 
+def split_list(text: str) -> list[str]:
+    """The items of a comma-separated list of expressions."""
+    return _split_top(text, ",")
+
+
+def split_conjuncts(condition: str) -> list[str]:
+    """The parts of a conjunction; a condition with a top-level OR is one part, as AND binds tighter."""
+    if len(_split_top(condition, r"\bOR\b")) > 1:
+        return [condition.strip()]
+    return _split_top(condition, r"\bAND\b")
+
+
 _EQ = re.compile(r"^\(?\s*([A-Za-z_`][\w`$ ]*)\.([\w`$]+)\s*(?:=|==|<=>)\s*([A-Za-z_`][\w`$ ]*)\.([\w`$]+)\s*\)?$")
 
 
@@ -120,23 +115,9 @@ def equi_pairs(condition: str, right_alias: str) -> tuple[list[tuple[str, str]],
     return pairs, pure and bool(pairs)
 
 
-def has_equi_conjunct(condition: str, right_alias: str) -> bool:
-    """True when some top-level conjunct equates a column of ``right_alias``
-    with a column of another relation, so Spark can hash or sort-merge on it."""
-    ra = right_alias.strip("`").lower()
-    for conj in split_conjuncts(condition):
-        m = _EQ.match(conj)
-        if not m:
-            continue
-        a1, a2 = m.group(1).strip("`").lower(), m.group(3).strip("`").lower()
-        if (a1 == ra) != (a2 == ra):
-            return True
-    return False
-
-
-
-
 def is_computed_logic(logic: str | None) -> bool:
+    """True for logic beyond a plain column.  CASE counts as a whole word only, so a
+    column whose name contains it stays plain."""
     if logic is None:
         return True
-    return any(m in logic for m in COMPUTED_MARKERS) or COMPUTED_WORD in logic.upper()
+    return any(m in logic for m in COMPUTED_MARKERS) or re.search(rf"\b{COMPUTED_WORD}\b", logic, re.I) is not None

@@ -17,11 +17,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.audit import RunContext, source_flavour, target_flavour
-from ..functions.expressions import col
+from ..fixed_values import AUDIT_PGM_COLUMNS, AUDIT_TIME_COLUMNS, AUDIT_USER_COLUMNS
+from ..functions.expressions import col, quote
 from ..spec import AUDIT_COLUMNS
 
 
@@ -102,6 +103,27 @@ def positional_rename(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
+def create_view(spark: SparkSession, view_name: str, relation: str, columns: Sequence[str], names: Sequence[str] | None = None,
+                source_name: str | None = None, ctx: RunContext = RunContext()) -> DataFrame:
+    """Create or replace a lasting catalog view with its own column list over a stored relation.
+
+    ``relation`` is a catalog table or a path relation such as ``parquet.`/lake/t.parquet```;
+    audit-named columns get source-flavour values when ``source_name`` is given.  Unlike a
+    temporary view it is the catalog's, not the session's.
+    """
+    names = list(names or columns)
+    if len(names) != len(columns):
+        raise ValueError(f"view lists {len(names)} columns but its select has {len(columns)}")
+    text = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    stamp = "localtimestamp()" if ctx.run_ts is None else f"timestamp_ntz {text(ctx.run_ts.isoformat(sep=' '))}"
+    user = "current_user()" if ctx.run_user is None else text(ctx.run_user)
+    audit = {n: stamp for n in AUDIT_TIME_COLUMNS} | {n: user for n in AUDIT_USER_COLUMNS}
+    audit |= {n: text(view_name) for n in AUDIT_PGM_COLUMNS} | {"DATA_SRC": text(source_name or "")}
+    picked = [audit[c.upper()] if source_name and c.upper() in audit else quote(c) for c in columns]
+    spark.sql(f"CREATE OR REPLACE VIEW {view_name} ({', '.join(map(quote, names))}) AS SELECT {', '.join(picked)} FROM {relation}")
+    return spark.table(view_name)
+
+
 def publish_view(df: DataFrame, view_name: str, names: Sequence[str] | None = None,
                  source_name: str | None = None, target_name: str | None = None,
                  ctx: RunContext = RunContext()) -> DataFrame:

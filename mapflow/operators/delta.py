@@ -52,8 +52,9 @@ def _outer_expr(c: ColumnSpec, spec: ModelSpec, compared_names: list[str], ctx:
     return F.expr(logic).alias(c.target)
 
 
-def build_delta(spec: ModelSpec, registry: TableRegistry, target: DataFrame,
+def build_delta(spec: ModelSpec, registry: TableRegistry, target: DataFrame | None,
                 ctx: RunContext = RunContext()) -> DataFrame:
+    """New and changed rows of the model against ``target``; None stands for an empty target."""
     if spec.group_by:
         raise ValueError("delta models cannot group")
     compared, outer = classify_columns(spec)
@@ -62,12 +63,14 @@ def build_delta(spec: ModelSpec, registry: TableRegistry, target: DataFrame,
     frame, source_columns = model_frame(spec, registry)
     inner = frame.select(*[column_expr(c, spec, source_columns, ctx) for c in compared])
     names = [c.target for c in compared]
-    have = {c.upper(): c for c in target.columns}
-    missing = [n for n in names if n.upper() not in have]
-    if missing:
-        raise ValueError(f"target lacks compared columns {missing}")
-    current = target.select(*[col(have[n.upper()]) for n in names])
-    changed = distinct_except(inner, current)
+    if target is None:
+        changed = inner.distinct()
+    else:
+        have = {c.upper(): c for c in target.columns}
+        missing = [n for n in names if n.upper() not in have]
+        if missing:
+            raise ValueError(f"target lacks compared columns {missing}")
+        changed = distinct_except(inner, target.select(*[col(have[n.upper()]) for n in names]))
     try:
         out = changed.select(*[_outer_expr(c, spec, names, ctx) for c in outer], *[quote(n) for n in names])
         out.schema  # analyse now so a bad outer logic fails here

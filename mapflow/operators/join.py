@@ -1,16 +1,15 @@
 """Join chain of a model: each join row adds one relation under its alias.
 
-Equi joins go to Catalyst, which picks broadcast hash (size estimate under
-``spark.sql.autoBroadcastJoinThreshold``, re-checked at runtime by AQE) or a
-shuffled sort-merge join, with AQE splitting skewed partitions.  A condition
-with no equality between the two sides cannot be hashed: it is accepted only
-when the joined side is proven small (a bounded count) and is then broadcast
-to a nested-loop join; two unbounded sides with a pure range condition, and
-joins with no condition at all (a product), are refused.
+The condition goes to Catalyst, which hashes or sort-merges on any equality of
+expressions of the two sides; AQE re-checks broadcasts at runtime and splits skewed
+partitions.  The guard looks at the operator Spark plans, not at the text: a
+Cartesian product is refused, and so is a nested loop unless the joined side
+is known to be small (``THETA_MAX_BYTES``).  Joins with no condition at all are refused.
 
 AQE splits a skewed partition on the left side of a LEFT join and on either
 side of an INNER join, but never the right side of a LEFT join nor any side of
-a FULL join.  A join row with ``skew="split"`` therefore plans an outer join
+a FULL join.  RIGHT and FULL joins, and LEFT joins whose joined side is too large
+to broadcast, are therefore planned (``skew="auto"`` or ``"split"``; not ``"none"``)
 as the inner join (both sides splittable) plus, per preserved side, that side
 anti-joined with the other (null-padded).  For a pure equi condition the anti
 join's other side is reduced to its distinct key values first, so a key held
@@ -20,12 +19,15 @@ the result equals the outer join, at the cost of reading both sides twice.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from functools import reduce
 
-from ..functions.expressions import equi_pairs, has_equi_conjunct, qualify_join_lhs, rewrite_main
+from ..functions.expressions import equi_pairs, qualify_join_lhs, rewrite_main
 from ..spec import JoinSpec
 
 # Join words a mapping may use, and the Spark join type of each.
@@ -39,10 +41,11 @@ JOIN_TYPES = {
     "FULL OUTER": "full_outer",
 }
 
-# Largest row count a side may have to be broadcast for a non-equi join.  Each
-# row of the other side is compared with every broadcast row, so the cost is
-# (other side) x (this bound): keep it to lookup-table sizes.
-THETA_BROADCAST_MAX_ROWS = 10_000
+# Largest size a joined side may have in a nested-loop join, in which each row of the
+# other side meets every row of this one: lookup tables only.  The bytes are Catalyst's
+# estimate; rows are counted (up to the bound) only where it has none, as for local data.
+THETA_MAX_BYTES = 10 * 1024 * 1024
+THETA_MAX_ROWS = 10_000
 
 
 class JoinError(ValueError):
@@ -58,31 +61,52 @@ def spark_join_type(word: str) -> str:
     return JOIN_TYPES[w]
 
 
-def bounded_count(df: DataFrame, limit: int) -> int | None:
-    """Row count of ``df`` if at most ``limit``, else None (reads at most limit+1 rows)."""
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
+def size_estimate(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimised plan in bytes; reads no rows."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def known_small(df: DataFrame, max_bytes: int, max_rows: int) -> bool:
+    """True when ``df`` is within ``max_bytes`` by its estimate, or has no estimate and few rows."""
+    size = size_estimate(df)
+    if size < int(df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()):
+        return size <= max_bytes
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def planned_operators(df: DataFrame) -> list[str]:
+    """Names of the join operators Spark plans, without running anything."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return re.findall(r"CartesianProduct|BroadcastNestedLoopJoin|BroadcastHashJoin|ShuffledHashJoin|SortMergeJoin", plan)
 
 
 def apply_join(left: DataFrame, right: DataFrame, join: JoinSpec, main_alias: str = "source",
-               theta_max_rows: int = THETA_BROADCAST_MAX_ROWS) -> DataFrame:
+               theta_max_bytes: int = THETA_MAX_BYTES, theta_max_rows: int = THETA_MAX_ROWS) -> DataFrame:
     how = spark_join_type(join.how)
     if not join.condition or not join.condition.strip():
         raise JoinError(f"join to {join.table.name} AS {join.alias} has no condition; "
                         "a product of two tables is not supported")
     cond = qualify_join_lhs(rewrite_main(join.condition, main_alias), main_alias)
     right = right.alias(join.alias)
-    if not has_equi_conjunct(cond, join.alias):
+    joined = left.join(right, F.expr(cond), how)
+    before, after = Counter(planned_operators(left)), Counter(planned_operators(joined))
+    if after["CartesianProduct"] > before["CartesianProduct"] or after["BroadcastNestedLoopJoin"] > before["BroadcastNestedLoopJoin"]:
         if how not in ("inner", "left"):
             raise JoinError(f"non-equi {how} join to {join.alias} is not supported; "
                             "only INNER or LEFT with a small joined side")
-        if bounded_count(right, theta_max_rows) is None:
-            raise JoinError(f"non-equi join to {join.alias}: joined side has more than {theta_max_rows} rows; "
-                            "add an equality between the two sides")
-        right = F.broadcast(right)
-    elif join.skew == "split" and how != "inner":
+        if not known_small(right, theta_max_bytes, theta_max_rows):
+            raise JoinError(f"join to {join.alias} would compare every row with every row: it has no equality between the "
+                            f"two sides, and the joined side is not known to be under {theta_max_bytes} bytes")
+        return left.join(F.broadcast(right), F.expr(cond), how)
+    if join.skew != "none" and (how in ("right", "full_outer") or how == "left" and (join.skew == "split" or _too_large(right))):
         return split_outer_join(left, right, cond, how, join.alias)
-    return left.join(right, F.expr(cond), how)
+    return joined
+
+
+def _too_large(right: DataFrame) -> bool:
+    """True when Spark would not broadcast ``right`` by its estimate."""
+    limit = right.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size_estimate(right) > int(limit)
 
 
 def split_outer_join(left: DataFrame, right: DataFrame, cond: str, how: str, right_alias: str) -> DataFrame:

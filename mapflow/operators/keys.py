@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from ..fixed_values import KEY_CODE_SUFFIX, KEY_ID_NAMES, KEY_ID_SUFFIXES
 from ..functions.expressions import col, quote
-from ..session import checkpoint_root
+from ..session import scratch_dir
 from ..spec import ModelSpec
 
 
@@ -97,32 +97,42 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], sample: int = 5) -> N
         raise DuplicateKeyError(f"merge input has duplicate keys {list(keys)}, e.g. {[tuple(r) for r in dups]}")
 
 
+def hashable_columns(df: DataFrame) -> list:
+    """All columns in a form that hashes; maps, which have no order, enter as text of their sorted entries."""
+    out = []
+    for f in df.schema.fields:
+        if f.dataType.typeName() == "map":
+            out.append(F.to_json(F.sort_array(F.map_entries(col(f.name)))))
+        else:
+            out.append(F.to_json(col(f.name)) if "map<" in f.dataType.simpleString() else col(f.name))
+    return out
+
+
 def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk_col: str, start_after: int | None = 0,
-                          num_partitions: int | None = None) -> DataFrame:
+                          num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Add ``sk_col`` = start_after + dense position of each row by ``order_by``.
 
     Range-partition and sort by the order plus a hash of the whole row as tie
     breaker (so one order value held by many rows spreads over adjacent
     partitions instead of landing in one, and ties number reproducibly), then
-    write the result with a
-    reliable ``checkpoint`` (shared checkpoint folder) so partition contents
-    cannot move between the two passes below, even if executors are lost.
-    Pass 1 counts rows per partition (one row per partition reaches the
-    offset window, a bounded input); pass 2 adds the partition's offset to the
-    row's position inside its partition, which ``monotonically_increasing_id``
-    carries in its low 33 bits.  No row crosses the network after the range
-    shuffle and nothing is collected to the driver.
+    write the rows as Parquet to the shared checkpoint folder (``path``, for a
+    caller that removes it after use) with their partition and place in it, so
+    both passes below read one and the same numbering even if executors are
+    lost.  Pass 1 counts rows per partition (one row per partition reaches the
+    offset window); pass 2 adds the partition's offset to the place.  No row
+    crosses the network after the range shuffle.  Partitions follow
+    ``spark.sql.shuffle.partitions`` unless given.
     """
-    checkpoint_root(df.sparkSession)
+    spark = df.sparkSession
+    path = path or scratch_dir(spark, "surrogate")
     start = int(start_after or 0)
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    order = [col(c) for c in order_by] + [F.xxhash64(*[col(c) for c in df.columns]).alias("__tie")]
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [col(c) for c in order_by] + [F.xxhash64(*hashable_columns(df)).alias("__tie")]
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    staged = ordered.checkpoint(eager=True)
-    with_pos = staged.select("*", F.spark_partition_id().alias("__pid"),
-                             (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("__pos"))
-    counts = staged.groupBy(F.spark_partition_id().alias("__pid")).agg(F.count(F.lit(1)).alias("__cnt"))
+    ordered.select("*", F.spark_partition_id().alias("__pid"),
+                   F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__pos")).write.parquet(path)
+    placed = spark.read.parquet(path)
+    counts = placed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = counts.select("__pid", (F.sum("__cnt").over(Window.orderBy("__pid")) - F.col("__cnt")).alias("__off"))
-    out = with_pos.join(F.broadcast(offsets), "__pid", "left")
-    sk = (F.lit(start) + F.coalesce(F.col("__off"), F.lit(0)) + F.col("__pos") + F.lit(1)).cast("bigint")
-    return out.select(*[col(c) for c in df.columns], sk.alias(sk_col))
+    sk = (F.lit(start) + F.col("__off") + F.col("__pos") + F.lit(1)).cast("bigint")
+    return placed.join(F.broadcast(offsets), "__pid").select(*[col(c) for c in df.columns], sk.alias(sk_col))

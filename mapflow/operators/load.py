@@ -19,66 +19,20 @@ removed when the load has committed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.audit import RunContext
+from ..functions.expressions import col
 from ..session import scratch_dir
-from ..sources.store import TableStore, remove_path
+from ..sources.store import MAX_PARTS, TableNotFound, TableStore, remove_path
 from ..spec import DEFAULT_UPDATE_EXCLUDE, ModelSpec
 from .conform import landing_projection
-from .join import bounded_count
+from .join import size_estimate
 from .keys import assert_unique_keys, assign_surrogate_keys, key_profile
-from .merge import align_to, merge_frames
-
-# A merge batch is broadcast (target not shuffled) only under both bounds:
-# an exact row count, and rows x schema width as an in-memory estimate.
-MERGE_BROADCAST_MAX_ROWS = 2_000_000
-MERGE_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-
-def _row_width(df: DataFrame) -> int:
-    """Bytes per row in memory, estimated from the schema (strings count 64)."""
-    def width(t: T.DataType) -> int:
-        if isinstance(t, (T.BooleanType, T.ByteType)):
-            return 1
-        if isinstance(t, (T.ShortType,)):
-            return 2
-        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-            return 4
-        if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-            return 8
-        if isinstance(t, T.DecimalType):
-            return 16
-        if isinstance(t, T.StructType):
-            return sum(width(f.dataType) for f in t.fields)
-        if isinstance(t, (T.ArrayType, T.MapType, T.BinaryType)):
-            return 256
-        return 64
-    return sum(width(f.dataType) for f in df.schema.fields) + 16
-
-
-def _broadcast_limit(batch: DataFrame, max_rows: int | None, max_bytes: int | None) -> int:
-    max_rows = MERGE_BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    max_bytes = MERGE_BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    return min(max_rows, max_bytes // _row_width(batch))
-
-
-def merge_strategy(batch: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
-                   rows: int | None = None) -> str:
-    """'broadcast' when the batch provably fits the bounds, else 'shuffle'.
-
-    ``rows`` is an exact count when the caller has one; otherwise a bounded
-    count reads at most limit+1 rows."""
-    limit = _broadcast_limit(batch, max_rows, max_bytes)
-    if limit <= 0:
-        return "shuffle"
-    if rows is not None:
-        return "broadcast" if rows <= limit else "shuffle"
-    return "broadcast" if bounded_count(batch, limit) is not None else "shuffle"
-
+from .merge import align_to, merge_parts
 
 def stage(df: DataFrame) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh folder in the shared checkpoint root; read it back."""
@@ -93,49 +47,93 @@ def load_truncate(store: TableStore, table: str, df: DataFrame,
     return store.read(table)
 
 
-def load_append(store: TableStore, table: str, df: DataFrame) -> DataFrame:
-    if store.exists(table):
-        df = align_to(df, store.read(table).schema, fill_missing=False)
-    store.append(table, df)
+def next_sequence(store: TableStore, table: str, column: str) -> int:
+    """Largest number of ``column`` stored so far, 0 if none."""
+    return store.read(table).agg(F.max(col(column))).first()[0] or 0 if store.exists(table) else 0
+
+
+@contextmanager
+def numbered(df: DataFrame, column: str | None, order_by: Sequence[str], start: int):
+    """``df`` with ``column`` numbered after ``start``; what it stages is removed at the end of the block."""
+    if column is None:
+        yield df
+        return
+    path = scratch_dir(df.sparkSession, "surrogate")
+    layout = list(df.columns) if column.upper() in {c.upper() for c in df.columns} else [*df.columns, column]
+    rest = df.select(*[col(c) for c in df.columns if c.upper() != column.upper()])
+    try:
+        yield assign_surrogate_keys(rest, order_by or rest.columns, column, start, path=path).select(*[col(c) for c in layout])
+    finally:
+        remove_path(df.sparkSession, path)
+
+
+def load_append(store: TableStore, table: str, df: DataFrame, sequence: str | None = None,
+                order_by: Sequence[str] = ()) -> DataFrame:
+    """Append by name; ``sequence``: a column numbered after the table's largest, in ``order_by``."""
+    base = store.snapshot(table)
+    with numbered(df, sequence, order_by, next_sequence(store, table, sequence) if sequence else 0) as rows:
+        store.append(table, align_to(rows, base.schema, fill_missing=False) if base else rows, base=base)
     return store.read(table)
 
 
-def load_insert_by_name(store: TableStore, table: str, df: DataFrame) -> DataFrame:
-    """``INSERT INTO t (cols) SELECT ...``: match by name, NULL for the rest."""
-    current = store.read(table)
-    store.append(table, align_to(df, current.schema, fill_missing=True))
+def load_insert_by_name(store: TableStore, table: str, df: DataFrame, sequence: str | None = None,
+                        order_by: Sequence[str] = ()) -> DataFrame:
+    """``INSERT INTO t (cols) SELECT ...``: match by name, NULL for the rest; ``sequence`` as in ``load_append``."""
+    base = store.snapshot(table)
+    if base is None:
+        raise TableNotFound(f"INSERT into {table}: no such table")
+    with numbered(df, sequence, order_by, next_sequence(store, table, sequence) if sequence else 0) as rows:
+        store.append(table, align_to(rows, base.schema, fill_missing=True), base=base)
     return store.read(table)
 
 
+def merge_strategy(batch: DataFrame) -> str:
+    """``"small"`` when Spark would broadcast ``batch`` by its estimate (file sizes, for a staged batch)."""
+    limit = int(batch.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return "small" if size_estimate(batch) <= limit else "shuffle"
+
+
 def load_merge(store: TableStore, table: str, source: DataFrame, keys: Sequence[str],
                update_columns: Sequence[str] | None = None,
                exclude: Sequence[str] | None = DEFAULT_UPDATE_EXCLUDE,
                check_duplicates: bool = True, stage_input: bool = True,
-               strategy: str | None = None, buckets: int | None = None) -> DataFrame:
+               strategy: str | None = None, buckets: int | None = None, sequence: str | None = None,
+               tags: dict | None = None) -> DataFrame:
     """Keyed upsert of ``source`` into ``table`` (created from ``source`` if absent).
 
     ``stage_input=False`` skips staging when ``source`` is already a scan of
-    immutable files (a streaming micro-batch, a stored table).  ``strategy``
-    forces ``"shuffle"`` or ``"broadcast"``; by default a size check decides.
-    ``buckets`` creates a new target bucketed by ``keys`` (see ``TableStore``).
+    immutable files.  ``strategy`` forces ``"shuffle"`` or ``"broadcast"``.
+    ``buckets`` creates a new target bucketed by ``keys`` (see ``TableStore``); a
+    batch that touches at most half of a target's buckets rewrites only these.
+    ``sequence``: a column that inserted rows get numbered in, after the largest
+    stored number and in key order; matched rows keep theirs.
     """
     staged, path = stage(source) if stage_input else (source, None)
     try:
-        rows = None
-        if check_duplicates:
-            rows, dup = key_profile(staged, keys)
-            if dup > 1:
-                assert_unique_keys(staged, keys)  # raises, with examples
-        if not store.exists(table):
-            store.overwrite(table, staged, (list(keys), buckets) if buckets else None)
-        else:
-            how = strategy or merge_strategy(staged, rows=rows)
-            # A target read as n buckets comes out of the merge partitioned by
-            # bucket (kept rows by the scan, inserts by key): write it as is.
-            bucketed = store.is_bucketed_read(table)
-            n = store.bucketing(table)[1] if bucketed else None
-            merged = merge_frames(store.read(table), staged, keys, update_columns, exclude, how, n)
-            store.overwrite(table, merged, distribute=not bucketed)
+        if check_duplicates and key_profile(staged, keys)[1] > 1:
+            assert_unique_keys(staged, keys)  # raises, with examples
+        base = store.snapshot(table)
+        if base is None:
+            with numbered(staged, sequence, keys, 0) as rows:
+                store.overwrite(table, rows, (list(keys), buckets) if buckets else None, tags=tags)
+            return store.read(table)
+        start = next_sequence(store, table, sequence) if sequence else 0
+        exclude = [*(exclude or ()), sequence] if sequence else exclude
+        how, touched = strategy or merge_strategy(staged), None
+        if base.bucketing and {k.upper() for k in base.bucketing[0]} == {k.upper() for k in keys} and len(base.parts) < MAX_PARTS:
+            touched = store.touched_buckets(base, align_to(staged, base.schema))
+            touched = touched if 2 * len(touched) <= base.bucketing[1] else None
+        # A target read as n buckets comes out of the merge partitioned by
+        # bucket (kept rows by the scan, inserts by key): write it as is.
+        bucketed = touched is None and store.is_bucketed_read(table)
+        kept, inserts = merge_parts(store.read(table, base, touched), staged, keys, update_columns, exclude, how,
+                                    base.bucketing[1] if bucketed and not sequence else None)
+        with numbered(inserts, sequence, keys, start) as new:
+            merged = kept.unionByName(new)
+            if touched is not None:
+                store.replace_buckets(table, merged, touched, base, tags)
+            else:
+                store.overwrite(table, merged, distribute=not bucketed or bool(sequence), base=base, tags=tags)
     finally:
         if path:
             remove_path(source.sparkSession, path)
@@ -151,25 +149,28 @@ def load_landing(store: TableStore, table: str, df: DataFrame, source_name: str,
 def load_with_surrogate_key(store: TableStore, table: str, df: DataFrame, sk_col: str,
                             order_by: Sequence[str]) -> DataFrame:
     """Insert rows numbered after the table's current maximum ``sk_col``."""
-    current = store.read(table)
-    start = current.agg(F.max(sk_col)).first()[0] or 0
-    numbered = assign_surrogate_keys(df, order_by, sk_col, start)
-    store.append(table, align_to(numbered, current.schema, fill_missing=True))
-    return store.read(table)
+    return load_insert_by_name(store, table, df, sk_col, order_by)
 
 
 def materialize(spec: ModelSpec, df: DataFrame, store: TableStore, ctx: RunContext = RunContext()) -> DataFrame:
-    """Load a built model the way its spec says; returns the table as stored."""
+    """Load a built model the way its spec says; returns the table as stored.
+
+    A sequence column numbers the rows that are new to the table, in key order.
+    """
     table = spec.target
     m = spec.materialization
     bucket_by = (list(spec.unique_key), spec.buckets) if spec.buckets else None
+    sequence = spec.sequence_column
     if m in ("table", "truncate_load"):
-        return load_truncate(store, table, df, bucket_by)
+        with numbered(df, sequence, spec.unique_key, 0) as rows:
+            return load_truncate(store, table, rows, bucket_by)
     if m == "lnd_load":
         return load_landing(store, table, df, spec.source.name, ctx)
+    if m == "insert":
+        return load_insert_by_name(store, table, df, sequence, spec.unique_key)
     if m == "incremental":
         if spec.unique_key:
             return load_merge(store, table, df, spec.unique_key, spec.update_columns, spec.exclusions,
-                              buckets=spec.buckets)
-        return load_append(store, table, df)
+                              buckets=spec.buckets, sequence=sequence)
+        return load_append(store, table, df, sequence, spec.unique_key)
     raise ValueError(f"materialization {m!r} is not a table load")

@@ -8,7 +8,7 @@ side.  Keys use plain ``=``, so NULL keys never match.  The plan has two parts:
   updated where matched;
 * inserts: ``batch LEFT ANTI (target keys)`` gives the batch rows with a new key.
 
-With a batch of proven size (the caller checks) both joins broadcast the batch
+With a small batch both joins broadcast the batch
 and the target is never shuffled: the target key column is semi-joined with the
 broadcast batch keys and de-duplicated, so the inserts' anti join sees at most
 one row per batch row.  Otherwise both joins shuffle; the target is the streamed (left) side of
@@ -64,22 +64,24 @@ def _all_not_null(alias: str | None, keys: Sequence[str]) -> Column:
     return cond
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 update_columns: Sequence[str] | None = None,
-                 exclude: Sequence[str] | None = DEFAULT_UPDATE_EXCLUDE,
-                 strategy: str = "shuffle", partitions: int | None = None) -> DataFrame:
-    """New target state after upserting ``source`` on ``keys``.
+def merge_parts(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                update_columns: Sequence[str] | None = None,
+                exclude: Sequence[str] | None = DEFAULT_UPDATE_EXCLUDE,
+                strategy: str = "shuffle", partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the target's rows after the upsert, the rows to insert), both in the target's layout.
 
     ``update_columns`` lists what a match may overwrite; when omitted it is
     every target column except ``exclude``.  Unmatched source rows are
     inserted whole; target columns the source lacks are NULL for them.
-    ``strategy="broadcast"`` is only for a source whose size was checked.
+    ``strategy``: ``"shuffle"`` for a batch of any size; ``"small"`` plans for a
+    batch that Catalyst is likely to broadcast, and leaves that to it;
+    ``"broadcast"`` forces it, for a batch whose size the caller has checked.
     ``partitions=n`` hash-partitions the inserted rows into ``n`` by key, to
     match a target read as ``n`` buckets (the kept rows already are).
     """
     if not keys:
         raise ValueError("a merge needs at least one key column")
-    if strategy not in ("shuffle", "broadcast"):
+    if strategy not in ("shuffle", "small", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
     schema = target.schema
     tkeys = _resolve(keys, target.columns, "key")
@@ -89,33 +91,34 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
         updatable = {c.upper() for c in target.columns if c.upper() not in excl}
     else:
         updatable = {c.upper() for c in _resolve(update_columns, target.columns, "update")}
-    return _merge(target, src, tkeys, updatable, strategy == "broadcast", partitions)
-
-
-def _merge(target: DataFrame, src: DataFrame, tkeys: list[str], updatable: set[str], small: bool,
-           partitions: int | None) -> DataFrame:
-    flagged = src.withColumn("__matched", F.lit(True))
+    hinted = F.broadcast if strategy == "broadcast" else (lambda df: df)
     cond = None
     for k in tkeys:
         c = col(k, "t") == col(k, "s")
         cond = c if cond is None else cond & c
-    right = F.broadcast(flagged) if small else flagged
+    right = hinted(src.withColumn("__matched", F.lit(True)))
     joined = target.alias("t").join(right.alias("s"), cond, "left")
     hit = F.col("s.__matched").isNotNull()
     kept = joined.select(*[
         (F.when(hit, col(f.name, "s")).otherwise(col(f.name, "t")) if f.name.upper() in updatable
          and f.name not in tkeys else col(f.name, "t")).alias(f.name)
-        for f in target.schema.fields
+        for f in schema.fields
     ])
     target_keys = target.select(*[col(k) for k in tkeys]).where(_all_not_null(None, tkeys))
-    if small:
+    if strategy != "shuffle":
         # distinct matched keys: at most one per batch row, so as bounded as the batch
         # (without the distinct, a key duplicated in the target would repeat)
-        target_keys = F.broadcast(
-            target_keys.join(F.broadcast(src.select(*[col(k) for k in tkeys])), tkeys, "left_semi").distinct())
+        target_keys = hinted(
+            target_keys.join(hinted(src.select(*[col(k) for k in tkeys])), tkeys, "left_semi").distinct())
     else:
         target_keys = target_keys.distinct()
-    inserts = src.join(target_keys, tkeys, "left_anti")
+    inserts = src.join(target_keys, tkeys, "left_anti").select(*[col(f.name) for f in schema.fields])
     if partitions:
         inserts = inserts.repartition(partitions, *[col(k) for k in tkeys])
+    return kept, inserts
+
+
+def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *args, **options) -> DataFrame:
+    """New target state after upserting ``source`` on ``keys``; options as in ``merge_parts``."""
+    kept, inserts = merge_parts(target, source, keys, *args, **options)
     return kept.unionByName(inserts)

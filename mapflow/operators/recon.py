@@ -1,6 +1,7 @@
 """Reconciliation of a loaded target against its source.
 
-* ``recon_except``: target rows absent from the source (distinct, NULLs equal).
+* ``recon_except``: target rows absent from the source (distinct, NULLs equal),
+  whole rows by position, as their names usually differ, or by the given names.
 * ``recon_counts``: both row counts in one row, from one job: the two sides
   are tagged and unioned, then counted in a single global aggregate (partial
   counts per task, no join).
@@ -21,8 +22,9 @@ from .setops import distinct_except
 
 
 def recon_except(target: DataFrame, source: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    cols = list(columns) if columns else list(target.columns)
-    return distinct_except(target.select(*[col(c) for c in cols]), source.select(*[col(c) for c in cols]))
+    if not columns:
+        return distinct_except(target, source)
+    return distinct_except(*(df.select(*[col(c) for c in columns]) for df in (target, source)))
 
 
 def recon_counts(target: DataFrame, source: DataFrame,

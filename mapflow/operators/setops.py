@@ -78,10 +78,14 @@ def distinct_except(left: DataFrame, right: DataFrame) -> DataFrame:
     if len(left.columns) != len(right.columns):
         raise ValueError(f"EXCEPT needs equal column counts: {left.columns} vs {right.columns}")
     right = right.toDF(*left.columns)
+    if [f.dataType for f in left.schema.fields] != [f.dataType for f in right.schema.fields]:
+        # Compare in Spark's common type of both sides, as UNION and EXCEPT do: casting one
+        # side to the other's type would make different values equal.
+        common = left.limit(0).union(right.limit(0)).schema
+        widened = [col(f.name).cast(f.dataType).alias(f.name) for f in common.fields]
+        left, right = left.select(*widened), right.select(*widened)
     if not _encodable(left.schema):
         return left.subtract(right)
-    if [f.dataType for f in left.schema.fields] != [f.dataType for f in right.schema.fields]:
-        right = right.select(*[col(f.name).cast(f.dataType) for f in left.schema.fields])
     keys = [c for i in range(len(left.columns)) for c in (f"__v{i}", f"__n{i}")]
     l_enc = _encode(left).distinct()
     r_enc = _encode(right).distinct()

@@ -1,3 +1,3 @@
-from .graph import CycleError, Job, run_models, topo_order
+from .graph import CycleError, Job, run_models, spec_job, topo_order
 
-__all__ = ["CycleError", "Job", "run_models", "topo_order"]
+__all__ = ["CycleError", "Job", "run_models", "spec_job", "topo_order"]

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.audit import RunContext
 from ..operators.delta import build_delta
+from ..operators.keys import with_merge_key
 from ..operators.load import materialize
 from ..operators.select import build_model
 from ..sources.registry import TableRegistry
@@ -59,8 +60,12 @@ def run_models(specs: Sequence[ModelSpec], registry: TableRegistry, store: Table
     """Build (and load) every model in dependency order; returns each output."""
     out: dict[str, DataFrame] = {}
     for spec in topo_order(specs):
-        if spec.delta and store is not None and store.exists(spec.target):
-            df = build_delta(spec, registry, store.read(spec.target), ctx)
+        if store is not None:
+            spec = with_merge_key(spec)  # an incremental model always merges by some key
+        if spec.delta and store is not None:
+            # A replacing load empties its target first: every row of the model is new to it.
+            current = store.read(spec.target) if store.exists(spec.target) and not spec.replaces else None
+            df = build_delta(spec, registry, current, ctx)
         else:
             df = build_model(spec, registry, ctx)
         if spec.materialization != "view":
@@ -91,3 +96,25 @@ class Job:
             results[name] = fn()
             self.timings[name] = time.perf_counter() - t0
         return results
+
+
+def spec_job(spec: ModelSpec, registry: TableRegistry, store: TableStore, ctx: RunContext = RunContext(),
+             steps: Sequence[str] = ("build", "merge", "insert")) -> Job:
+    """The load steps of one spec in their fixed order: build, then merge, then insert.
+
+    ``build`` loads the model's table as its spec says; ``merge`` upserts the model's
+    rows by its key; ``insert`` appends them by name.  ``steps`` picks which run.
+    """
+    if unknown := set(steps) - {"build", "merge", "insert"}:
+        raise ValueError(f"unknown steps {sorted(unknown)}")
+    keyed = with_merge_key(spec.with_(materialization="incremental"))
+    runs = {
+        "build": lambda: run_models([spec], registry, store, ctx)[spec.target.upper()],
+        "merge": lambda: materialize(keyed, build_model(keyed, registry, ctx), store, ctx),
+        "insert": lambda: materialize(spec.with_(materialization="insert"), build_model(spec, registry, ctx), store, ctx),
+    }
+    job = Job(spec.target)
+    for name in ("build", "merge", "insert"):
+        if name in steps:
+            job.add(name, runs[name])
+    return job

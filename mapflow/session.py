@@ -46,8 +46,8 @@ def build_session(master: str | None = None, app_name: str = "mapflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir``); only when it is unset is a
-    local folder created and installed as the checkpoint directory.
+    Read from the session (``spark.checkpoint.dir``); only when it is unset, and Spark
+    runs in one local process, is a local folder created and installed instead.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -58,6 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share: a machine's own folder "
+                           "cannot hold tables and checkpoints on a cluster")
     local = tempfile.mkdtemp(prefix="mapflow-ckpt-")
     sc.setCheckpointDir(local)
     return local

@@ -1,4 +1,4 @@
 from .registry import TableRegistry, catalog_columns
-from .store import TableNotFound, TableStore
+from .store import CommitConflict, TableNotFound, TableStore
 
-__all__ = ["TableRegistry", "TableStore", "TableNotFound", "catalog_columns"]
+__all__ = ["CommitConflict", "TableRegistry", "TableStore", "TableNotFound", "catalog_columns"]

@@ -54,12 +54,11 @@ class TableRegistry:
         key = name.upper()
         if key in self._sources:
             return self._sources[key]()
-        # Three-part names: DATABASE.SCHEMA.TABLE -> try SCHEMA.TABLE, then TABLE.
+        # DATABASE.SCHEMA.TABLE may have been registered without its database, but a name
+        # never loses its schema: another schema's table of the same name is another table.
         parts = key.split(".")
-        for i in range(1, len(parts)):
-            sub = ".".join(parts[i:])
-            if sub in self._sources:
-                return self._sources[sub]()
+        if len(parts) == 3 and ".".join(parts[1:]) in self._sources:
+            return self._sources[".".join(parts[1:])]()
         return self.spark.table(name)
 
     def ref(self, name: str) -> DataFrame:
@@ -87,5 +86,4 @@ def catalog_columns(spark: SparkSession, table: str | DataFrame) -> DataFrame:
         T.StructField("COLUMN_NAME", T.StringType(), False),
         T.StructField("DATA_TYPE", T.StringType(), False),
     ])
-    # One local partition, rows already in ordinal order: no sort job needed.
-    return spark.createDataFrame(rows, out_schema)
+    return spark.createDataFrame(rows, out_schema).orderBy("ORDINAL_POSITION")

@@ -13,12 +13,22 @@ from typing import Any
 
 from pyspark.sql.types import StructType
 
-from .fixed_values import (AUDIT_COLUMNS, DEFAULT_UPDATE_EXCLUDE, MATERIALIZATIONS, SEQUENCE_WORD,  # noqa: F401
-                           SHEET_ARTEFACTS)
+from .fixed_values import (ADDED_MATERIALIZATIONS, AUDIT_COLUMNS, DEFAULT_UPDATE_EXCLUDE, MATERIALIZATIONS,  # noqa: F401
+                           SEQUENCE_WORD, SHEET_ARTEFACTS)
+from .functions.expressions import split_list
 
 GROUPINGS = ("plain", "rollup", "cube")
 
 
+def _join_table(row: dict[str, Any]) -> "TableRef":
+    """A join row's table: ``source name.table`` for an external one, the model's own name otherwise."""
+    kind, name = row.get("Table Type", "ref"), row["Table Name"]
+    table = TableRef(name, kind)
+    if table.kind == "source" and row.get("Source Name") and "." not in name:
+        return TableRef(f"{row['Source Name']}.{name}", kind)
+    return table
+
+
 @dataclass(frozen=True)
 class TableRef:
     """A relation a model reads: an external ``source`` or another model (``ref``)."""
@@ -50,7 +60,8 @@ class ColumnSpec:
 @dataclass(frozen=True)
 class JoinSpec:
     """One join row.  ``skew="split"`` plans an outer join as inner join plus
-    anti joins, so a hot key on either side can be split (see ``join.py``)."""
+    anti joins, so a hot key on either side can be split; ``"auto"`` does so where
+    AQE alone cannot, ``"none"`` never (see ``join.py``)."""
 
     how: str
     table: TableRef
@@ -59,8 +70,8 @@ class JoinSpec:
     skew: str = "auto"
 
     def __post_init__(self):
-        if self.skew not in ("auto", "split"):
-            raise ValueError(f"skew must be 'auto' or 'split', got {self.skew!r}")
+        if self.skew not in ("auto", "split", "none"):
+            raise ValueError(f"skew must be 'auto', 'split' or 'none', got {self.skew!r}")
 
 
 @dataclass(frozen=True)
@@ -86,8 +97,9 @@ class ModelSpec:
     def __post_init__(self):
         if self.grouping not in GROUPINGS:
             raise ValueError(f"grouping must be one of {GROUPINGS}, got {self.grouping!r}")
-        if self.materialization not in MATERIALIZATIONS:
-            raise ValueError(f"materialization must be one of {MATERIALIZATIONS}, got {self.materialization!r}")
+        loads = MATERIALIZATIONS + ADDED_MATERIALIZATIONS
+        if self.materialization not in loads:
+            raise ValueError(f"materialization must be one of {loads}, got {self.materialization!r}")
         if len(self.target.split(".")) != 2:
             raise ValueError(f"target must be SCHEMA.TABLE, got {self.target!r}")
         # A blank key is no key.
@@ -105,6 +117,19 @@ class ModelSpec:
     def target_table(self) -> str:
         return self.target.split(".")[1]
 
+    @property
+    def replaces(self) -> bool:
+        """True for loads after which the table holds exactly the model's rows."""
+        return self.materialization in ("table", "truncate_load", "lnd_load")
+
+    @property
+    def sequence_column(self) -> str | None:
+        """The target column that a sequence numbers, if the mapping has one."""
+        names = [c.target for c in self.columns if c.is_sequence and not c.is_artefact]
+        if len(names) > 1:
+            raise ValueError(f"more than one sequence column: {names}")
+        return names[0] if names else None
+
     @property
     def exclusions(self) -> tuple[str, ...]:
         return DEFAULT_UPDATE_EXCLUDE if self.update_exclude is None else tuple(self.update_exclude)
@@ -123,14 +148,18 @@ class ModelSpec:
         """Build a spec from the JSON shape of a flattened mapping sheet."""
         src = cfg["Source"]
         tgt = cfg["Target"]
-        source = TableRef(f"{src['Schema']}.{src['Table Name']}", src.get("Type", "source"))
+        # A model is referred to by its target name; an external table also by its database.
+        kind = src.get("Type", "source")
+        base = f"{src['Schema']}.{src['Table Name']}"
+        external = TableRef(base, kind).kind == "source" and src.get("Database")
+        source = TableRef(f"{src['Database']}.{base}" if external else base, kind)
         columns = tuple(
             ColumnSpec(c["Target Column"], c.get("Logic"), c.get("Source Table") or None, c.get("Position"))
             for c in cfg.get("Columns", [])
         )
         joins = tuple(
-            JoinSpec(j.get("Join Type") or "LEFT", TableRef(j["Table Name"], j.get("Table Type", "ref")),
-                     j["Alias"], j.get("Join Condition") or None, (j.get("Skew") or "auto").lower())
+            JoinSpec(j.get("Join Type") or "LEFT", _join_table(j), j["Alias"],
+                     j.get("Join Condition") or None, (j.get("Skew") or "auto").lower())
             for j in cfg.get("Joins", [])
         )
         keys = tgt.get("unique_key") or []
@@ -143,7 +172,7 @@ class ModelSpec:
         deps = tuple(f"{s}.{o}" for s, o in zip(dep_schemas, dep_objects))
         group_by = cfg.get("Group By") or ()
         if isinstance(group_by, str):
-            group_by = (group_by,)
+            group_by = tuple(split_list(group_by))
         exclude = cfg.get("MERGE_UPDATE_EXCLUDE_COLUMNS")
         kwargs = dict(
             source=source,

@@ -5,27 +5,47 @@ is upserted into the target by ``foreachBatch``.  The streaming checkpoint
 (in the shared folder) records which files were merged, so each file set is
 merged once; with ``trigger(availableNow=True)`` a scheduled run processes
 what arrived since the last run and stops.  ``foreachBatch`` is
-at-least-once: a batch replayed after a failure re-applies the same upsert to
-a version that may already hold it, which leaves the same rows.  Pass
-``ctx_for_batch`` to make audit stamps depend on the batch id only.
+at-least-once, so the version a batch commits carries the stream's last batch
+id, and a batch replayed after a failure is skipped: rows with a NULL key, which
+match nothing, are not inserted twice either.  A key that occurs more than once
+in a batch keeps its latest row by ``order_by``; without that, it is an error.
+Pass ``ctx_for_batch`` to make audit stamps depend on the batch id only.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.audit import RunContext
+from ..functions.expressions import col
+from ..operators.keys import hashable_columns
 from ..operators.load import load_merge
 from ..session import checkpoint_root
 from ..sources.store import TableStore
 from ..spec import DEFAULT_UPDATE_EXCLUDE
 
 
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key, the last by ``order_by`` (ties: by all columns); rows with a NULL key all stay.
+
+    The largest (order, row) of a key is an aggregate, combined before the shuffle, so a key
+    that holds most of the rows costs one row per task.
+    """
+    present = F.lit(True)
+    for k in keys:
+        present = present & col(k).isNotNull()
+    row = F.struct(*[col(c) for c in df.columns])
+    rank = F.struct(*[col(c) for c in order_by], *[c for c in hashable_columns(df)])
+    last = df.where(present).groupBy(*[col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max_by(row, rank).alias("__row"))
+    return last.select("__row.*").unionByName(df.where(~present))
+
+
 def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store: TableStore, table: str,
                  keys: Sequence[str], transform: Callable[[DataFrame, RunContext], DataFrame] | None = None,
                  update_columns: Sequence[str] | None = None,
@@ -33,27 +53,28 @@ def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store
                  checkpoint_location: str | None = None, fmt: str = "parquet",
                  max_files_per_trigger: int | None = None, available_now: bool = True,
                  processing_time: str | None = None,
-                 ctx_for_batch: Callable[[int], RunContext] | None = None) -> StreamingQuery:
+                 ctx_for_batch: Callable[[int], RunContext] | None = None,
+                 order_by: Sequence[str] | None = None) -> StreamingQuery:
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(input_path)
 
+    # The default checkpoint is stable per target, so each scheduled run resumes
+    # where the previous one stopped.
+    location = checkpoint_location or f"{checkpoint_root(spark)}/mapflow/streams/{table.upper()}"
+    tag = "stream:" + hashlib.sha1(location.encode()).hexdigest()[:16]
+
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        current = store.snapshot(table)
+        if current is not None and current.tags.get(tag, -1) >= batch_id:
+            return  # committed before the failure that led to this replay
         ctx = ctx_for_batch(batch_id) if ctx_for_batch else RunContext()
         df = transform(batch, ctx) if transform else batch
-        # The merge reads its batch several times (key profile, joins).  The batch is a
-        # scan of files the offset log pins, so a lost cached block is recomputed exactly;
-        # MEMORY_AND_DISK spills instead of failing for a large catch-up batch.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            load_merge(store, table, df, keys, update_columns, exclude, stage_input=False)
-        finally:
-            df.unpersist()
+        if order_by:
+            df = latest_per_key(df, keys, order_by)
+        load_merge(store, table, df, keys, update_columns, exclude, tags={tag: batch_id})
 
-    # The default checkpoint is stable per target, so each scheduled run resumes
-    # where the previous one stopped.
-    location = checkpoint_location or f"{checkpoint_root(spark)}/mapflow/streams/{table.upper()}"
     writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", location)
     if available_now:
         writer = writer.trigger(availableNow=True)

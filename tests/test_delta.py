@@ -78,3 +78,39 @@ def test_distinct_except_one_shuffle_per_side(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert txt.count("Arguments: hashpartitioning") == 2
+
+
+def test_widened_types_keep_differences(spark):
+    ints = spark.createDataFrame([(1,), (2,)], "v int")
+    doubles = spark.createDataFrame([(1.5,), (2.0,)], "v double")
+    assert [r.v for r in distinct_except(ints, doubles).collect()] == [1.0]
+    assert sorted(r.v for r in distinct_except(doubles, ints).collect()) == [1.5]
+    money = spark.sql("select cast(10.50 as decimal(10,2)) as v")
+    assert distinct_except(spark.sql("select 10 as v"), money).count() == 1
+    assert distinct_except(spark.sql("select 10.5 as v"), money).count() == 0
+
+
+@pytest.mark.parametrize("load", ["truncate_load", "table", "lnd_load"])
+def test_a_replacing_load_with_delta_keeps_every_row(spark, store, load):
+    from mapflow.plans import run_models
+
+    store.overwrite("DW.T", spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "K int, V int"))
+    reg = TableRegistry(spark, store).register_source("S", spark.createDataFrame([(1, 10), (2, 21), (3, 30)], "k int, v int"))
+    spec = ModelSpec(source=TableRef("S"), target="DW.T", unique_key=("K",), delta=True, materialization=load,
+                     columns=(C("K", "k"), C("V", "v")))
+    assert rows(run_models([spec], reg, store)["DW.T"]) == [(1, 10), (2, 21), (3, 30)]
+
+
+def test_delta_sees_a_change_the_target_type_would_hide(spark, store):
+    from mapflow.plans import run_models
+
+    store.overwrite("DW.T", spark.createDataFrame([(1, 10.5), (2, 20.0)], "K int, V double"))
+    reg = TableRegistry(spark, store).register_source("S", spark.createDataFrame([(1, 10), (2, 20)], "k int, v int"))
+    spec = ModelSpec(source=TableRef("S"), target="DW.T", unique_key=("K",), delta=True, materialization="incremental",
+                     columns=(C("K", "k"), C("V", "v")))
+    assert rows(run_models([spec], reg, store)["DW.T"]) == [(1, 10.0), (2, 20.0)]
+
+
+def test_a_column_named_like_case_is_compared(spark):
+    spec = _spec(columns=(C("K", "k"), C("CASE_ID", "case_id")))
+    assert [c.target for c in classify_columns(spec)[0]] == ["K", "CASE_ID"]

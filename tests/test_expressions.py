@@ -1,5 +1,5 @@
-from mapflow.functions.expressions import (has_equi_conjunct, is_bare_identifier, is_computed_logic,
-                                           qualify_join_lhs, rewrite_main, split_conjuncts)
+from mapflow.functions.expressions import (equi_pairs, is_bare_identifier, is_computed_logic, qualify_join_lhs,
+                                           rewrite_main, split_conjuncts, split_list)
 
 
 def test_rewrite_main_only_outside_literals():
@@ -23,11 +23,16 @@ def test_split_conjuncts_respects_parentheses_and_literals():
     assert split_conjuncts("brand = 1 and operand = 2") == ["brand = 1", "operand = 2"]
 
 
-def test_equi_detection():
-    assert has_equi_conjunct("source.a = n.b and n.c < 20", "n")
-    assert not has_equi_conjunct("source.a > n.b and source.c > 0", "n")
-    assert not has_equi_conjunct("n.a = n.b", "n")
-    assert has_equi_conjunct("source.a <=> n.b", "n")
+def test_equi_pairs():
+    assert equi_pairs("source.a = n.b and n.c < 20", "n") == ([("source.a", "b")], False)
+    assert equi_pairs("source.a > n.b and source.c > 0", "n") == ([], False)
+    assert equi_pairs("n.a = n.b", "n") == ([], False)
+    assert equi_pairs("source.a <=> n.b", "n") == ([("source.a", "b")], True)
+    assert equi_pairs("source.a = n.b and n.c > 5 or source.a > 290", "n") == ([], False)
+
+
+def test_lists_split_on_top_level_commas_only():
+    assert split_list("a, coalesce(b, c) , 'x, y', `d,e`") == ["a", "coalesce(b, c)", "'x, y'", "`d,e`"]
 
 
 def test_bare_and_computed():
@@ -37,3 +42,4 @@ def test_bare_and_computed():
         assert is_computed_logic(logic)
     assert not is_computed_logic("OPCO_CD")
     assert not is_computed_logic("items.OPCO_CD")
+    assert not is_computed_logic("case_id") and not is_computed_logic("s.UPPERCASE")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_text, rows
 from mapflow import ColumnSpec, JoinSpec, ModelSpec, RunContext, TableRef, TableRegistry
@@ -46,7 +47,7 @@ def test_no_condition_refused(spark):
         build_model(_spec("LEFT", None), _reg(spark))
 
 
-def test_theta_join_needs_a_bounded_side(spark):
+def test_theta_join_needs_a_bounded_side(spark, registry):
     reg = _reg(spark)
     spec = _spec("LEFT", "source.V > j.ID * 10")
     out = build_model(spec, reg)
@@ -55,6 +56,50 @@ def test_theta_join_needs_a_bounded_side(spark):
     left = reg.source("S").alias("source")
     with pytest.raises(JoinError):
         apply_join(left, reg.source("J"), spec.joins[0], theta_max_rows=1)
+    orders = registry.source("orders")
+    with pytest.raises(JoinError):
+        apply_join(orders.alias("source"), orders, JoinSpec("LEFT", TableRef("orders"), "j", "source.o_orderkey > j.o_custkey"),
+                   theta_max_bytes=1000)
+
+
+@pytest.mark.parametrize("how", ["INNER", "LEFT", "RIGHT", "FULL"])
+@pytest.mark.parametrize("cond", ["upper(source.NM) = j.NM", "source.ID = cast(j.NM as bigint)", "trim(source.NM) = j.NM and j.ID > 3"])
+def test_equality_of_expressions_is_an_equi_join(spark, how, cond):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reg = TableRegistry(spark)
+        for name in ("S", "J"):
+            reg.register_source(name, spark.range(20_000).selectExpr("id as ID", "cast(id as string) as NM"))
+        out = build_model(_spec(how, cond, (ColumnSpec("A", "source.ID", "S"), ColumnSpec("B", "j.ID", "J"))), reg)
+        text = plan_text(out)
+        assert "NestedLoop" not in text and "CartesianProduct" not in text
+        want = reg.source("S").alias("source").join(reg.source("J").alias("j"), F.expr(cond), spark_join_type(how))
+        assert rows(out) == rows(want.select(F.col("source.ID").alias("A"), F.col("j.ID").alias("B")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_or_that_makes_a_product_is_refused(spark, registry):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cond = "source.o_custkey = j.o_custkey and j.o_custkey > 5 or source.o_orderkey > 290"
+        with pytest.raises(JoinError):
+            apply_join(registry.source("orders").alias("source"), registry.source("orders"),
+                       JoinSpec("INNER", TableRef("orders"), "j", cond), theta_max_bytes=1000)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_outer_joins_are_split_by_default(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reg = _reg(spark)
+        cols = (ColumnSpec("SID", "source.ID", "S"), ColumnSpec("JID", "j.ID", "J"))
+        for how, anti in (("LEFT", 1), ("RIGHT", 1), ("FULL", 2)):
+            text = plan_text(build_model(_spec(how, "source.ID = j.ID", cols), reg))
+            assert text.count("Join type: LeftAnti") == anti and "FullOuter" not in text and "RightOuter" not in text, how
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_filter_pushed_to_scan(spark, registry):

@@ -1,4 +1,3 @@
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,18 +80,6 @@ def test_positional_view(spark):
     assert v.columns == ["ID", "NM"] and spark.table("v_test").count() == 1
 
 
-def test_store_ignores_uncommitted_versions(spark, store):
-    load_truncate(store, "DW.T", spark.createDataFrame([(1,)], "K bigint"))
-    # a failed job leaves a version folder without _SUCCESS
-    bad = store.current_path("DW.T").replace("version-000000001", "version-000000002")
-    spark.createDataFrame([(9,)], "K bigint").write.parquet(bad)
-    local = bad.replace("file:", "")
-    os.remove(os.path.join(local, "_SUCCESS"))
-    assert rows(store.read("DW.T")) == [(1,)]
-    load_truncate(store, "DW.T", spark.createDataFrame([(3,)], "K bigint"))
-    assert store.version("DW.T") == 3 and rows(store.read("DW.T")) == [(3,)]
-
-
 def test_surrogate_keys_hot_order_value_spreads(spark):
     # a third of the rows share one order value
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("G"),

@@ -97,16 +97,20 @@ def test_broadcast_merge_never_shuffles_target(spark):
     assert "SortMergeJoin" not in txt and "BroadcastHashJoin LeftOuter" in txt
 
 
-def test_load_merge_picks_strategy_by_size(spark, store, monkeypatch):
+def test_load_merge_picks_strategy_by_measured_size(spark, store):
     import mapflow.operators.load as L
-    assert L.merge_strategy(spark.range(10)) == "broadcast"
-    assert L.merge_strategy(spark.range(10), max_rows=5) == "shuffle"
-    s = spark.createDataFrame([(1, "a", 1.0, "n", "n")], SCHEMA)
-    load_merge(store, "DW.M", s, ["K"])
-    monkeypatch.setattr(L, "MERGE_BROADCAST_MAX_ROWS", 0)
-    assert L.merge_strategy(spark.range(10)) == "shuffle"
-    out = load_merge(store, "DW.M", spark.createDataFrame([(2, "b", 1.0, "n", "n")], SCHEMA), ["K"])
-    assert rows(out, "K") == [(1,), (2,)]
+    wide, _ = L.stage(spark.range(3000).selectExpr("id as K", "repeat(sha2(cast(id as string), 512), 40) as NM"))
+    narrow, _ = L.stage(spark.range(10).selectExpr("id as K"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        assert L.merge_strategy(narrow) == "small" and L.merge_strategy(wide) == "shuffle"
+        s = spark.createDataFrame([(1, "a", 1.0, "n", "n")], SCHEMA)
+        load_merge(store, "DW.M", s, ["K"])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = load_merge(store, "DW.M", spark.createDataFrame([(2, "b", 1.0, "n", "n")], SCHEMA), ["K"])
+        assert rows(out, "K") == [(1,), (2,)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_shuffle_merge_with_hot_duplicated_target_key(spark):
