@@ -7,8 +7,10 @@ from labelled documents: going from the loosest cutoff to the strictest, a cutof
 taken as long as the exact binomial test on the labelled good documents says that it
 rejects at most ``risk`` of good documents, and the walk ends at the first that
 fails.  The walk needs no correction of its own; over strata and rules the error
-probability ``delta`` is divided evenly (Bonferroni).  Where labels are too few to
-certify anything, nothing more is rejected.
+probability ``delta`` is divided evenly (Bonferroni), so all cutoffs passed hold at
+once and any of them may be picked: it is the one that rejects the most labelled bad
+documents over good ones, the loosest of equals, and none where good ones prevail.
+Where labels are too few to certify anything, nothing more is rejected.
 
 What reaches the driver is one count per certifiable stratum, rule and cutoff.  A
 stratum counts only with the labelled documents that a certificate needs.
@@ -129,30 +131,38 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return max(0.0, 1.0 - front * fraction(b, a, 1.0 - x) / b)
 
 
-def certified_cutoffs(tallies: dict[tuple, tuple[int, list[int]]], risk: float = RISK, delta: float = DELTA) -> dict[tuple, float]:
-    """Cutoffs by (stratum, rule) from (good documents, of these above each cutoff); keys without one are left out."""
+def certified_cutoffs(tallies: dict[tuple, tuple[int, list[int], list[int]]], risk: float = RISK,
+                      delta: float = DELTA) -> dict[tuple, float]:
+    """Cutoffs by (stratum, rule) from (good documents, of these above each cutoff, bad ones above each).
+
+    Keys without a cutoff are left out.
+    """
     each = delta / max(1, len(tallies))
     out = {}
-    for (stratum, rule), (n, above) in tallies.items():
-        for cutoff, k in zip(RULES[rule], above):
+    for (stratum, rule), (n, above, caught) in tallies.items():
+        most = 0
+        for cutoff, k, bad in zip(RULES[rule], above, caught):
             if binomial_tail(k, n, risk) > each:
                 break
-            out[stratum, rule] = cutoff
+            if bad - k > most:
+                out[stratum, rule], most = cutoff, bad - k
     return out
 
 
 def fit_cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> dict[tuple, float]:
-    """Cutoffs from all labelled good documents that pass the base test; ``counted``: ``doc_id``, ``stratum``, counts."""
-    good = (labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-            .agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id"))
-    held = counted.where(~base_failed()).join(good, "doc_id")
+    """Cutoffs from all labelled documents that pass the base test; ``counted``: ``doc_id``, ``stratum``, counts."""
+    marked = (labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+              .agg((F.min("quality") == 1).alias("good")))
+    held = counted.where(~base_failed()).join(marked, "doc_id")
     shares = measures()
     least = math.ceil(math.log(delta / len(RULES)) / math.log1p(-risk))  # fewer can never certify a cutoff
     tally = held.groupBy("stratum").agg(
-        F.count("*").alias("n"),
-        *[F.sum(F.when(shares[r] > c, 1).otherwise(0)).alias(f"{r}_{i}") for r, cuts in RULES.items() for i, c in enumerate(cuts)],
+        F.count_if("good").alias("n"),
+        *[F.count_if((shares[r] > c) & (F.col("good") == good)).alias(f"{r}_{i}_{good}")
+          for r, cuts in RULES.items() for i, c in enumerate(cuts) for good in (True, False)],
     ).where(F.col("n") >= least).collect()
-    tallies = {(row.stratum, r): (row.n, [row[f"{r}_{i}"] for i in range(len(cuts))]) for row in tally for r, cuts in RULES.items()}
+    tallies = {(row.stratum, r): (row.n, *([row[f"{r}_{i}_{good}"] for i in range(len(cuts))] for good in (True, False)))
+               for row in tally for r, cuts in RULES.items()}
     return certified_cutoffs(tallies, risk, delta)
 
 
@@ -222,21 +232,24 @@ shares as (
   unpivot (select doc_id, lang, base_failed, symbols::double as symbols, dup_lines::double as dup_lines, repeats::double as repeats,
                   capitals::double as capitals, long_words::double as long_words from b)
   on symbols, dup_lines, repeats, capitals, long_words into name rule value share),
-good as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1),
+marked as (select doc_id, min(quality) = 1 as good from labels where quality is not null group by doc_id),
 tally as (
-  select lang, rule, place, cutoff, count(*) as n, count(*) filter (where share > cutoff) as k
-  from shares join good using (doc_id) join cuts using (rule) where not base_failed group by all
-  having count(*) >= ceil(ln({DELTA} / {len(RULES)}) / ln(1 - {RISK}))),
+  select lang, rule, place, cutoff, count(*) filter (where good) as n, count(*) filter (where good and share > cutoff) as k,
+         count(*) filter (where not good and share > cutoff) as caught
+  from shares join marked using (doc_id) join cuts using (rule) where not base_failed group by all
+  having count(*) filter (where good) >= ceil(ln({DELTA} / {len(RULES)}) / ln(1 - {RISK}))),
 tests as (select greatest(1, count(*)) as n from (select distinct lang, rule from tally)),
 tail as (
-  select lang, rule, place, cutoff,
+  select lang, rule, place, cutoff, caught - k as gain,
          (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))
           from (select unnest(range(0, k + 1)) as i)) as p
   from tally),
 passed as (
-  select lang, rule, cutoff from (
+  select lang, rule, cutoff, gain from (
     select *, bool_and(p <= {DELTA} / (select n from tests)) over (partition by lang, rule order by place) as ok from tail) where ok),
-chosen as (select lang, rule, min(cutoff) as cutoff from passed group by all),
+chosen as (
+  select lang, rule, cutoff from passed where gain > 0
+  qualify row_number() over (partition by lang, rule order by gain desc, cutoff desc) = 1),
 out as (
   select distinct s.doc_id from shares s join chosen on s.rule = chosen.rule and s.lang is not distinct from chosen.lang and s.share > chosen.cutoff)
 select b.doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,

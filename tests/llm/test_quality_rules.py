@@ -71,20 +71,25 @@ def test_binomial_tail_at_large_counts():
 
 def test_the_walk_ends_at_the_first_cutoff_that_fails():
     cuts = RULES["dup_lines"]
-    above = [0, 0, 3, 60, 0, 0, 0]
-    assert certified_cutoffs({("en", "dup_lines"): (1000, above)}) == {("en", "dup_lines"): cuts[2]}
-    assert certified_cutoffs({("en", "dup_lines"): (200, [0] * 7)}) == {}
+    above, bad = [0, 0, 3, 60, 0, 0, 0], [0, 5, 9, 99, 99, 99, 99]
+    key = ("en", "dup_lines")
+    assert certified_cutoffs({key: (1000, above, bad)}) == {key: cuts[2]}
+    assert certified_cutoffs({key: (200, [0] * 7, bad)}) == {}
+    # Of those passed, the one with the largest gain; the loosest of equals; none where good ones prevail.
+    assert certified_cutoffs({key: (1000, [0, 0, 3, 60], [0, 5, 8, 99])}) == {key: cuts[1]}
+    assert certified_cutoffs({key: (1000, [0, 1, 2, 2], [0, 1, 1, 2])}) == {}
 
 
 def test_false_rejection_stays_under_the_risk(spark):
     """Good documents with symbol shares drawn from one law: the chosen cutoff rejects at most the risk of fresh ones."""
     words = " ".join(f"w{i}" for i in range(100))
-    fixed = lambda i: words + " #" * int(100 * ((i * 7919) % 1000 / 1000) ** 4)
-    docs = spark.createDataFrame([(i, fixed(i), "en") for i in range(4000)], "doc_id long, text string, lang string")
-    lab = labels(spark, [(i, 1, 0) for i in range(0, 4000, 2)])
+    share = lambda i: 60 if i % 10 == 3 else int(100 * ((i * 7919) % 1000 / 1000) ** 4)  # noqa: E731  a tenth are bad
+    docs = spark.createDataFrame([(i, words + " ".join([""] + [f"#x{k}" for k in range(share(i))]), "en") for i in range(4000)],
+                                 "doc_id long, text string, lang string")
+    lab = labels(spark, [(i, int(i % 10 != 3), 0) for i in range(0, 4000) if i % 4 < 2 or i % 10 == 3])
     kept = {r.doc_id for r in judge(docs, lab).where("kept").collect()}
-    fresh = [i for i in range(1, 4000, 2)]
-    assert 1 - len(kept & set(fresh)) / len(fresh) <= 0.012
+    fresh = [i for i in range(4000) if i % 4 >= 2 and i % 10 != 3]
+    assert 1 - len(kept & set(fresh)) / len(fresh) <= 0.015
     assert {r.doc_id for r in keep_good(docs, lab).collect()} == kept
 
 
