@@ -38,7 +38,9 @@ ANCHORS = tuple(sorted(set(
     + "der die das den dem des ein eine einer und ist im in von zu mit für auf nicht auch sich als an".split()
     + "el la los las de del que y en un una es por con para no se lo su al como más".split())))
 
-_SPLIT = f"(?: (?:{'|'.join(ANCHORS)}) )+"
+# One anchor: runs between neighbouring anchors are empty and drop out.  (A repeated group
+# would make the regular expression recurse once for each anchor of a long row of them.)
+_SPLIT = f" (?:{'|'.join(ANCHORS)}) "
 _RUN = f"(?: [^ ]+ ){{1,{RUN}}}"
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 

@@ -92,6 +92,13 @@ def test_edges(spark, tmp_path):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_long_rows_of_anchors(spark):
+    """A repeated group in the splitting pattern would overflow the stack here."""
+    df = spark.createDataFrame([("the " * 60_000 + "cat sat " + "of the and " * 20_000,), ("word " * 50_000,)], "t string")
+    a, b = with_signatures(df, "t", "s").select("s").collect()
+    assert len(a.s) == 1 and len(b.s) <= 3
+
+
 def test_equal_texts_have_equal_signatures(spark):
     df = spark.createDataFrame([("The cat of the house, and a dog.",), ("the CAT of the house and a dog",)], "t string")
     a, b = with_signatures(df, "t", "s").select("s").collect()
