@@ -23,7 +23,7 @@ that knows nothing and gives the base rate.  Very long texts are scored whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,7 +84,14 @@ def grams(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np.nd
     who = np.concatenate(owners)
     order = np.argsort(who, kind="stable")
     counts = np.bincount(who, minlength=len(words))
-    return np.concatenate(ids)[order].astype(np.int64), np.cumsum(counts) - counts
+    return np.concatenate(ids)[order].astype(np.int32), np.cumsum(counts) - counts
+
+
+def grams_of_many(words: list[bytes], buckets: int, chunk: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """``grams`` of a long list, in chunks: the intermediate arrays are many times the result."""
+    parts = [grams(words[k:k + chunk], buckets) for k in range(0, len(words), chunk)]
+    shift = np.cumsum([0, *(len(i) for i, _ in parts)])
+    return (np.concatenate([i for i, _ in parts]), np.concatenate([s + d for (_, s), d in zip(parts, shift)]))
 
 
 def _means(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -106,7 +113,7 @@ class ToxicityModel:
     def word_scores(self, words: list[bytes]) -> np.ndarray:
         if not words:
             return np.zeros(0)
-        ids, starts = grams(words, len(self.bucket))
+        ids, starts = grams_of_many(words, len(self.bucket))
         return _means(self.bucket[ids].astype(np.float64), starts)
 
     def probability(self, raw: np.ndarray) -> np.ndarray:
@@ -131,7 +138,7 @@ class _Trainer:
 
     def __init__(self, words: list[bytes], buckets: int, dim: int, seed: int):
         rng = np.random.default_rng(seed)
-        self.ids, self.starts = grams(words, buckets)
+        self.ids, self.starts = grams_of_many(words, buckets)
         self.words, self.buckets = len(words), buckets
         self.used = np.zeros(buckets, bool)
         self.used[self.ids] = True
@@ -143,7 +150,7 @@ class _Trainer:
 
     def word_numbers(self) -> np.ndarray:
         e, w, _ = self.params
-        return _means((e @ (w[:, 1] - w[:, 0]))[self.ids].astype(np.float64), self.starts)
+        return _means((e @ (w[:, 1] - w[:, 0]))[self.ids], self.starts)
 
     def step(self, passages: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, rate: float, decay: float) -> None:
         e, w, b = self.params
@@ -151,9 +158,9 @@ class _Trainer:
         sizes = np.fromiter(map(len, passages), np.int64, len(passages))
         begins = np.cumsum(sizes) - sizes
         here, back = np.unique(flat, return_inverse=True)  # words of this batch
-        own = np.concatenate([np.arange(s, s + n) for s, n in zip(self.starts[here], self.lens[here])])
-        ids, lens = self.ids[own], self.lens[here]
+        lens = self.lens[here]
         first = np.cumsum(lens) - lens
+        ids = self.ids[np.repeat(self.starts[here] - first, lens) + np.arange(lens.sum())]
         vectors = np.add.reduceat(e[ids], first, axis=0) / lens[:, None]
         hidden = np.add.reduceat(vectors[back], begins, axis=0) / sizes[:, None]
         logits = hidden @ w + b
@@ -194,8 +201,8 @@ def _calibrate(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 0.0)), float(beta[1])
 
 
-def train(texts: list[list[bytes]], toxic: list[int], calibration: list[bool], buckets: int = BUCKETS, dim: int = DIM,
-          window: int = WINDOW, start_epochs: int = 12, rounds: int = 5, epochs: int = 6, batch: int = 256,
+def train(texts: Iterable[list[bytes]], toxic: list[int], calibration: list[bool], buckets: int = BUCKETS, dim: int = DIM,
+          window: int = WINDOW, start_epochs: int = 6, rounds: int = 3, epochs: int = 4, batch: int = 256,
           seed: int = 5) -> ToxicityModel:
     """A model from documents as word lists; those marked ``calibration`` only place the probabilities."""
     y, held = np.array(toxic, np.float64), np.array(calibration, bool)
@@ -203,7 +210,7 @@ def train(texts: list[list[bytes]], toxic: list[int], calibration: list[bool], b
         base = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
         return ToxicityModel(np.zeros(buckets, np.float32), 0.0, float(np.log(base / (1 - base))), window)
     index: dict[bytes, int] = {}
-    docs = [np.array([index.setdefault(w, len(index)) for w in t], np.int64) for t in texts]
+    docs = [np.array([index.setdefault(w, len(index)) for w in t], np.int32) for t in texts]
     trainer, rng = _Trainer(list(index), buckets, dim, seed), np.random.default_rng(seed)
     fit = [i for i in np.flatnonzero(~held) if len(docs[i])]
     share = max(1e-3, float(y[fit].mean()))
@@ -266,7 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, **options)
     rows = (map_arrow(joined, pick, "doc_id long, toxic int, words binary").groupBy("doc_id")
             .agg(F.min(F.struct("words", "toxic")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").toArrow())
     ids = rows.column("doc_id").to_pylist()
-    return train([w.split() for w in rows.column("words").to_pylist()], rows.column("toxic").to_pylist(),
+    return train((w.as_py().split() for w in rows.column("words")), rows.column("toxic").to_pylist(),
                  [hash_of(i) % 4 == 0 for i in ids], **options)
 
 
