@@ -24,7 +24,7 @@ from mapflow.operators import (assign_surrogate_keys, build_delta, build_model,
                                publish_view, recon_counts, recon_empty_probe, recon_except)
 from mapflow.plans import run_models, spec_job
 from mapflow.session import scratch_dir
-from mapflow.sources import catalog_columns
+from mapflow.sources import catalog_columns, column_profile
 from mapflow.streaming import stream_merge
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -111,6 +111,13 @@ def q_catalog_columns_sorted(spark, d):
     return catalog_columns(spark, _registry(spark, d).source("customer")).select("COLUMN_NAME", "ORDINAL_POSITION")
 
 
+def q_column_profile(spark, d):
+    """Columns in ordinal order with row and NULL counts; an outer join gives some NULLs to count."""
+    reg = _registry(spark, d)
+    joined = reg.source("orders").join(reg.source("customer").where("c_acctbal > 0"), F.expr("o_custkey = c_custkey"), "left")
+    return column_profile(joined.select("o_orderkey", "o_custkey", "o_totalprice", "c_name", "c_mktsegment"))
+
+
 def q_project_logic(spark, d):
     spec = ModelSpec(
         source=TableRef("customer"), target="DW.D_CUSTOMER",
@@ -537,6 +544,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_chosen_key": q_merge_chosen_key,
     "conform_rules": q_conform_rules,
     "odd_names": q_odd_names,
+    "column_profile": q_column_profile,
 }
 
 
@@ -708,6 +716,10 @@ _ORACLE = {
         "from part"),
     "conform_rules": (
         "select p_partkey as PART_ID, p_name as p_name, p_retailprice as LIST_PRICE, p_size as P_SIZE, '' as NOTE from part"),
+    "column_profile": (
+        "with j as (select * from orders left join customer on o_custkey = c_custkey and c_acctbal > 0) "
+        + " union all ".join(f"select {i} as ORDINAL_POSITION, '{c}' as COLUMN_NAME, count(*) as ROW_CNT, count(*) - count({c}) as NULL_CNT from j"
+                             for i, c in enumerate(("o_orderkey", "o_custkey", "o_totalprice", "c_name", "c_mktsegment"), 1))),
     "odd_names": (
         "select p_partkey as \"Part Key\", p_retailprice as \"Price (USD)\", p_brand || '/' || cast(p_size as varchar) as "
         "\"Brand-Size\" from part"),

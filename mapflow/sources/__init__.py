@@ -1,4 +1,4 @@
-from .registry import TableRegistry, catalog_columns
+from .registry import TableRegistry, catalog_columns, column_profile
 from .store import CommitConflict, TableNotFound, TableStore
 
-__all__ = ["CommitConflict", "TableRegistry", "TableStore", "TableNotFound", "catalog_columns"]
+__all__ = ["CommitConflict", "TableRegistry", "TableStore", "TableNotFound", "catalog_columns", "column_profile"]

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..spec import TableRef
@@ -73,6 +74,19 @@ class TableRegistry:
         return self.source(table.name) if table.kind == "source" else self.ref(table.name)
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """A table's columns in ordinal order with their row and NULL counts, from one scan.
+
+    All counts are one aggregate, combined per task, whose single row is then turned into one
+    row per column.
+    """
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col("`" + c.replace("`", "``") + "`")).alias(f"__c{i}")
+                                                       for i, c in enumerate(df.columns)])
+    per = F.array(*[F.struct(F.lit(i + 1).alias("ORDINAL_POSITION"), F.lit(c).alias("COLUMN_NAME"), F.col("__rows").alias("ROW_CNT"),
+                             (F.col("__rows") - F.col(f"__c{i}")).alias("NULL_CNT")) for i, c in enumerate(df.columns)])
+    return counts.select(F.inline(per)).orderBy("ORDINAL_POSITION")
+
+
 def catalog_columns(spark: SparkSession, table: str | DataFrame) -> DataFrame:
     """A table's columns in ordinal order, as a DataFrame.
 
