@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapflow.session import scratch_dir
+from mapflow.sources.store import remove_path
 
 #: A word, for every operator that counts words: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,13 +28,13 @@ def doc_texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written as Parquet under the shared checkpoint folder and read back.
+def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder (or to ``path``) and read back.
 
     Later steps read the files, so a lost executor costs a re-read and not a
     recomputation, and several readers see one and the same set of rows.
     """
-    path = scratch_dir(df.sparkSession, purpose)
+    path = path or scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -96,10 +97,13 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
     Alternating large-star and small-star steps: each round points every node
     at the smallest node it knows of, so the rounds grow with the logarithm of
     a component's size.  Minima are pre-aggregated before the shuffle and a hub's
-    edges are split by AQE's skew join; each round is written to the shared folder.
+    edges are split by AQE's skew join; each round is written to the shared folder, and
+    the one before it removed.
     """
+    spark = edges.sparkSession
+    path = scratch_dir(spark, purpose)
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                 purpose)
+                 purpose, path)
     before = None
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -109,8 +113,10 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
         # Small star: a node's smaller neighbours, and itself, go to the smallest of them.
         low = star.groupBy("a").agg(F.min("b").alias("m"))
         hung = star.join(low, "a")
+        last, path = path, scratch_dir(spark, purpose)
         now = stored(hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-                     .union(low.select("a", F.col("m").alias("b"))).distinct(), purpose)
+                     .union(low.select("a", F.col("m").alias("b"))).distinct(), purpose, path)
+        remove_path(spark, last)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return (now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")

@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 
 CHAIN = 3
 RUN = 6
@@ -107,7 +107,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
     base = base.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
+    # Several ranges to a partition: ranges are dealt out by hash, which evens out over many.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n *= max(1, min(16, 16_384 // n))
     placed = base.withColumn("bucket", _buckets(base.select("k"), n).cast("int"))
     heads = placed.groupBy("bucket").agg(F.min("k").alias("k"))
     # One row per range: a window over all of them orders ranges, not documents.
@@ -123,6 +125,37 @@ def with_next(docs: DataFrame) -> DataFrame:
             .where("copy = 0").select("doc_id", "text", "own", "next_text", "next_own"))
 
 
+def near_classes(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """All pairs of fingerprints with a likeness of ``least`` or more, and which documents have them.
+
+    Returns (``a``, ``b``, ``likeness``) between classes and (``doc_id``, ``class_id``); a
+    class holds the documents of one fingerprint and is named after its smallest id.  Empty
+    fingerprints, and classes without any id, are in no pair.  Sets are partitioned by length class, and only sets of one or
+    of neighbouring classes meet.  Two sets that reach ``least`` share one of the rarest
+    signatures of both, so each is filed under its first ``n - ceil(least * n) + 1`` by rarity;
+    pairs whose lengths rule ``least`` out are dropped before any set is intersected.
+    """
+    base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    sets = stored(with_signatures(base, "text", "own").select("doc_id", F.array_join("own", ",").alias("print"), "own"), "spot-sets")
+    named = sets.groupBy("print").agg(F.min("doc_id").alias("class_id"), F.first("own").alias("own"))
+    named = stored(named.withColumn("n", F.size("own")).withColumn("part", length_class(F.col("own"), least)), "spot-classes")
+    member = sets.join(named.select("print", "class_id"), "print").select("doc_id", "class_id")
+    held = named.where("n > 0").select("class_id", "n", "part", F.explode("own").alias("sig"))
+    common = held.groupBy("sig").agg(F.count("*").alias("df"))
+    # A set's own signatures come together again, never more than it has.
+    rare = held.join(common, "sig").groupBy("class_id", "n", "part").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("by"))
+    first = F.col("n") - F.ceil(F.col("n") * least - 1e-9).cast("int") + 1
+    filed = stored(rare.select("class_id", "n", "part", F.explode(F.slice(F.col("by.sig"), F.lit(1), first)).alias("sig")), "spot-filed")
+    probe = filed.select(F.col("class_id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"), "sig",
+                         F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
+    index = filed.select(F.col("class_id").alias("b"), F.col("n").alias("nb"), "part", "sig")
+    met = (probe.join(index, ["sig", "part"]).where(F.expr(f"(part > pa or a < b) and least(na, nb) >= {least}D * greatest(na, nb)"))
+           .select("a", "b").distinct())
+    left, right = (named.select(F.col("class_id").alias(c), F.col("own").alias(f"own_{c}")) for c in "ab")
+    both = met.join(left, "a").join(right, "b").withColumn("likeness", likeness(F.col("own_a"), F.col("own_b"), least))
+    return both.where(F.col("likeness") >= least).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness"), member
+
+
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = with_next(table(spark, sf_dir, "documents"))
     cut = F.floor(F.length("text") / 4).cast("int")

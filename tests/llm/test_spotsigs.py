@@ -1,11 +1,13 @@
 import hashlib
+import random
 import re
 
 from edge import ROWS, edge, empty, wide
 from pyspark.sql import functions as F
 
 from conftest import SF001, plan_text
-from mapflow.llm.spotsigs import ANCHORS, CHAIN, LEAST, RUN, length_class, likeness, op10_spotsigs, with_next, with_signatures
+from mapflow.llm.spotsigs import (ANCHORS, CHAIN, LEAST, RUN, length_class, likeness, near_classes, op10_spotsigs, with_next,
+                                  with_signatures)
 
 
 def brute(text):
@@ -92,6 +94,24 @@ def test_edges(spark, tmp_path):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_near_classes_against_all_pairs(spark):
+    rng, texts = random.Random(2), []
+    for _ in range(12):
+        words = [rng.choice(("the", "of", "and", f"w{rng.randrange(400)}", f"v{rng.randrange(400)}")) for _ in range(rng.randint(30, 300))]
+        for _ in range(rng.randint(1, 6)):
+            texts.append(" ".join(w if rng.random() > 0.01 else f"x{rng.randrange(99)}" for w in words))
+    texts += [texts[0], texts[0], "", " ", "the of"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    pairs, member = near_classes(docs, 0.6)
+    sets = [frozenset(brute(t)) for t in texts]
+    first = {s: i for i, s in reversed(list(enumerate(sets)))}
+    assert {r.doc_id: r.class_id for r in member.collect()} == {i: first[s] for i, s in enumerate(sets)}
+    want = {(a, b) for a in first.values() for b in first.values()
+            if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b])}
+    got = pairs.collect()
+    assert {(r.a, r.b) for r in got} == want and len(got) == len(want) > 10
+
+
 def test_long_rows_of_anchors(spark):
     """A repeated group in the splitting pattern would overflow the stack here."""
     df = spark.createDataFrame([("the " * 60_000 + "cat sat " + "of the and " * 20_000,), ("word " * 50_000,)], "t string")
