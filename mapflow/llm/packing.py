@@ -25,7 +25,7 @@ import os
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,7 @@ class WordTokenizer:
     memory (``memory`` words, then it starts anew); only new ones are encoded.
     """
 
-    def __init__(self, path: str, memory: int = 600_000):
+    def __init__(self, path: str, memory: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -69,48 +69,45 @@ class WordTokenizer:
         self.starts = np.zeros(1 << 14, np.int64)
         self.lens = np.zeros(1 << 14, np.int64)
 
-    def _encode(self, new: list[str]) -> list[np.ndarray]:
-        """Ids of each word; plain words go in one text, in which a word-end id closes each of them."""
-        plain = [w for w in new if w.isascii() and w.isalpha()]
-        found: dict[str, np.ndarray] = {}
+    def _encode(self, new: list[str]) -> None:
+        """Learns words from the tokenizer; plain ones go in one text, in which a word-end id closes each of them."""
+        plain = [w for w in new if w.isalpha() and w.isascii()]
+        rest = new
         if plain:
             ids = np.array(self.tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.uint32)
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) == len(plain):
-                found = dict(zip(plain, np.split(ids, cut[:-1])))
-        rest = [w for w in new if w not in found]
-        for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-            found[w] = np.array(e.ids, np.uint32)
-        return [found[w] for w in new]
+                self._add(plain, ids, np.diff(cut, prepend=0))
+                rest = [w for w in new if w not in self.index]
+        if rest:
+            ids = [e.ids for e in self.tok.encode_batch_fast(rest, add_special_tokens=False)]
+            self._add(rest, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def _learn(self, new: set[str]) -> None:
         # A word and the punctuation behind it are separate for the tokenizer: learn them once each.
-        split = {}
-        for w in new:
-            core = w.rstrip(_PUNCT)
-            if core != w and core and core.isalpha():
-                split[w] = (core, w[len(core):])
-        parts = sorted({x for w in new for x in split.get(w, (w,)) if x not in self.index})
-        self._add(parts, self._encode(parts))
-        whole = sorted(w for w in split if w not in self.index)
-        self._add(whole, [np.concatenate([self._ids(x) for x in split[w]]) for w in whole])
-
-    def _ids(self, w: str) -> np.ndarray:
-        k = self.index[w]
-        return self.flat[self.starts[k]:self.starts[k] + self.lens[k]]
-
-    def _add(self, words: list[str], ids: list[np.ndarray]) -> None:
-        if not words:
-            return
-        n, lens = len(self.index), np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(lens.sum())
+        ending = [(w, core, w[len(core):]) for w in new if w[-1:] in _PUNCT and (core := w.rstrip(_PUNCT)).isalpha()]
+        parts = new.difference([w for w, _, _ in ending]).union([c for _, c, _ in ending], [e for _, _, e in ending])
+        self._encode([w for w in parts if w not in self.index])
+        if ending:
+            get = self.index.__getitem__
+            k = np.fromiter((get(x) for _, core, end in ending for x in (core, end)), np.int64, 2 * len(ending))
+            self._add([w for w, _, _ in ending], self._gather(k), self.lens[k].reshape(-1, 2).sum(axis=1))
+
+    def _gather(self, k: np.ndarray) -> np.ndarray:
+        """Ids of the words numbered ``k``, end to end."""
+        lens = self.lens[k]
+        ends = np.cumsum(lens)
+        return self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[k] - (ends - lens), lens)]
+
+    def _add(self, words: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
+        n, total = len(self.index), len(ids)
         while n + len(words) > len(self.lens):
             self.starts, self.lens = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lens, 2 * len(self.lens))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         self.lens[n:n + len(words)] = lens
         self.starts[n:n + len(words)] = self.used + np.cumsum(lens) - lens
-        self.flat[self.used:self.used + total] = np.concatenate(ids) if total else []
+        self.flat[self.used:self.used + total] = ids
         self.used += total
         self.index.update(zip(words, range(n, n + len(words))))
 
@@ -127,9 +124,8 @@ class WordTokenizer:
         if len(missing := np.flatnonzero(k < 0)):
             self._learn({all_words[i] for i in missing})
             k[missing] = [self.index[all_words[i]] for i in missing]
-        lens = self.lens[k]
-        ends = np.cumsum(lens)
-        ids = self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[k] - (ends - lens), lens)]
+        ids = self._gather(k)
+        ends = np.cumsum(self.lens[k])
         at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         tail = np.array([close], np.uint32)
         return [np.concatenate([ids[a:b], tail]) for a, b in zip(at[:-1], at[1:])]
