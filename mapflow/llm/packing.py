@@ -9,7 +9,8 @@ but the last one of each input partition.  Windows of a tier are dealt into step
 groups by attention cost, back and forth, so that the groups cost about the same.
 
 Packing runs inside each input partition in chunks of ``chunk_docs`` rows: no
-shuffle, and memory holds one chunk and under one window of carried pieces.
+shuffle, and memory holds one chunk (also bounded by its texts' bytes, but for a single
+longer one) and under one window of carried pieces.
 Input partitions come from file splits, which do not depend on keys, so a hot
 source or a large group of copies changes nothing.  A retried task reads the
 same split and packs the same windows.
@@ -29,6 +30,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
@@ -111,19 +113,21 @@ class WordTokenizer:
         self.used += total
         self.index.update(zip(words, range(n, n + len(words))))
 
-    def encode(self, texts: list[str], close: int) -> list[np.ndarray]:
-        """Ids of each text, followed by ``close``."""
+    def encode(self, texts: pa.Array, close: int) -> list[np.ndarray]:
+        """Ids of each text (no nulls), followed by ``close``."""
         if len(self.index) > self.memory:
             self._forget()
         # ASCII letters go to lower case here already (as the tokenizer does) so that fewer words differ.
-        flat = [t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").replace("\n", " ")
-                for t in texts]
-        counts = np.fromiter((t.count(" ") + 1 for t in flat), np.int64, len(flat))
-        all_words = " ".join(flat).split(" ")
-        k = np.fromiter(map(self.index.get, all_words, repeat(-1)), np.int64, len(all_words))
+        lists = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " "), " ")
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        k = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         if len(missing := np.flatnonzero(k < 0)):
-            self._learn({all_words[i] for i in missing})
-            k[missing] = [self.index[all_words[i]] for i in missing]
+            new = [words[i] for i in missing]
+            self._learn(set(new))
+            k[missing] = [self.index[w] for w in new]
+        k = k[coded.indices.to_numpy(zero_copy_only=False)]
         ids = self._gather(k)
         ends = np.cumsum(self.lens[k])
         at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
@@ -230,6 +234,17 @@ def step_groups(windows: list[tuple[int, list[Piece]]], step_tokens: int) -> lis
     return out
 
 
+def slices(batch: pa.RecordBatch, rows: int, nbytes: int) -> Iterator[pa.RecordBatch]:
+    """Parts of ``batch`` of at most ``rows`` rows and about ``nbytes`` of text (second column), one row at least."""
+    sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(sizes, before + nbytes, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
@@ -255,7 +270,7 @@ def _rows(windows, sequence: int, group: int, step_tokens: int) -> pa.RecordBatc
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, tiers: tuple[int, ...] = TIERS, close_id: int = 1,
-         chunk_docs: int = 512, step_tokens: int = STEP_TOKENS) -> DataFrame:
+         chunk_docs: int = 4096, chunk_bytes: int = 16 << 20, step_tokens: int = STEP_TOKENS) -> DataFrame:
     """One row per piece: document, place in the document, window, place in the window, tier, step group.
 
     ``tokenizer_path``: a file of the tokenizers library on every machine; the
@@ -279,8 +294,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, tiers: tuple[int, .
             return out
 
         for batch in batches:
-            for at in range(0, batch.num_rows, chunk_docs):
-                part = batch.slice(at, chunk_docs)
+            for part in slices(batch, chunk_docs, chunk_bytes):
                 windows = []
                 ids = tok.encode(part.column(1).to_pylist(), close_id)
                 for doc, x in zip(part.column(0).to_pylist(), ids):

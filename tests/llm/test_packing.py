@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edge import ROWS, edge, empty, same, wide
 from hypothesis import given, settings
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from conftest import SF001
-from mapflow.llm.packing import TIERS, Packer, WordTokenizer, op4_packing, pack, step_groups
+from mapflow.llm.packing import TIERS, Packer, WordTokenizer, op4_packing, pack, slices, step_groups
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -51,7 +52,7 @@ def test_word_memory_gives_the_whole_text_ids(plain):
              "12 3a4 <|endoftext|> <|startoftext|>x", "漢字 かな 🙂🙂", "x" * 5000, "\u00a0\u2028 odd\x1cmarks\x85here", "K\u212a"] * 2
     tok = WordTokenizer(PATH, memory=5)
     for _ in range(3):
-        for t, got in zip(texts, tok.encode(texts, 1)):
+        for t, got in zip(texts, tok.encode(pa.array(texts), 1)):
             assert got.tolist() == plain(t).tolist(), t
 
 
@@ -63,7 +64,7 @@ def test_any_text(texts):
     tok = WordTokenizer(PATH) if not hasattr(test_any_text, "w") else test_any_text.w
     test_any_text.w = tok
     if texts:
-        for x, got in zip(texts, tok.encode(texts, 1)):
+        for x, got in zip(texts, tok.encode(pa.array(texts), 1)):
             assert got.tolist() == t.encode(x, add_special_tokens=False).ids + [1]
 
 
@@ -86,6 +87,16 @@ def test_packer_fills_every_window_but_the_last(lengths, chunk):
     assert all((s == 1).all() for s in seen.values())
 
 
+def test_slices_cover_a_batch_within_their_bounds():
+    texts = ["a" * n for n in (5, 0, 0, 30, 3, 3, 3, 100, 1, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(texts)], ["doc_id", "text"])
+    for rows, nbytes in ((3, 1000), (100, 10), (1, 1), (100, 1000)):
+        parts = [p.column(1).to_pylist() for p in slices(batch, rows, nbytes)]
+        assert [t for p in parts for t in p] == texts
+        assert all(len(p) <= rows and (len(p) == 1 or sum(map(len, p)) <= nbytes) for p in parts)
+    assert list(slices(batch.slice(0, 0), 5, 5)) == []
+
+
 def test_long_windows_are_filled_from_shorter_tiers():
     packer = Packer(TIERS)
     for i, n in enumerate((2000, 48, 900, 124)):
