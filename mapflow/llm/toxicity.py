@@ -202,9 +202,13 @@ def _calibrate(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 
 
 def train(texts: Iterable[list[bytes]], toxic: list[int], calibration: list[bool], buckets: int = BUCKETS, dim: int = DIM,
-          window: int = WINDOW, start_epochs: int = 6, rounds: int = 3, epochs: int = 4, batch: int = 256,
+          window: int = WINDOW, start_epochs: int = 6, rounds: int = 3, epochs: int = 4, least_steps: int = 60, batch: int = 256,
           seed: int = 5) -> ToxicityModel:
-    """A model from documents as word lists; those marked ``calibration`` only place the probabilities."""
+    """A model from documents as word lists; those marked ``calibration`` only place the probabilities.
+
+    The start and each round go over their passages ``start_epochs`` or ``epochs`` times, and
+    more often for few passages, until ``least_steps`` steps are made.
+    """
     y, held = np.array(toxic, np.float64), np.array(calibration, bool)
     if not len(y) or y[~held].sum() == 0 or y[~held].sum() == (~held).sum():
         base = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
@@ -218,7 +222,8 @@ def train(texts: Iterable[list[bytes]], toxic: list[int], calibration: list[bool
     # Words that several documents share carry the start; the rest joins with the passages.
     seen = np.bincount(np.concatenate([np.unique(docs[i]) for i in fit]), minlength=len(index))
     bags = {i: d for i in fit if len(d := np.unique(docs[i])[seen[np.unique(docs[i])] >= 4])}
-    for _ in range(start_epochs):
+    times = lambda n, least: max(least, -(-least_steps * batch // max(n, batch)))
+    for _ in range(times(len(bags), start_epochs)):
         order = rng.permutation(list(bags))
         for k in range(0, len(order), batch):
             part = order[k:k + batch]
@@ -238,7 +243,7 @@ def train(texts: Iterable[list[bytes]], toxic: list[int], calibration: list[bool
                 marks.append(0.0)
                 weights.append(0.3)
         marks, weights = np.array(marks), np.array(weights)
-        for _ in range(epochs):
+        for _ in range(times(len(passages), epochs)):
             order = rng.permutation(len(passages))
             for k in range(0, len(order), batch):
                 part = order[k:k + batch]

@@ -45,15 +45,16 @@ def test_held_out_accuracy(model):
 
 
 def test_unseen_misspellings_share_vectors(model):
-    clean = " ".join(corpus(1, 3)[0])
-    base = raw(model, clean)
-    for w in ("w0rthless", "worthlesss", "disgustingg", "path3tic", "disgusting!!", "IDIOTIC", "worthles"):
-        assert raw(model, clean + " " + w) > base + 0.1 * (raw(model, clean + " worthless") - base), w
+    number = lambda w: float(model.word_scores(plain_words(w)).mean())
+    for w, known in (("w0rthless", "worthless"), ("worthlesss", "worthless"), ("worthles", "worthless"), ("disgustingg", "disgusting"),
+                     ("path3tic", "pathetic"), ("disgusting!!", "disgusting"), ("IDIOTIC", "idiotic"), ("moronicc", "moronic")):
+        assert number(w) > 0.4 * number(known) > 0 > number("the"), w
 
 
-def test_a_word_in_a_very_long_text_counts(model):
-    text = " ".join(corpus(60, 4)[0][:1] * 60) + " disgusting moronic " + corpus(1, 5)[0][0]
-    assert raw(model, text) > raw(model, corpus(1, 5)[0][0])
+def test_a_few_words_in_a_very_long_text_count(model):
+    clean = " ".join(corpus(1, 3)[0] * 100)
+    assert model.probability(np.array([raw(model, clean)])) < 0.3
+    assert model.probability(np.array([raw(model, f"{clean} disgusting moronic worthless {clean}")])) > 0.9
 
 
 def test_grams_of_each_word_stand_alone():
@@ -85,7 +86,7 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     one = [(i, 1, y) for i, y in enumerate(toxic)]
     two = [(i, q, 1 - y if zlib.crc32(str(i).encode()) % 4 == 2 else y) for i, q, y in one]
-    a, b = (fit(docs, labels(spark, rows), start_epochs=2, rounds=1) for rows in (one, two))
+    a, b = (fit(docs, labels(spark, rows), start_epochs=2, rounds=1, least_steps=4) for rows in (one, two))
     assert np.array_equal(a.bucket, b.bucket) and (a.slope, a.shift) == (b.slope, b.shift)
 
 
