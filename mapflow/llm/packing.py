@@ -49,10 +49,11 @@ class WordTokenizer:
 
     The tokenizer never joins text across a space, so a text's ids are those of
     its space-separated words in order.  Words seen before come from a bounded
-    memory (``memory`` words, then it starts anew); only new ones are encoded.
+    memory (of ``memory`` words the less used half is dropped when it is full);
+    only new ones are encoded.
     """
 
-    def __init__(self, path: str, memory: int = 1_500_000):
+    def __init__(self, path: str, memory: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -69,7 +70,18 @@ class WordTokenizer:
         self.used = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
-        self.lens = np.zeros(1 << 14, np.int64)
+        self.lens = np.zeros(1 << 14, np.int32)
+        self.hits = np.zeros(1 << 14, np.int32)
+
+    def _shrink(self) -> None:
+        """Keeps the words used most, half of the memory at most."""
+        n, keep = len(self.index), self.memory // 2
+        least = np.partition(self.hits[:n], n - keep)[n - keep] if n > keep else 0
+        kept = np.flatnonzero(self.hits[:n] > least)
+        words = list(self.index)
+        words, ids, lens = [words[i] for i in kept], self._gather(kept), self.lens[kept]
+        self._forget()
+        self._add(words, ids, lens)
 
     def _encode(self, new: list[str]) -> None:
         """Learns words from the tokenizer; plain ones go in one text, in which a word-end id closes each of them."""
@@ -97,17 +109,18 @@ class WordTokenizer:
 
     def _gather(self, k: np.ndarray) -> np.ndarray:
         """Ids of the words numbered ``k``, end to end."""
-        lens = self.lens[k]
+        lens = self.lens[k].astype(np.int64)
         ends = np.cumsum(lens)
         return self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[k] - (ends - lens), lens)]
 
     def _add(self, words: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
         n, total = len(self.index), len(ids)
         while n + len(words) > len(self.lens):
-            self.starts, self.lens = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lens, 2 * len(self.lens))
+            self.starts, self.lens, self.hits = (np.resize(x, 2 * len(x)) for x in (self.starts, self.lens, self.hits))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         self.lens[n:n + len(words)] = lens
+        self.hits[n:n + len(words)] = 0
         self.starts[n:n + len(words)] = self.used + np.cumsum(lens) - lens
         self.flat[self.used:self.used + total] = ids
         self.used += total
@@ -116,7 +129,7 @@ class WordTokenizer:
     def encode(self, texts: pa.Array, close: int) -> list[np.ndarray]:
         """Ids of each text (no nulls), followed by ``close``."""
         if len(self.index) > self.memory:
-            self._forget()
+            self._shrink()
         # ASCII letters go to lower case here already (as the tokenizer does) so that fewer words differ.
         lists = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " "), " ")
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
@@ -127,6 +140,7 @@ class WordTokenizer:
             new = [words[i] for i in missing]
             self._learn(set(new))
             k[missing] = [self.index[w] for w in new]
+        self.hits[k] += 1  # once for each call, however often a word occurs in it
         k = k[coded.indices.to_numpy(zero_copy_only=False)]
         ids = self._gather(k)
         ends = np.cumsum(self.lens[k])
