@@ -100,4 +100,5 @@ def catalog_columns(spark: SparkSession, table: str | DataFrame) -> DataFrame:
         T.StructField("COLUMN_NAME", T.StringType(), False),
         T.StructField("DATA_TYPE", T.StringType(), False),
     ])
-    return spark.createDataFrame(rows, out_schema).orderBy("ORDINAL_POSITION")
+    # One row per column: a single partition sorts them without a range shuffle.
+    return spark.createDataFrame(rows, out_schema).coalesce(1).sortWithinPartitions("ORDINAL_POSITION")
