@@ -1,12 +1,13 @@
 """Secret scans: base patterns, and character Markov models that tell random strings from identifiers.
 
-Two first-order models over ASCII characters are trained from labelled samples:
-values that the base patterns caught in a bounded sample of documents and seeded
-random strings on the one side, long words and identifiers built from the words
-of those documents and from common program words on the other.  A token's score is
-the log-likelihood ratio of the two per character, from the start of the token on;
-the cut lies between the scores of held-out tokens of both kinds.  Tokens above it that touch no base span are added
-as spans of kind ``markov``.
+Two first-order models over ASCII characters: on the one side values that the base patterns
+caught and seeded random strings, on the other ordinary tokens and seeded identifiers.  What
+comes from the corpus is counted over all documents, inside the tasks, as tables of character
+pairs of fixed size; only the seeded strings are samples, and they weigh at least as much as
+what was counted.  A token's score is the log-likelihood ratio of the two per character, from
+the start of the token on; the cut lies between a histogram of the scores of all long tokens
+of the corpus and held-out seeded ones, and the same of caught values.  Tokens above it that
+touch no base span are added as spans of kind ``markov``.
 
 Null and empty texts have no spans; null ``doc_id`` is kept; repeated rows are
 scanned each; an empty table gives no rows (the models then rest on the seeded
@@ -127,57 +128,161 @@ def identifiers(words: list[str], n: int, seed: int) -> list[str]:
     return [t for t in out if len(t) >= 12]
 
 
+def pair_counts(tokens: list[str]) -> np.ndarray:
+    """How often each pair of characters occurs, flat."""
+    return np.bincount(transitions(tokens)[0], minlength=_STATES * _STATES).astype(np.int64)
+
+
+def run_counts(texts: list[str], step: int = 1 << 20) -> np.ndarray:
+    """Pair counts of all runs of token characters, of any length, in ``texts``, which the base spans have been taken out of."""
+    out = np.zeros(_STATES * _STATES, np.int64)
+    raw = np.frombuffer(" ".join(texts).encode("ascii", "replace"), np.uint8)  # one byte a character, "?" is no token character
+    last = 0
+    for at in range(0, len(raw), step):
+        now = _CODE[raw[at:at + step]]
+        prev = np.concatenate([[last], now[:-1]])
+        last = now[-1]
+        out += np.bincount((prev * _STATES + now)[now > 0], minlength=len(out))
+    return out
+
+
+def _held_out(tokens: list[str]) -> tuple[list[str], list[str]]:
+    return [t for i, t in enumerate(tokens) if i % 4], [t for t in tokens[::4] if len(t) >= 16]
+
+
+def _ratio(secret: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of two tables of pair counts, add-one-half, flat."""
+    def table_of(counts):
+        counts = counts.reshape(_STATES, _STATES) + 0.5
+        return np.log(counts / counts.sum(axis=1, keepdims=True))
+
+    return (table_of(secret) - table_of(plain)).ravel()
+
+
 def train(secrets: list[str], ordinary: list[str]) -> MarkovModel:
     """Add-one-half models of both samples; a fourth of each is held out to place the cut.
 
     The cut is half-way between what one ordinary token in a thousand exceeds and what
     one secret in a hundred falls short of, and no lower than the former.
     """
-    def table_of(tokens):
-        pairs, _ = transitions(tokens)
-        counts = np.bincount(pairs, minlength=_STATES * _STATES).reshape(_STATES, _STATES) + 0.5
-        return np.log(counts / counts.sum(axis=1, keepdims=True))
-
-    parts = [([t for i, t in enumerate(x) if i % 4], [t for t in x[::4] if len(t) >= 16]) for x in (secrets, ordinary)]
-    (fit_secret, held_secret), (fit_plain, held_plain) = parts
-    model = MarkovModel((table_of(fit_secret) - table_of(fit_plain)).ravel(), 0.0)
+    (fit_secret, held_secret), (fit_plain, held_plain) = _held_out(secrets), _held_out(ordinary)
+    model = MarkovModel(_ratio(pair_counts(fit_secret), pair_counts(fit_plain)), 0.0)
     plain = float(np.quantile(model.scores(held_plain), 0.999)) if held_plain else 0.0
     secret = float(np.quantile(model.scores(held_secret), 0.01)) if held_secret else plain
     return MarkovModel(model.ratio, max(plain, (plain + secret) / 2))
 
 
-_WORD = re.compile(r"[A-Za-z]{2,}")
+def blend(seeded: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """``counted`` plus ``seeded``, which weighs as much as the former at least."""
+    return counted + seeded * max(1.0, counted.sum() / max(1, seeded.sum()))
+
+
 _VALUE = re.compile(r"[^A-Za-z0-9+/_=-]")
+_BINS = 8192
 
 
-def fit(docs: DataFrame, sample_docs: int = 2000, per_doc: int = 40, randoms: int = 4000, seed: int = 11) -> MarkovModel:
-    """Models from ``sample_docs`` documents (lowest hash of their id), ``per_doc`` distinct words of each at most.
+def place_cut(edges: np.ndarray, caught: np.ndarray, tokens: np.ndarray, held_secret: np.ndarray, held_free: np.ndarray,
+              held_plain: np.ndarray) -> float:
+    """The cut of ``train``, from histograms of the scores of caught values, corpus tokens and held-out seeded strings.
 
-    The bound on what reaches the driver is ``sample_docs * per_doc`` words and the
-    secrets that the base patterns find in those documents, 20 a document at most.
+    The corpus tokens hold the very secrets that are sought: a third more than score above the
+    lower quartile of ``held_free``, seeded strings that no base pattern catches.  What that many
+    secrets put above a score, with three standard errors, does not count against it.
+    Seeded identifiers and corpus tokens each have to stay below the cut.
+    """
+    def above(hist):
+        """What lies in a bin or above it."""
+        return np.cumsum(hist[::-1])[::-1]
+
+    def shares(hist):
+        return above(hist) / max(1, hist.sum())
+
+    free = shares(held_free)
+    sought = above(tokens)[max(0, int((free >= 0.75).sum()) - 1)] / 0.75
+    hidden = sought * free
+    excess = above(tokens) - hidden - 3 * np.sqrt(hidden + hidden ** 2 / max(1, held_free.sum()))
+    corpus = np.flatnonzero(excess > 0.001 * max(0, tokens.sum() - sought))
+    seeded = np.flatnonzero(shares(held_plain) > 0.001)
+    plain = float(edges[max(int(x[-1]) if len(x) else -1 for x in (corpus, seeded)) + 1])
+    return max(plain, (plain + float(edges[int((shares(blend(held_secret, caught)) >= 0.99).sum())])) / 2)
+
+
+def fit(docs: DataFrame, randoms: int = 4000, names: int = 20_000, seed: int = 11) -> MarkovModel:
+    """Models from all of ``docs``, beside ``randoms`` seeded random strings and about ``names`` seeded identifiers.
+
+    One pass counts the character pairs of caught values and of ordinary tokens, a second
+    one the scores of both.  The driver gets sums: two tables of 68 x 68 and two histograms.
     """
     texts = doc_texts(docs)
-    ids = texts.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kinds, values = [], []
-            for text in b.column(1).to_pylist():
-                spans = base_spans(text)
-                found = [_VALUE.sub("", text[s[3]:s[4]]) for s in spans][:20]
-                for s in reversed(spans):
-                    text = f"{text[:s[0]]} {text[s[2]:]}"
-                own = sorted({m.group()[:40] for m in _WORD.finditer(text)},
-                             key=lambda w: (-(len(w) >= 12), hashlib.md5(w.encode()).digest()))[:per_doc]
-                kinds += [1] * len(found) + [0] * len(own)
-                values += found + own
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(values, pa.string())], ["kind", "value"])
-
-    got = map_arrow(texts.join(F.broadcast(ids), "doc_id", "left_semi"), pick, "kind int, value string").distinct().collect()
-    caught = sorted(r.value for r in got if r.kind == 1 and len(r.value) >= 12)
-    ordinary = identifiers(sorted(r.value for r in got if r.kind == 0), 20_000, seed)
-    random.Random(seed).shuffle(ordinary)
-    return train(caught + seeded_randoms(randoms, seed), ordinary)
+    plain_seeds = identifiers([], names, seed)
+    random.Random(seed).shuffle(plain_seeds)
+    (fit_secret, held_secret), (fit_plain, held_plain) = _held_out(seeded_randoms(randoms, seed)), _held_out(plain_seeds)
+
+    def summed(count, size: int) -> list[np.ndarray]:
+        """Sums over all documents of the two arrays (caught, ordinary) that ``count`` gives for a list of texts."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2, size), np.int64)
+            for big in batches:
+                for at in range(0, big.num_rows, 1024):
+                    total += count(big.slice(at, 1024).column(1).to_pylist())
+            kind, place = np.nonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(place, pa.int32()), pa.array(total[kind, place])],
+                                             ["kind", "place", "n"])
+
+        out = np.zeros((2, size), np.int64)
+        for r in map_arrow(texts, run, "kind int, place int, n long").groupBy("kind", "place").agg(F.sum("n").alias("n")).collect():
+            out[r.kind, r.place] = r.n
+        return list(out)
+
+    def pairs(batch: list[str]) -> np.ndarray:
+        caught, rest = [], []
+        for text in batch:
+            spans = base_spans(text)
+            caught += caught_values(text, spans)
+            for s in reversed(spans):
+                text = f"{text[:s[0]]} {text[s[2]:]}"
+            rest.append(text)
+        return np.stack([pair_counts(caught), run_counts(rest)])
+
+    caught, plain = summed(pairs, _STATES * _STATES)
+    model = MarkovModel(_ratio(blend(pair_counts(fit_secret), caught), blend(pair_counts(fit_plain), plain)), 0.0)
+    edges = np.linspace(model.ratio.min(), model.ratio.max(), _BINS + 1)
+
+    def histogram(tokens: list[str]) -> np.ndarray:
+        at = np.searchsorted(edges, model.scores(tokens), side="left") - 1
+        return np.bincount(np.clip(at, 0, _BINS - 1), minlength=_BINS)
+
+    def scored(batch: list[str]) -> np.ndarray:
+        caught, tokens = [], []
+        for text in batch:
+            spans = base_spans(text)
+            caught += [v for v in caught_values(text, spans) if len(v) >= 16]
+            tokens += [text[a:b] for a, b in free_tokens(text, spans)]
+        return np.stack([histogram(caught), histogram(tokens)])
+
+    free, held_plain = ([t for t in x if not base_spans(t)] for x in (held_secret, held_plain))
+    return MarkovModel(model.ratio, place_cut(edges, *summed(scored, _BINS), *map(histogram, (held_secret, free, held_plain))))
+
+
+def caught_values(text: str, spans: list[tuple[int, int, int, int, int]]) -> list[str]:
+    """The values of base spans, token characters only, of 12 characters at least.
+
+    Fill such as a row of zeros, with under six distinct characters, does not teach what secrets look like.
+    """
+    return [v for v in (_VALUE.sub("", text[s[3]:s[4]]) for s in spans) if len(v) >= 12 and len(set(v)) >= 6]
+
+
+def free_tokens(text: str, spans: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int]]:
+    """Places of the long tokens that touch no base span."""
+    out, k = [], 0
+    reach = 0  # furthest end of the spans that start before the token's end
+    for m in TOKEN.finditer(text):
+        a, b = m.span()
+        while k < len(spans) and spans[k][0] < b:
+            reach, k = max(reach, spans[k][2]), k + 1
+        if reach <= a:
+            out.append((a, b))
+    return out
 
 
 def spans_of(texts: list[str], model: MarkovModel) -> list[list[tuple[int, int, int, int, int]]]:
@@ -186,12 +291,10 @@ def spans_of(texts: list[str], model: MarkovModel) -> list[list[tuple[int, int,
     for i, text in enumerate(texts):
         spans = base_spans(text)
         out.append(spans)
-        for m in TOKEN.finditer(text):
-            a, b = m.span()
-            if not any(s[0] < b and a < s[2] for s in spans):
-                owner.append(i)
-                where.append((a, b))
-                tokens.append(m.group())
+        for a, b in free_tokens(text, spans):
+            owner.append(i)
+            where.append((a, b))
+            tokens.append(text[a:b])
     for k in np.flatnonzero(model.scores(tokens) > model.cut):
         a, b = where[k]
         out[owner[k]].append((a, 3, b, a, b))

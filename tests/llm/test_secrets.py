@@ -5,8 +5,8 @@ import re
 from edge import ROWS, edge, empty, same, wide
 
 from conftest import SF001
-from mapflow.llm.secrets import (KINDS, base_spans, fit, identifiers, op3_secrets, redact, scan_secrets, seeded_randoms, spans_of,
-                                 train)
+from mapflow.llm.secrets import (KINDS, base_spans, fit, identifiers, op3_secrets, pair_counts, redact, run_counts, scan_secrets,
+                                 seeded_randoms, spans_of, train)
 
 
 def brute(text):
@@ -84,3 +84,30 @@ def test_edges(spark):
     assert scan_secrets(empty(spark), fit(empty(spark))).count() == 0
     same(scan_secrets(wide(spark), m), scan_secrets(edge(spark), m))
     assert redact(wide(spark), m).columns == wide(spark).columns
+
+
+def test_model_covers_all_documents(spark):
+    """Ordinary numbers that only documents beyond any fixed sample hold are learnt, and stay below the cut."""
+    rng = random.Random(5)
+    lowest = {r.id for r in spark.range(3000).selectExpr("id", "xxhash64(id) as h").orderBy("h").limit(2000).collect()}
+    number = lambda: f"QX-{rng.randrange(10**4):04}-ZKV_{rng.randrange(10**6):06}=W{rng.randrange(10)}"
+    rows = [(i, "the quick brown house was there" if i in lowest else " ".join(number() for _ in range(20))) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    m = fit(docs)
+    fresh = [number() for _ in range(2000)]
+    assert (m.scores(fresh) > m.cut).mean() < 0.01
+    assert (m.scores(seeded_randoms(2000, 77)) > m.cut).mean() > 0.9
+
+
+def test_uncaught_secrets_do_not_lift_the_cut(spark):
+    """One long token in ten is a secret that no base pattern catches: they are still found."""
+    keys, names = seeded_randoms(600, 55), identifiers([], 5400, 56)
+    docs = spark.createDataFrame([(i, f"{t} and so on") for i, t in enumerate(keys + names)], "doc_id long, text string")
+    m = fit(docs)
+    assert (m.scores(seeded_randoms(2000, 77)) > m.cut).mean() > 0.9
+    assert (m.scores([t for t in identifiers([], 4000, 78) if len(t) >= 16]) > m.cut).mean() < 0.01
+
+
+def test_pair_counts_of_texts_match_those_of_their_tokens(spark):
+    for t in TEXTS + ["a", "é_x-1 " * 50]:
+        assert (run_counts([t, t], step=7) == 2 * pair_counts(re.findall(r"[A-Za-z0-9+/_=-]+", t))).all()
