@@ -8,7 +8,8 @@ kept, and the gaps between them are aligned in the same way.  Gaps without a uni
 end in their common head and tail, and small ones in a longest common subsequence.
 
 Coverage is the share of the template's words that found their place.  Every place with
-``least`` coverage is a finding; of findings that overlap, the one with more matched words
+``least`` coverage is a finding if the license's name and version are matched word by word and,
+for short templates, the words put in between do not bring it below ``least``; of findings that overlap, the one with more matched words
 stays.
 
 Null and empty texts: nothing found.  Null ``doc_id``: kept.  Repeated rows are scanned
@@ -29,7 +30,24 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import doc_texts, map_arrow, table
 
 LEAST = 0.75
-#: License statements and notices by SPDX name; several texts of one name share it.
+#: Templates of at most this many words count inserted words against a finding.
+SHORT = 16
+_BSD_OPENING = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+                "the following conditions are met:")
+_BSD_TWO = ("1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+            "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+            "following disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_END = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+            "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+            "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+            "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+            "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+            "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED "
+            "OF THE POSSIBILITY OF SUCH DAMAGE.")
+_GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+#: License statements, notices and whole texts by SPDX name, "BSD" if they do not say which; several texts of one name share it.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -42,18 +60,48 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
             "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
             "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
             "persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+            "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+            "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+            "this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "
+            "\"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+            "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS "
+            "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+            "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
                 "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
                 "later version."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-                     "the following conditions are met:"),
+    ("BSD", "Released under the BSD License."),
+    ("BSD", _BSD_OPENING),
+    ("BSD-2-Clause", f"{_BSD_OPENING} {_BSD_TWO} {_BSD_END}"),
+    ("BSD-3-Clause", f"{_BSD_OPENING} {_BSD_TWO} 3. Neither the name of the copyright holder nor the names of its contributors may be "
+                     f"used to endorse or promote products derived from this software without specific prior written permission. {_BSD_END}"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
                 "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    # Siblings: the best aligned of them is the finding.
+    *((f"{kind}-{v}", f"This work is licensed under the {_GNU[kind]}, version {v.removesuffix('.0')}.")
+      for kind, v in (("GPL", "2.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0"))),
+    *((f"{kind}-{v}", f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the {_GNU[kind]} as "
+                      f"published by the Free Software Foundation, either version {v.removesuffix('.0')} of the License, or (at your "
+                      "option) any later version.")
+      for kind, v, thing in (("GPL", "2.0", "program"), ("LGPL", "2.1", "library"), ("LGPL", "3.0", "library"), ("AGPL", "3.0", "program"))),
+    *((f"CC-{kind}-4.0", f"Licensed under CC {kind} 4.0.") for kind in _CC if kind != "BY-NC"),
+    *((f"CC-{kind}-4.0", f"This work is licensed under a Creative Commons {_CC[kind]} 4.0 International License.")
+      for kind in _CC if kind != "BY"),
 )
+#: Phrases, by name, that must be matched word by word in one piece, if the template has them: name and version.
+MUST: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("apache", "2"), "MIT": ("mit", "subject to the following conditions"), "MPL-2.0": ("mozilla public license", "2"),
+    "BSD": ("bsd",), "BSD-3-Clause": ("endorse or promote",),
+    **{f"{kind}-{v}": (_GNU[kind], v.removesuffix(".0"))
+       for kind, v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0"))},
+    **{f"CC-{kind}-4.0": (f"CC {kind}", f"Creative Commons {_CC[kind]}", "4") for kind in _CC},
+}
 FOUND = ("doc_id long, found array<struct<license:string,start:long,end:long,coverage:double,matched:int,template_words:int>>")
 
 # Same length in and out, so places in the plain bytes are places in the text's bytes.
@@ -63,8 +111,12 @@ _COMMON = frozenset(b"a an and any are as at be by can for from if in is it not
                     b"with without you all do so".split())
 
 
+_VERSION = re.compile(rb"(?<![^ ])v(?=[0-9])")
+
+
 def plain(text: str) -> bytes:
-    return text.encode("utf-8", "surrogatepass").translate(_PLAIN)
+    """Lower-case words; ``v3`` is the word ``3``."""
+    return _VERSION.sub(b" ", text.encode("utf-8", "surrogatepass").translate(_PLAIN))
 
 
 @dataclass(frozen=True)
@@ -80,6 +132,16 @@ class Template:
             out.setdefault(w, []).append(i)
         return {w: p for w, p in out.items() if w not in _COMMON} or out
 
+    @property
+    def must(self) -> list[tuple[int, list[int]]]:
+        """Length and places of each phrase that a finding has to match."""
+        out = []
+        for phrase in (tuple(plain(p).split()) for p in MUST.get(self.name, ())):
+            n = len(phrase)
+            if at := [i for i in range(len(self.words) - n + 1) if self.words[i:i + n] == phrase]:
+                out.append((n, at))
+        return out
+
 
 def increasing(places: list[int]) -> list[int]:
     """Indices of a longest increasing subsequence, by patience sorting with back pointers."""
@@ -153,6 +215,9 @@ class Scanner:
         self.templates = [Template(n, tuple(plain(t).split())) for n, t in templates]
         self.least = least
         self.keys = [t.keys for t in self.templates]
+        self.must = [t.must for t in self.templates]
+        self.must_words = [{w for n, at in m for w in t.words[at[0]:at[0] + n] if w in k}
+                           for t, k, m in zip(self.templates, self.keys, self.must)]
         self.by_word: dict[bytes, list[int]] = {}
         for i, k in enumerate(self.keys):
             for w in k:
@@ -166,7 +231,7 @@ class Scanner:
         raw = plain(text)
         present = self.known.intersection(raw.split())
         counts = Counter(i for w in present for i in self.by_word[w])
-        wanted = [i for i, n in counts.items() if n >= self.need[i]]
+        wanted = [i for i, n in counts.items() if n >= self.need[i] and self.must_words[i] <= present]
         if not wanted:
             return []
         spans = [m.span() for m in _WORD.finditer(raw)]
@@ -175,7 +240,7 @@ class Scanner:
         for p, w in enumerate(words):
             if w in present:
                 at.setdefault(w, []).append(p)
-        found = [x for i in wanted for x in self._places(self.templates[i], self.keys[i], words, at)]
+        found = [x for i in wanted for x in self._places(self.templates[i], self.keys[i], self.must[i], words, at)]
         out: list[tuple[int, int, int, float, int]] = []
         for x in sorted(found, key=lambda x: (-x[3], -x[4], x[1], x[0])):
             if all(x[2] <= y[1] or y[2] <= x[1] for y in out):
@@ -188,7 +253,8 @@ class Scanner:
             result.append((name, start, start + len(encoded[a:b].decode("utf-8", "surrogatepass")), cover, matched, total))
         return result
 
-    def _places(self, template: Template, keys: Mapping[bytes, list[int]], words: list[bytes], at: dict[bytes, list[int]]):
+    def _places(self, template: Template, keys: Mapping[bytes, list[int]], must: list[tuple[int, list[int]]], words: list[bytes],
+                at: dict[bytes, list[int]]):
         total = len(template.words)
         slack = max(3, total // 4)
         votes = Counter(p - i for w, places in keys.items() for p in at.get(w, ()) for i in places)
@@ -200,10 +266,24 @@ class Scanner:
             pairs = align(words[lo:hi], list(template.words))
             if pairs and len(pairs) / total >= self.least:
                 pairs = self._tight(pairs)
-                if len(pairs) / total >= self.least:
+                if len(pairs) / (total + self._inserted(pairs, words, lo, total)) >= self.least and self._named(pairs, must):
                     used.update(range(begin - total // 2, begin + total // 2 + 1))
                     yield (template.name, lo + pairs[0][0], lo + pairs[-1][0] + 1, len(pairs), len(pairs) / total, total)
 
+    @staticmethod
+    def _inserted(pairs: list[tuple[int, int]], words: list[bytes], lo: int, total: int) -> int:
+        """Words of the text inside a short template's finding that are neither matched nor common."""
+        if total > SHORT:
+            return 0
+        matched = {i for i, _ in pairs}
+        return sum(i not in matched and words[lo + i] not in _COMMON for i in range(pairs[0][0], pairs[-1][0]))
+
+    @staticmethod
+    def _named(pairs: list[tuple[int, int]], must: list[tuple[int, list[int]]]) -> bool:
+        """Whether every phrase is matched in one piece at one of its places."""
+        place = {j: i for i, j in pairs}
+        return all(any(k in place and all(place.get(k + d) == place[k] + d for d in range(n)) for k in at) for n, at in must)
+
     @staticmethod
     def _tight(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """Without single words at either end that a wide gap cuts off from the rest."""

@@ -76,3 +76,26 @@ def test_edges(spark):
     assert len(rows) == len(ROWS) and all(r.found == [] for r in rows)
     assert scan_licenses(empty(spark)).count() == 0
     same(scan_licenses(wide(spark)), scan_licenses(edge(spark)))
+
+
+def test_siblings_and_other_licenses_are_told_apart():
+    scan = Scanner().scan
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    for text, want in (
+            ("Released under the BSD License.", ["BSD"]), ("Released under the X11 License.", []),
+            ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]), ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]),
+            ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]), ("Licensed under CC BY-NC-ND 4.0.", ["CC-BY-NC-ND-4.0"]),
+            ("Licensed under CC BY-NC 3.0.", []),
+            (gnu.format("", 2), ["GPL-2.0"]), (gnu.format("", 3), ["GPL-3.0"]), (gnu.format("", "v3"), ["GPL-3.0"]),
+            (gnu.format("Lesser ", 3), ["LGPL-3.0"]), (gnu.format("Lesser ", 2.1), ["LGPL-2.1"]), (gnu.format("Affero ", 3), ["AGPL-3.0"]),
+            ("Licensed under the Apache License, Version 1.1.", []), ("Licensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
+            ("Released under the terms of the MIT License.", ["MIT"]),
+            ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"])):
+        for around in ("{}", "one two three {} four five six"):
+            assert [f[0] for f in scan(around.format(text))] == want, text
+
+
+def test_every_template_is_its_own_finding():
+    for name, text in TEMPLATES:
+        (f,) = Scanner().scan(f"some words before it {text} and some words after it")
+        assert (f[0], f[3]) == (name, 1.0), text
