@@ -202,7 +202,7 @@ def _calibrate(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 
 
 def train(texts: Iterable[list[bytes]], toxic: list[int], calibration: list[bool], buckets: int = BUCKETS, dim: int = DIM,
-          window: int = WINDOW, start_epochs: int = 6, rounds: int = 3, epochs: int = 4, least_steps: int = 60, batch: int = 256,
+          window: int = WINDOW, start_epochs: int = 12, rounds: int = 5, epochs: int = 6, least_steps: int = 60, batch: int = 256,
           seed: int = 5) -> ToxicityModel:
     """A model from documents as word lists; those marked ``calibration`` only place the probabilities.
 

@@ -81,6 +81,15 @@ def test_whole_table_held_out(spark):
     assert np.mean(np.array(neg) >= 0.3) < 0.03
 
 
+def test_held_out_recall_and_precision_at_the_cut(spark):
+    """Trained in full, three toxic documents in four are predicted; 18 passes instead of 42 found 74 of 120."""
+    got = {r.doc_id: r for r in op1_toxicity(spark, CHECK_S).collect()}
+    held = [(got[r.doc_id].predicted, r.toxic) for r in spark.read.parquet(f"{CHECK_S}/labels.parquet").collect()
+            if r.doc_id in got and got[r.doc_id].held_out]
+    hits = sum(p and y for p, y in held)
+    assert hits / sum(y for _, y in held) > 0.72 and hits / sum(p for p, _ in held) > 0.9
+
+
 def test_labels_of_held_out_rows_change_nothing(spark):
     texts, toxic = corpus(200, 6)
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
