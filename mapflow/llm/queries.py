@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .language import op12_language
 from .licenses import op2_licenses
 from .mixing import OP5_SQL, op5_mixing
 from .packing import op4_packing
@@ -11,6 +12,7 @@ from .secrets import op3_secrets
 from .simhash import op7_simhash
 from .spotsigs import OP10_SQL, op10_spotsigs
 from .toxicity import op1_toxicity
+from .turn_repair import OP13_SQL, op13_turn_repair
 from .urlfilter import OP6_SQL, op6_url_filter
 
 QUERIES = {
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_quality_rules": op9_quality_rules,
     "op10_spotsigs": op10_spotsigs,
+    "op12_language": op12_language,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLE_SQL = {
@@ -31,4 +35,5 @@ ORACLE_SQL = {
     "op6_url_filter": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
     "op10_spotsigs": OP10_SQL,
+    "op13_turn_repair": OP13_SQL,
 }
