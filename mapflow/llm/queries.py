@@ -6,6 +6,7 @@ from .language import op12_language
 from .licenses import op2_licenses
 from .mixing import OP5_SQL, op5_mixing
 from .packing import op4_packing
+from .prefix_trie import OP11_SQL, op11_prefix_trie
 from .quality import op8_quality
 from .quality_rules import OP9_SQL, op9_quality_rules
 from .secrets import op3_secrets
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_quality_rules": op9_quality_rules,
     "op10_spotsigs": op10_spotsigs,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_language": op12_language,
     "op13_turn_repair": op13_turn_repair,
 }
@@ -35,5 +37,6 @@ ORACLE_SQL = {
     "op6_url_filter": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
     "op10_spotsigs": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op13_turn_repair": OP13_SQL,
 }
