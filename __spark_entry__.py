@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from mapflow import ColumnSpec, JoinSpec, ModelSpec, RunContext, TableRef, TableRegistry, TableStore
 from mapflow.fixed_values import DEFAULT_TIME_LOGIC, DEFAULT_USER_LOGIC
-from mapflow.operators import (assign_surrogate_keys, build_delta, build_model, conform_by_name, create_view, duplicate_keys,
+from mapflow.operators import (asof_join, assign_surrogate_keys, build_delta, build_model, conform_by_name, create_view, duplicate_keys,
                                load_append, load_insert_by_name, load_landing, load_merge, load_truncate, materialize,
-                               publish_view, recon_counts, recon_empty_probe, recon_except)
+                               ordered_window, publish_view, recon_counts, recon_digest, recon_empty_probe, recon_except)
 from mapflow.plans import run_models, spec_job
 from mapflow.session import scratch_dir
 from mapflow.sources import catalog_columns, column_profile
@@ -391,6 +391,60 @@ def q_join_expr_equi(spark, d):
     return build_model(spec, _registry(spark, d), RUN)
 
 
+def q_join_interval(spark, d):
+    """Range condition with both sides large: orders whose total lies within a euro above a line's price, and the others."""
+    spec = ModelSpec(
+        source=TableRef("orders"), target="DW.F_ORDER_LINE",
+        columns=(C("ORDER_ID", "o_orderkey", "orders"), C("LINE_ORDER_ID", "l.l_orderkey", "lineitem"), C("LINE_NO", "l.l_linenumber", "lineitem")),
+        joins=(JoinSpec("LEFT", TableRef("lineitem"), "l",
+                        "source.o_totalprice >= l.l_extendedprice and source.o_totalprice < l.l_extendedprice + 1 and l.l_quantity > 5"),))
+    return build_model(spec, _registry(spark, d), RUN)
+
+
+def q_join_interval_full(spark, d):
+    """FULL join of overlapping intervals: from a line's price on against from an order's total on."""
+    spec = ModelSpec(
+        source=TableRef("lineitem"), target="DW.F_LINE_ORDER",
+        columns=(C("LINE_ORDER_ID", "l_orderkey", "lineitem"), C("LINE_NO", "l_linenumber", "lineitem"), C("ORDER_ID", "o.o_orderkey", "orders")),
+        joins=(JoinSpec("FULL", TableRef("orders"), "o",
+                        "source.l_extendedprice <= o.o_totalprice + 0.4 and source.l_extendedprice + 0.6 >= o.o_totalprice"),))
+    return build_model(spec, _registry(spark, d), RUN)
+
+
+def q_join_disjunction(spark, d):
+    """OR of two equalities, both sides large: each pair once, orders and lines without any match kept."""
+    spec = ModelSpec(
+        source=TableRef("lineitem"), target="DW.F_LINE_ORDER",
+        columns=(C("LINE_ORDER_ID", "l_orderkey", "lineitem"), C("LINE_NO", "l_linenumber", "lineitem"), C("PART_ID", "l_partkey", "lineitem"),
+                 C("ORDER_ID", "o.o_orderkey", "orders")),
+        joins=(JoinSpec("FULL", TableRef("orders"), "o",
+                        "(source.l_orderkey = o.o_orderkey and o.o_orderstatus = 'F') or source.l_partkey = o.o_orderkey"),))
+    return build_model(spec, _registry(spark, d), RUN)
+
+
+def q_join_asof(spark, d):
+    """Every event with the latest view of the same user before it, if there is one within five days."""
+    events = _registry(spark, d).source("events")
+    return asof_join(events.select("event_id", "user_id", "event_type", "ts"), events.where("event_type = 'view'"), [("user_id", "user_id")],
+                     "ts", "ts", {"view_id": "event_id", "view_ts": "ts"}, strict=True, ties=["event_id"],
+                     tolerance=F.expr("interval 5 days"))
+
+
+def q_window_hot(spark, d):
+    """Running values over groups that hold a large part of all rows (event types)."""
+    events = _registry(spark, d).source("events").select("event_id", "event_type", "user_id", "ts")
+    return ordered_window(events, ["event_type"], ["ts", "event_id"], {
+        "row_no": ("row_number", None), "previous_id": ("lag", "event_id"), "user_sum": ("sum", "user_id"),
+        "user_max": ("max", "user_id"), "user_min": ("min", "user_id")})
+
+
+def q_recon_digest(spark, d):
+    """Target against source by checksums: rows of either side that the other lacks."""
+    reg, store = _seed_target(spark, d)
+    source = build_model(SRC_SPEC, reg, RUN)
+    return recon_digest(store.read("DW.D_CUSTOMER").select(*source.columns), source, ["CUST_ID"])
+
+
 SEQ_SPEC = SRC_SPEC.with_(columns=(C("CUST_SK", "DW.SEQ_CUSTOMER.NEXTVAL"),) + SRC_SPEC.columns)
 
 
@@ -545,6 +599,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_rules": q_conform_rules,
     "odd_names": q_odd_names,
     "column_profile": q_column_profile,
+    "join_interval": q_join_interval,
+    "join_interval_full": q_join_interval_full,
+    "join_disjunction": q_join_disjunction,
+    "join_asof": q_join_asof,
+    "window_hot": q_window_hot,
+    "recon_digest": q_recon_digest,
 }
 
 
@@ -720,6 +780,32 @@ _ORACLE = {
         "with j as (select * from orders left join customer on o_custkey = c_custkey and c_acctbal > 0) "
         + " union all ".join(f"select {i} as ORDINAL_POSITION, '{c}' as COLUMN_NAME, count(*) as ROW_CNT, count(*) - count({c}) as NULL_CNT from j"
                              for i, c in enumerate(("o_orderkey", "o_custkey", "o_totalprice", "c_name", "c_mktsegment"), 1))),
+    "join_interval": (
+        "select o_orderkey as ORDER_ID, l.l_orderkey as LINE_ORDER_ID, l.l_linenumber as LINE_NO from orders source left join lineitem l "
+        "on source.o_totalprice >= l.l_extendedprice and source.o_totalprice < l.l_extendedprice + 1 and l.l_quantity > 5"),
+    "join_interval_full": (
+        "select l_orderkey as LINE_ORDER_ID, l_linenumber as LINE_NO, o.o_orderkey as ORDER_ID from lineitem source full outer join orders o "
+        "on source.l_extendedprice <= o.o_totalprice + 0.4 and source.l_extendedprice + 0.6 >= o.o_totalprice"),
+    "join_disjunction": (
+        "with f as (select * from orders where o_orderstatus = 'F'), m as ("
+        "select l_orderkey, l_linenumber, l_partkey, o_orderkey from lineitem join f on l_orderkey = o_orderkey union all "
+        "select l_orderkey, l_linenumber, l_partkey, o_orderkey from lineitem join orders on l_partkey = o_orderkey "
+        "where not (l_orderkey = o_orderkey and o_orderstatus = 'F')) "
+        "select l_orderkey as LINE_ORDER_ID, l_linenumber as LINE_NO, l_partkey as PART_ID, o_orderkey as ORDER_ID from m union all "
+        "select l_orderkey, l_linenumber, l_partkey, null from lineitem where l_orderkey not in (select o_orderkey from f) "
+        "and l_partkey not in (select o_orderkey from orders) union all "
+        "select null, null, null, o_orderkey from orders where o_orderkey not in (select o_orderkey from m)"),
+    "join_asof": (
+        "with v as (select user_id, ts, max(event_id) as event_id from events where event_type = 'view' group by user_id, ts) "
+        "select e.event_id, e.user_id, e.event_type, e.ts, if(v.ts >= e.ts - interval 5 days, v.event_id, null) as view_id, "
+        "if(v.ts >= e.ts - interval 5 days, v.ts, null) as view_ts from events e asof left join v on e.user_id = v.user_id and e.ts > v.ts"),
+    "window_hot": (
+        "select event_id, event_type, user_id, ts, row_number() over w as row_no, lag(event_id) over w as previous_id, "
+        "cast(sum(user_id) over w as bigint) as user_sum, max(user_id) over w as user_max, min(user_id) over w as user_min "
+        "from events window w as (partition by event_type order by ts, event_id)"),
+    "recon_digest": (
+        f"select 'target' as DIFF_SIDE, t.* from ((select CUST_ID, CUST_NM, ACCT_BAL, SEG_CD from ({_TGT}) a) except ({_SRC})) t union all "
+        f"select 'source' as DIFF_SIDE, s.* from (({_SRC}) except (select CUST_ID, CUST_NM, ACCT_BAL, SEG_CD from ({_TGT}) a)) s"),
     "odd_names": (
         "select p_partkey as \"Part Key\", p_retailprice as \"Price (USD)\", p_brand || '/' || cast(p_size as varchar) as "
         "\"Brand-Size\" from part"),

@@ -8,12 +8,13 @@ from .keys import (DuplicateKeyError, assert_unique_keys, assign_surrogate_keys,
 from .load import (load_append, load_insert_by_name, load_landing, load_merge, load_truncate,
                    load_with_surrogate_key, materialize, stage)
 from .merge import align_to, merge_frames
-from .recon import reconcile, recon_counts, recon_empty_probe, recon_except
+from .ordered import asof_join, ordered_window
+from .recon import reconcile, recon_counts, recon_digest, recon_empty_probe, recon_except
 from .select import apply_contract, build_model, model_frame
 from .setops import distinct_except
 
 __all__ = [
-    "DuplicateKeyError", "JoinError", "align_to", "apply_contract", "apply_join", "assert_unique_keys",
+    "DuplicateKeyError", "JoinError", "align_to", "asof_join", "ordered_window", "recon_digest", "apply_contract", "apply_join", "assert_unique_keys",
     "assign_surrogate_keys", "build_delta", "build_model", "choose_merge_key", "classify_columns",
     "conform_by_name", "create_view", "distinct_except", "duplicate_keys", "landing_projection", "load_append",
     "load_insert_by_name", "load_landing", "load_merge", "load_truncate", "load_with_surrogate_key",

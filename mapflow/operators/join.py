@@ -11,8 +11,8 @@ side of an INNER join, but never the right side of a LEFT join nor any side of
 a FULL join.  RIGHT and FULL joins, and LEFT joins whose joined side is too large
 to broadcast, are therefore planned (``skew="auto"`` or ``"split"``; not ``"none"``)
 as the inner join (both sides splittable) plus, per preserved side, that side
-anti-joined with the other (null-padded).  For a pure equi condition the anti
-join's other side is reduced to its distinct key values first, so a key held
+anti-joined with the other (null-padded).  The anti join's other side is filtered by its own
+conditions and reduced to its distinct key values first, so a key held
 by a third of the rows arrives as one row per task.  The parts are unioned;
 the result equals the outer join, at the cost of reading both sides twice.
 """
@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from functools import reduce
 
-from ..functions.expressions import equi_pairs, qualify_join_lhs, rewrite_main
+from ..functions.expressions import qualify_join_lhs, rewrite_main
 from ..spec import JoinSpec
+from .condition import analyse
+from .range_join import RangeMatch, bounds_of
 
 # Join words a mapping may use, and the Spark join type of each.
 JOIN_TYPES = {
@@ -41,9 +43,13 @@ JOIN_TYPES = {
     "FULL OUTER": "full_outer",
 }
 
-# Largest size a joined side may have in a nested-loop join, in which each row of the
-# other side meets every row of this one: lookup tables only.  The bytes are Catalyst's
-# estimate; rows are counted (up to the bound) only where it has none, as for local data.
+# A range condition against a joined side within these bounds (a lookup table) is looped over:
+# cheaper than sorting both sides.  Beyond them ``range_join`` gives the same rows.
+LOOKUP_MAX_BYTES = 64 * 1024
+LOOKUP_MAX_ROWS = 1_000
+# Largest joined side for a condition with neither an equality nor a range of the two sides
+# (``<>``, LIKE, a function of both), in which each row has to meet each row of the lookup table.  The bytes are
+# Catalyst's estimate; rows are counted (up to the bound) only where it has none, as for local data.
 THETA_MAX_BYTES = 10 * 1024 * 1024
 THETA_MAX_ROWS = 10_000
 
@@ -80,26 +86,33 @@ def planned_operators(df: DataFrame) -> list[str]:
     return re.findall(r"CartesianProduct|BroadcastNestedLoopJoin|BroadcastHashJoin|ShuffledHashJoin|SortMergeJoin", plan)
 
 
+def _loops(left: DataFrame, right: DataFrame, joined: DataFrame) -> bool:
+    """Whether Spark plans a nested loop or a product for the join itself."""
+    before, after = Counter(planned_operators(left)) + Counter(planned_operators(right)), Counter(planned_operators(joined))
+    return any(after[x] > before[x] for x in ("CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
 def apply_join(left: DataFrame, right: DataFrame, join: JoinSpec, main_alias: str = "source",
                theta_max_bytes: int = THETA_MAX_BYTES, theta_max_rows: int = THETA_MAX_ROWS) -> DataFrame:
     how = spark_join_type(join.how)
     if not join.condition or not join.condition.strip():
         raise JoinError(f"join to {join.table.name} AS {join.alias} has no condition; "
                         "a product of two tables is not supported")
-    cond = qualify_join_lhs(rewrite_main(join.condition, main_alias), main_alias)
+    text = qualify_join_lhs(rewrite_main(join.condition, main_alias), main_alias)
     right = right.alias(join.alias)
-    joined = left.join(right, F.expr(cond), how)
-    before, after = Counter(planned_operators(left)), Counter(planned_operators(joined))
-    if after["CartesianProduct"] > before["CartesianProduct"] or after["BroadcastNestedLoopJoin"] > before["BroadcastNestedLoopJoin"]:
-        if how not in ("inner", "left"):
-            raise JoinError(f"non-equi {how} join to {join.alias} is not supported; "
-                            "only INNER or LEFT with a small joined side")
-        if not known_small(right, theta_max_bytes, theta_max_rows):
-            raise JoinError(f"join to {join.alias} would compare every row with every row: it has no equality between the "
-                            f"two sides, and the joined side is not known to be under {theta_max_bytes} bytes")
-        return left.join(F.broadcast(right), F.expr(cond), how)
+    joined = left.join(right, F.expr(text), how)
+    if _loops(left, right, joined):
+        cond = analyse(left, right, text)
+        if not cond.either and how in ("inner", "left"):
+            limits = (LOOKUP_MAX_BYTES, LOOKUP_MAX_ROWS) if cond.ranges else (theta_max_bytes, theta_max_rows)
+            if known_small(right, *limits):
+                return left.join(F.broadcast(right), F.expr(text), how)
+        if not cond.either and not cond.ranges:
+            raise JoinError(f"join to {join.alias} would compare every row with every row: it has neither an equality nor a range "
+                            f"of the two sides, and is not an INNER or LEFT join to a side known to be under {theta_max_bytes} bytes")
+        return outer_join(left, right, text, how)
     if join.skew != "none" and (how in ("right", "full_outer") or how == "left" and (join.skew == "split" or _too_large(right))):
-        return split_outer_join(left, right, cond, how, join.alias)
+        return outer_join(left, right, text, how)
     return joined
 
 
@@ -109,18 +122,106 @@ def _too_large(right: DataFrame) -> bool:
     return size_estimate(right) > int(limit)
 
 
-def split_outer_join(left: DataFrame, right: DataFrame, cond: str, how: str, right_alias: str) -> DataFrame:
-    """``left <how> JOIN right`` as inner join plus null-padded anti joins."""
-    pairs, pure = equi_pairs(cond, right_alias)
-    on = F.expr(cond)
-    parts = [left.join(right, on, "inner")]
+def outer_join(left: DataFrame, right: DataFrame, text: str, how: str) -> DataFrame:
+    """``left <how> JOIN right`` as the inner join plus, per preserved side, its null-padded rows without a match.
+
+    ``right`` is under its alias.
+    """
+    match = Match(left, right, text)
+    parts = [match.inner()]
     if how in ("left", "full_outer"):
-        other = right.select(*[F.col(f"{right_alias}.{c}") for _, c in pairs]).distinct().alias(right_alias) \
-            if pure else right
-        only = left.join(other, on, "left_anti")
-        parts.append(only.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))
+        parts.append(match.unmatched(0).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))
     if how in ("right", "full_outer"):
-        other = left.select(*[F.col(ref) for ref, _ in pairs]).distinct() if pure else left
-        only = right.join(other, on, "left_anti")
-        parts.append(only.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields], "*"))
+        parts.append(match.unmatched(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields], "*"))
     return reduce(DataFrame.union, parts)
+
+
+class Match:
+    """How the rows of two sides meet under an ON condition, in plans without a nested loop.
+
+    * An equality of the two sides: Spark's own join.  Conditions on one side alone filter that side first.
+    * A disjunction: one join per alternative, each without the rows that an earlier
+      alternative joins (``NOT coalesce(earlier, false)``), so no pair comes twice and none has to be removed.
+    * A range: ``range_join``.
+    """
+
+    def __init__(self, left: DataFrame, right: DataFrame, text: str):
+        self.sides = (left, right)
+        self.text = text
+        self.cond = analyse(left, right, text)
+        plain = left.join(right, F.expr(text), "inner")
+        self.kind = ("equi" if not _loops(left, right, plain) else "either" if self.cond.either else "range" if self.cond.ranges else None)
+        if self.kind is None:
+            raise JoinError(f"a part of the condition has neither an equality nor a range of the two sides: {text}")
+        if self.kind == "either":
+            part, alternatives = self.cond.either[0]
+            rest = [f"({p})" for p in self.cond.parts if p is not part]
+            tried = [f"NOT coalesce(({a}), false)" for a in alternatives]
+            self.any = [Match(left, right, " AND ".join([f"({a})", *rest])) for a in alternatives]
+            self.once = [Match(left, right, " AND ".join([f"({a})", *rest, *tried[:i]])) for i, a in enumerate(alternatives)]
+        elif self.kind == "range":
+            self.narrow = tuple(reduce(DataFrame.where, map(F.expr, only), side)
+                                for side, only in zip(self.sides, (self.cond.left_only, self.cond.right_only)))
+            self.matches = [RangeMatch(*self.narrow, self.cond, b) for b in bounds_of(self.cond)]
+
+    def inner(self) -> DataFrame:
+        """Joined rows: the left side's columns, then the right side's, under their aliases."""
+        if self.kind == "equi":
+            return self.sides[0].join(self.sides[1], F.expr(self.text), "inner")
+        if self.kind == "either":
+            return reduce(DataFrame.union, [m.inner() for m in self.once])
+        return reduce(DataFrame.union, [self._through_pairs(m) for m in self.matches])
+
+    def _through_pairs(self, m: RangeMatch) -> DataFrame:
+        pairs = m.pairs()
+        on_left, on_right = (m.on_span, m.on_point) if m.bounds.flipped else (m.on_point, m.on_span)
+        joined = self.narrow[0].join(pairs, on_left(pairs)).join(self.narrow[1], on_right(pairs)).where(F.expr(self.text))
+        return joined.drop(*pairs.columns)
+
+    def unmatched(self, side: int) -> DataFrame:
+        """Rows of the left (0) or right (1) side that meet none of the other's."""
+        own, other = self.sides[side], self.sides[1 - side]
+        own_only = reduce(lambda a, b: a & b, map(F.expr, (self.cond.left_only, self.cond.right_only)[side]), F.lit(True))
+        other_only = (self.cond.right_only, self.cond.left_only)[side]
+        if self.kind == "either":
+            for m in self.any:
+                own = m._unmatched_of(own, side)
+            return own
+        return self._unmatched_of(own, side, own_only, other_only)
+
+    def _unmatched_of(self, own: DataFrame, side: int, own_only=None, other_only=None) -> DataFrame:
+        """``own``, some rows of a side, without those that meet a row of the other side."""
+        if own_only is None:
+            own_only = reduce(lambda a, b: a & b, map(F.expr, (self.cond.left_only, self.cond.right_only)[side]), F.lit(True))
+            other_only = (self.cond.right_only, self.cond.left_only)[side]
+        other = reduce(DataFrame.where, map(F.expr, other_only), self.sides[1 - side])
+        if self.kind == "either":
+            return reduce(lambda rows, m: m._unmatched_of(rows, side), self.any, own)
+        if self.kind == "equi":
+            if self.cond.residual or self.cond.ranges or not self.cond.equal:
+                return own.join(other, F.expr(self.text), "left_anti")
+            # The other side's distinct keys are enough, so a key held by a third of its rows arrives as one row per task.
+            keys = other.select(*[F.expr(e[0 if side else 2]).alias(f"__j{i}") for i, e in enumerate(self.cond.equal)]).distinct()
+            on = own_only
+            for i, e in enumerate(self.cond.equal):
+                a, b = F.expr(e[2 if side else 0]), keys[f"__j{i}"]
+                on = on & (a.eqNullSafe(b) if e[1] == "<=>" else a == b)
+            return own.join(keys, on, "left_anti")
+        m = self.matches[0]
+        own_is_point = m.bounds.flipped == bool(side)
+        if len(self.matches) == 1 and not self.cond.residual and len(self.cond.ranges) == bool(m.bounds.low) + bool(m.bounds.high):
+            # The sorted order says which values are matched at all; the pairs are not needed.
+            met = m.points.where("__covered") if own_is_point else m.spans
+            return own.join(met, (m.on_point if own_is_point else m.on_span)(met) & own_only, "left_anti")
+        for m in self.matches:
+            pairs = m.pairs()
+            own_is_point = m.bounds.flipped == bool(side)
+            on_own, on_other = (m.on_point, m.on_span) if own_is_point else (m.on_span, m.on_point)
+            met = pairs.join(other, on_other(pairs))
+            own = own.join(met, on_own(pairs) & F.expr(self.text), "left_anti")
+        return own
+
+
+def split_outer_join(left: DataFrame, right: DataFrame, cond: str, how: str, right_alias: str) -> DataFrame:
+    """``left <how> JOIN right`` as inner join plus null-padded anti joins."""
+    return outer_join(left, right, cond, how)

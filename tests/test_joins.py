@@ -47,19 +47,24 @@ def test_no_condition_refused(spark):
         build_model(_spec("LEFT", None), _reg(spark))
 
 
-def test_theta_join_needs_a_bounded_side(spark, registry):
+def test_range_over_a_lookup_loops_and_beyond_is_joined_by_rank(spark, registry):
     reg = _reg(spark)
     spec = _spec("LEFT", "source.V > j.ID * 10")
     out = build_model(spec, reg)
     assert rows(out) == [(1, None), (2, "x"), (3, "x")]
     assert "BroadcastNestedLoopJoin" in plan_text(out)
-    left = reg.source("S").alias("source")
-    with pytest.raises(JoinError):
-        apply_join(left, reg.source("J"), spec.joins[0], theta_max_rows=1)
+    left, right = reg.source("S").alias("source"), spark.range(5000).selectExpr("id * 1000 as ID", "string(id) as NM")
+    out = apply_join(left, right, spec.joins[0])
+    assert "NestedLoop" not in plan_text(out) and "Cartesian" not in plan_text(out)
+    assert rows(out, "V", "NM") == [(10, "0"), (20, "0"), (30, "0")]
+
+
+def test_conditions_without_equality_or_range_need_a_bounded_side(spark, registry):
     orders = registry.source("orders")
-    with pytest.raises(JoinError):
-        apply_join(orders.alias("source"), orders, JoinSpec("LEFT", TableRef("orders"), "j", "source.o_orderkey > j.o_custkey"),
-                   theta_max_bytes=1000)
+    for cond in ("source.o_orderkey <> j.o_custkey", "source.o_comment like j.o_comment", "source.o_orderkey + j.o_custkey > 7"):
+        with pytest.raises(JoinError):
+            apply_join(orders.withColumn("o_comment", F.lit("x")).alias("source"), orders.withColumn("o_comment", F.lit("x")),
+                       JoinSpec("LEFT", TableRef("orders"), "j", cond), theta_max_bytes=1000)
 
 
 @pytest.mark.parametrize("how", ["INNER", "LEFT", "RIGHT", "FULL"])
