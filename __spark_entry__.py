@@ -25,6 +25,7 @@ from mapflow.operators import (asof_join, assign_surrogate_keys, build_delta, bu
 from mapflow.plans import run_models, spec_job
 from mapflow.session import scratch_dir
 from mapflow.sources import catalog_columns, column_profile
+from mapflow.sources.store import remove_path
 from mapflow.streaming import stream_merge
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -550,6 +551,38 @@ def q_odd_names(spark, d):
     return build_model(spec, _registry(spark, d), RUN)
 
 
+def q_merge_cast_guard(spark, d):
+    """Merge of a batch whose keys and numbers come in wider types: each whole value finds its row, none is changed on the way."""
+    reg, store = _seed_target(spark, d)
+    batch = reg.source("customer").where("c_acctbal > 0").selectExpr(
+        "cast(c_custkey as decimal(20, 3)) as CUST_ID", "c_name as CUST_NM", "cast(cast(c_acctbal as decimal(12, 2)) as string) as ACCT_BAL",
+        "c_mktsegment as SEG_CD", "'cast' as UPDATE_BY")
+    return load_merge(store, "DW.D_CUSTOMER", batch, ["CUST_ID"])
+
+
+def q_sequence_after_truncate(spark, d):
+    """A numbered table truncated, loaded again and merged into: numbers go on and none comes twice."""
+    store = _store(spark)
+    reg = _registry(spark, d, store)
+    first = SEQ_SPEC.with_(materialization="truncate_load", where="c_mktsegment = 'HOUSEHOLD'")
+    run_models([first], reg, store, RUN)
+    run_models([first.with_(where="c_mktsegment = 'BUILDING'")], reg, store, RUN)
+    return run_models([SEQ_SPEC.with_(materialization="incremental")], reg, store, RUN)["DW.D_CUSTOMER"]
+
+
+def q_stream_reset(spark, d):
+    """A stream whose checkpoint is lost between two runs: the second run merges the old files again, and the new ones."""
+    store = _store(spark)
+    events = _registry(spark, d).source("events").withColumn("rev", F.lit(2))
+    landing, checkpoint = scratch_dir(spark, "landing-reset"), scratch_dir(spark, "stream-reset")
+    for rows in (events.withColumns({"value": F.lit(-1.0), "rev": F.lit(1)}), events):
+        rows.write.mode("append").parquet(landing)
+        stream_merge(spark, landing, events.schema, store, "RAW.EVENTS", ["event_id"], checkpoint_location=checkpoint,
+                     order_by=["rev"]).awaitTermination()
+        remove_path(spark, checkpoint)
+    return store.read("RAW.EVENTS")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_dimension": q_customer_dimension,
     "scan_source": q_scan_source,
@@ -605,6 +638,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_asof": q_join_asof,
     "window_hot": q_window_hot,
     "recon_digest": q_recon_digest,
+    "merge_cast_guard": q_merge_cast_guard,
+    "sequence_after_truncate": q_sequence_after_truncate,
+    "stream_reset": q_stream_reset,
 }
 
 
@@ -806,6 +842,17 @@ _ORACLE = {
     "recon_digest": (
         f"select 'target' as DIFF_SIDE, t.* from ((select CUST_ID, CUST_NM, ACCT_BAL, SEG_CD from ({_TGT}) a) except ({_SRC})) t union all "
         f"select 'source' as DIFF_SIDE, s.* from (({_SRC}) except (select CUST_ID, CUST_NM, ACCT_BAL, SEG_CD from ({_TGT}) a)) s"),
+    "merge_cast_guard": (
+        f"with t as ({_TGT}), s as (select c_custkey as CUST_ID, c_name as CUST_NM, c_acctbal as ACCT_BAL, c_mktsegment as SEG_CD "
+        "from customer where c_acctbal > 0) "
+        "select coalesce(t.CUST_ID, s.CUST_ID) as CUST_ID, coalesce(s.CUST_NM, t.CUST_NM) as CUST_NM, coalesce(s.ACCT_BAL, t.ACCT_BAL) as ACCT_BAL, "
+        "coalesce(s.SEG_CD, t.SEG_CD) as SEG_CD, t.CREATE_BY, if(s.CUST_ID is null, t.UPDATE_BY, 'cast') as UPDATE_BY "
+        "from t full outer join s on t.CUST_ID = s.CUST_ID"),
+    "sequence_after_truncate": (
+        f"with s as ({_SRC}), n as (select (select count(*) from s where SEG_CD = 'HOUSEHOLD') as h, "
+        "(select count(*) from s where SEG_CD = 'BUILDING') as b) "
+        "select if(SEG_CD = 'BUILDING', h, h + b) + row_number() over (partition by SEG_CD = 'BUILDING' order by CUST_ID) as CUST_SK, s.* from s, n"),
+    "stream_reset": "select *, 2 as rev from events",
     "odd_names": (
         "select p_partkey as \"Part Key\", p_retailprice as \"Price (USD)\", p_brand || '/' || cast(p_size as varchar) as "
         "\"Brand-Size\" from part"),

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.audit import RunContext
 from ..functions.expressions import col
 from ..session import scratch_dir
-from ..sources.store import MAX_PARTS, TableNotFound, TableStore, remove_path
+from ..sources.store import ABSENT, MAX_PARTS, Snapshot, TableNotFound, TableStore, remove_path
 from ..spec import DEFAULT_UPDATE_EXCLUDE, ModelSpec
 from .conform import landing_projection
 from .join import size_estimate
@@ -42,37 +42,62 @@ def stage(df: DataFrame) -> tuple[DataFrame, str]:
 
 
 def load_truncate(store: TableStore, table: str, df: DataFrame,
-                  bucket_by: tuple[Sequence[str], int] | None = None) -> DataFrame:
-    store.overwrite(table, df, bucket_by)
+                  bucket_by: tuple[Sequence[str], int] | None = None, sequence: str | None = None,
+                  order_by: Sequence[str] = (), base: Snapshot | None = None) -> DataFrame:
+    """Replace the table's rows; ``sequence`` as in ``load_append``, numbered on and not from 1.
+
+    Like TRUNCATE and INSERT, it drops whatever the table holds at the commit; with ``base``, the version that the rows were made
+    from, rows loaded since then make it fail instead.
+    """
+    if sequence and base is None:
+        base = store.snapshot(table) or ABSENT  # numbers given out meanwhile must not come twice
+    with numbered(df, sequence, order_by, last_number(store, table, sequence, base)) as (rows, tags):
+        store.overwrite(table, rows, bucket_by, base=base, tags=tags)
     return store.read(table)
 
 
-def next_sequence(store: TableStore, table: str, column: str) -> int:
-    """Largest number of ``column`` stored so far, 0 if none."""
-    return store.read(table).agg(F.max(col(column))).first()[0] or 0 if store.exists(table) else 0
+def _mark(column: str) -> str:
+    return f"sequence:{column.upper()}"
+
+
+def last_number(store: TableStore, table: str, column: str | None, base: Snapshot | None = None) -> int:
+    """The highest number given out so far: the mark of the newest version, or the largest stored one in a table without it.
+
+    The mark is committed with the rows it numbers, so a number is not given out twice: not after rows were deleted or the table
+    truncated, and of two loads at once one fails to commit.
+    """
+    snap = base or store.snapshot(table)
+    if column is None or snap is None or not snap.parts:
+        return 0
+    if _mark(column) in snap.tags:
+        return int(snap.tags[_mark(column)])
+    if column.upper() not in {f.name.upper() for f in snap.schema.fields}:
+        return 0
+    return store.read(table, snap).agg(F.max(col(column))).first()[0] or 0
 
 
 @contextmanager
 def numbered(df: DataFrame, column: str | None, order_by: Sequence[str], start: int):
-    """``df`` with ``column`` numbered after ``start``; what it stages is removed at the end of the block."""
+    """``df`` with ``column`` numbered after ``start``, and the mark to commit; what it stages is removed at the end of the block."""
     if column is None:
-        yield df
+        yield df, {}
         return
     path = scratch_dir(df.sparkSession, "surrogate")
     layout = list(df.columns) if column.upper() in {c.upper() for c in df.columns} else [*df.columns, column]
     rest = df.select(*[col(c) for c in df.columns if c.upper() != column.upper()])
     try:
-        yield assign_surrogate_keys(rest, order_by or rest.columns, column, start, path=path).select(*[col(c) for c in layout])
+        rows = assign_surrogate_keys(rest, order_by or rest.columns, column, start, path=path).select(*[col(c) for c in layout])
+        yield rows, {_mark(column): start + df.sparkSession.read.parquet(path).count()}  # from the files' metadata
     finally:
         remove_path(df.sparkSession, path)
 
 
 def load_append(store: TableStore, table: str, df: DataFrame, sequence: str | None = None,
                 order_by: Sequence[str] = ()) -> DataFrame:
-    """Append by name; ``sequence``: a column numbered after the table's largest, in ``order_by``."""
+    """Append by name; ``sequence``: a column numbered after the last number given out, in ``order_by``."""
     base = store.snapshot(table)
-    with numbered(df, sequence, order_by, next_sequence(store, table, sequence) if sequence else 0) as rows:
-        store.append(table, align_to(rows, base.schema, fill_missing=False) if base else rows, base=base)
+    with numbered(df, sequence, order_by, last_number(store, table, sequence, base)) as (rows, tags):
+        store.append(table, align_to(rows, base.schema, fill_missing=False) if base else rows, base=base or ABSENT, tags=tags)
     return store.read(table)
 
 
@@ -82,8 +107,8 @@ def load_insert_by_name(store: TableStore, table: str, df: DataFrame, sequence:
     base = store.snapshot(table)
     if base is None:
         raise TableNotFound(f"INSERT into {table}: no such table")
-    with numbered(df, sequence, order_by, next_sequence(store, table, sequence) if sequence else 0) as rows:
-        store.append(table, align_to(rows, base.schema, fill_missing=True), base=base)
+    with numbered(df, sequence, order_by, last_number(store, table, sequence, base)) as (rows, tags):
+        store.append(table, align_to(rows, base.schema, fill_missing=True), base=base, tags=tags)
     return store.read(table)
 
 
@@ -105,31 +130,36 @@ def load_merge(store: TableStore, table: str, source: DataFrame, keys: Sequence[
     immutable files.  ``strategy`` forces ``"shuffle"`` or ``"broadcast"``.
     ``buckets`` creates a new target bucketed by ``keys`` (see ``TableStore``); a
     batch that touches at most half of a target's buckets rewrites only these.
-    ``sequence``: a column that inserted rows get numbered in, after the largest
-    stored number and in key order; matched rows keep theirs.
+    ``sequence``: a column that inserted rows get numbered in, after the last number
+    given out and in key order; matched rows keep theirs.  Rows are brought to the target's
+    types first, and a value that would change by that fails the load (``exact_cast``); then keys are checked.
+    Two loads that both find no table conflict: the second one to commit fails.
     """
     staged, path = stage(source) if stage_input else (source, None)
     try:
+        base = store.snapshot(table)
+        if base is not None:
+            staged = align_to(staged, base.schema)  # the guard has to see the keys as they are stored
         if check_duplicates and key_profile(staged, keys)[1] > 1:
             assert_unique_keys(staged, keys)  # raises, with examples
-        base = store.snapshot(table)
         if base is None:
-            with numbered(staged, sequence, keys, 0) as rows:
-                store.overwrite(table, rows, (list(keys), buckets) if buckets else None, tags=tags)
+            with numbered(staged, sequence, keys, 0) as (rows, marks):
+                store.overwrite(table, rows, (list(keys), buckets) if buckets else None, base=ABSENT, tags={**(tags or {}), **marks})
             return store.read(table)
-        start = next_sequence(store, table, sequence) if sequence else 0
+        start = last_number(store, table, sequence, base)
         exclude = [*(exclude or ()), sequence] if sequence else exclude
         how, touched = strategy or merge_strategy(staged), None
         if base.bucketing and {k.upper() for k in base.bucketing[0]} == {k.upper() for k in keys} and len(base.parts) < MAX_PARTS:
-            touched = store.touched_buckets(base, align_to(staged, base.schema))
+            touched = store.touched_buckets(base, staged)
             touched = touched if 2 * len(touched) <= base.bucketing[1] else None
         # A target read as n buckets comes out of the merge partitioned by
         # bucket (kept rows by the scan, inserts by key): write it as is.
         bucketed = touched is None and store.is_bucketed_read(table)
         kept, inserts = merge_parts(store.read(table, base, touched), staged, keys, update_columns, exclude, how,
                                     base.bucketing[1] if bucketed and not sequence else None)
-        with numbered(inserts, sequence, keys, start) as new:
+        with numbered(inserts, sequence, keys, start) as (new, marks):
             merged = kept.unionByName(new)
+            tags = {**(tags or {}), **marks}
             if touched is not None:
                 store.replace_buckets(table, merged, touched, base, tags)
             else:
@@ -162,8 +192,7 @@ def materialize(spec: ModelSpec, df: DataFrame, store: TableStore, ctx: RunConte
     bucket_by = (list(spec.unique_key), spec.buckets) if spec.buckets else None
     sequence = spec.sequence_column
     if m in ("table", "truncate_load"):
-        with numbered(df, sequence, spec.unique_key, 0) as rows:
-            return load_truncate(store, table, rows, bucket_by)
+        return load_truncate(store, table, df, bucket_by, sequence, spec.unique_key)
     if m == "lnd_load":
         return load_landing(store, table, df, spec.source.name, ctx)
     if m == "insert":

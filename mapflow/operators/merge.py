@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expressions import col
 from ..spec import DEFAULT_UPDATE_EXCLUDE
@@ -39,9 +40,30 @@ def _resolve(names: Sequence[str], columns: Sequence[str], what: str) -> list[st
     return out
 
 
+# Casts that keep every value: from a type to those after it in its row.
+_WIDENING = (("tinyint", "smallint", "int", "bigint"), ("float", "double"), ("tinyint", "smallint", "int", "double"),
+             ("tinyint", "smallint", "float"), ("date", "timestamp"), ("date", "timestamp_ntz"))
+
+
+def exact_cast(c: Column, have: T.DataType, want: T.DataType, name: str) -> Column:
+    """``c`` cast to ``want``; the load fails on a value that the cast would change.
+
+    A number, date or time must come back as it was from the target's type; a text must be one of its values.
+    """
+    a, b = have.simpleString(), want.simpleString()
+    if a == b or a == "void" or b == "string" or any(a in row and b in row[row.index(a):] for row in _WIDENING):
+        return c.cast(want)
+    if not isinstance(have, T.AtomicType) or not isinstance(want, T.AtomicType):
+        return c.cast(want)
+    got = c.try_cast(want)
+    same = got.isNotNull() if isinstance(have, T.StringType) else got.try_cast(have).eqNullSafe(c)
+    message = F.concat(F.lit(f"column {name}: "), c.cast("string"), F.lit(f" ({a}) does not fit {b} without a change"))
+    return F.when(c.isNull(), F.lit(None).cast(want)).when(same, got).otherwise(F.raise_error(message).cast(want))
+
+
 def align_to(df: DataFrame, target_schema, fill_missing: bool = True) -> DataFrame:
     """Select ``df`` in the target's column order, by case-insensitive name,
-    cast to the target's types; absent columns become typed NULL."""
+    cast to the target's types by ``exact_cast``; absent columns become typed NULL."""
     have = {c.upper(): c for c in df.columns}
     extra = [c for c in df.columns if c.upper() not in {f.name.upper() for f in target_schema.fields}]
     if extra:
@@ -49,7 +71,8 @@ def align_to(df: DataFrame, target_schema, fill_missing: bool = True) -> DataFra
     out = []
     for f in target_schema.fields:
         if f.name.upper() in have:
-            out.append(col(have[f.name.upper()]).cast(f.dataType).alias(f.name))
+            own = have[f.name.upper()]
+            out.append(exact_cast(col(own), df.schema[own].dataType, f.dataType, f.name).alias(f.name))
         elif fill_missing:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:

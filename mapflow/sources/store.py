@@ -96,6 +96,10 @@ class Snapshot:
                    T.StructType.fromJson(d["schema"]), tuple(d["bucketing"]) if d["bucketing"] else None, d["balanced"], d["tags"])
 
 
+#: Base of a write that must be a table's first: a commit on it fails if the table has a version by then.
+ABSENT = Snapshot(0, (), T.StructType())
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, compression: str = "zstd", skew_factor: float = 4.0,
                  skew_min_bytes: int = 64 * 1024 * 1024, keep_versions: int = 5):
@@ -284,15 +288,16 @@ class TableStore:
 
         ``bucket_by=(keys, n)`` makes the table bucketed from now on.  ``distribute=False``
         skips redistributing rows by bucket, for input that is already partitioned by the
-        buckets.  ``base``: the version ``df`` was made from; the newest one if not given.
+        buckets.  ``base``: the version ``df`` was made from, or ``ABSENT`` if there was no table; the newest one if not given,
+        so that the last writer wins.
         """
-        base = base or self.snapshot(name)
+        base = self.snapshot(name) if base is None else base
         bucketing = (list(bucket_by[0]), int(bucket_by[1])) if bucket_by else base.bucketing if base else None
         return self._add(name, df, base, (), bucketing, tags, distribute)
 
     def append(self, name: str, df: DataFrame, base: Snapshot | None = None, tags: dict[str, Any] | None = None) -> str:
-        """Add rows to the table (or create it): all of them at once, or none."""
-        base = base or self.snapshot(name)
+        """Add rows to the table (or create it): all of them at once, or none.  ``base`` as in ``overwrite``."""
+        base = self.snapshot(name) if base is None else base
         return self._add(name, df, base, base.parts if base else (), base.bucketing if base else None, tags)
 
     def replace_buckets(self, name: str, df: DataFrame, buckets: Sequence[int], base: Snapshot,

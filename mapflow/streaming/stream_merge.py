@@ -7,14 +7,15 @@ merged once; with ``trigger(availableNow=True)`` a scheduled run processes
 what arrived since the last run and stops.  ``foreachBatch`` is
 at-least-once, so the version a batch commits carries the stream's last batch
 id, and a batch replayed after a failure is skipped: rows with a NULL key, which
-match nothing, are not inserted twice either.  A key that occurs more than once
+match nothing, are not inserted twice either.  The batch ids are those of the query that the
+checkpoint holds, so after a checkpoint was reset all files are merged again.  A key that occurs more than once
 in a batch keeps its latest row by ``order_by``; without that, it is an error.
 Pass ``ctx_for_batch`` to make audit stamps depend on the batch id only.
 """
 
 from __future__ import annotations
 
-import hashlib
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return last.select("__row.*").unionByName(df.where(~present))
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query in its checkpoint: the same for every restart, another one for a new or reset checkpoint."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())["id"]
+    finally:
+        stream.close()
+
+
 def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store: TableStore, table: str,
                  keys: Sequence[str], transform: Callable[[DataFrame, RunContext], DataFrame] | None = None,
                  update_columns: Sequence[str] | None = None,
@@ -63,9 +74,9 @@ def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store
     # The default checkpoint is stable per target, so each scheduled run resumes
     # where the previous one stopped.
     location = checkpoint_location or f"{checkpoint_root(spark)}/mapflow/streams/{table.upper()}"
-    tag = "stream:" + hashlib.sha1(location.encode()).hexdigest()[:16]
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        tag = "stream:" + query_id(spark, location)
         current = store.snapshot(table)
         if current is not None and current.tags.get(tag, -1) >= batch_id:
             return  # committed before the failure that led to this replay

@@ -55,3 +55,22 @@ def test_latest_row_of_a_key_wins_and_replays_are_skipped(spark, store):
         os.remove(f"{commits}/{name}") if os.path.isfile(f"{commits}/{name}") else shutil.rmtree(f"{commits}/{name}")
     stream_merge(spark, landing, sch, store, "RAW.L", ["K"], checkpoint_location=ckpt, order_by=["N"]).awaitTermination()
     assert rows(store.read("RAW.L")) == want
+
+
+def test_a_reset_checkpoint_merges_everything_again(spark, store):
+    from mapflow.sources.store import remove_path
+
+    landing, ckpt = scratch_dir(spark, "t-landing4"), scratch_dir(spark, "t-ckpt4")
+    schema = "K bigint, V string, N int"
+
+    def run(batch):
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(landing)
+        stream_merge(spark, landing, spark.read.parquet(landing).schema, store, "RAW.R", ["K"], checkpoint_location=ckpt,
+                     order_by=["N"]).awaitTermination()
+
+    run([(1, "a", 1)])
+    remove_path(spark, ckpt)
+    run([(1, "b", 2), (2, "c", 1)])
+    assert rows(store.read("RAW.R")) == [(1, "b", 2), (2, "c", 1)]
+    run([(3, "d", 1)])
+    assert rows(store.read("RAW.R")) == [(1, "b", 2), (2, "c", 1), (3, "d", 1)]
