@@ -11,6 +11,7 @@ segment, and the balances of nation 7 were still zero.
 from __future__ import annotations
 
 import datetime as _dt
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,14 +20,16 @@ from pyspark.sql import types as T
 
 from mapflow import ColumnSpec, JoinSpec, ModelSpec, RunContext, TableRef, TableRegistry, TableStore
 from mapflow.fixed_values import DEFAULT_TIME_LOGIC, DEFAULT_USER_LOGIC
-from mapflow.operators import (asof_join, assign_surrogate_keys, build_delta, build_model, conform_by_name, create_view, duplicate_keys,
+from mapflow.operators import (asof_join, assign_surrogate_keys, build_delta, build_model, conform_by_name, create_view, discover_keys,
+                               duplicate_keys,
                                load_append, load_insert_by_name, load_landing, load_merge, load_truncate, materialize,
                                ordered_window, publish_view, recon_counts, recon_digest, recon_empty_probe, recon_except)
 from mapflow.plans import run_models, spec_job
 from mapflow.session import scratch_dir
 from mapflow.sources import catalog_columns, column_profile
+from mapflow.sources.partitions import PartitionedTable
 from mapflow.sources.store import remove_path
-from mapflow.streaming import stream_merge
+from mapflow.streaming import stream_merge, stream_partitions
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 RUN = RunContext(run_ts=_dt.datetime(2024, 1, 1), run_user="tester")
@@ -583,6 +586,65 @@ def q_stream_reset(spark, d):
     return store.read("RAW.EVENTS")
 
 
+ORDER_YEAR_SPEC = ModelSpec(
+    source=TableRef("orders"), target="DW.F_ORDER_YEAR", unique_key=("ORDER_ID", "ORDER_YR"),
+    columns=(C("ORDER_ID", "o_orderkey", "orders"), C("CUST_ID", "o_custkey", "orders"), C("STATUS", "o_orderstatus", "orders"),
+             C("AMT", "o_totalprice", "orders"), C("ORDER_YR", "year(o_orderdate)", "orders")))
+
+
+def q_merge_partitions(spark, d):
+    """Orders in partitions by year; corrections of the years from 1999 on rewrite these partitions only."""
+    reg = _registry(spark, d)
+    table = PartitionedTable(spark, scratch_dir(spark, "orders-by-year"), ["ORDER_YR"])
+    table.replace(build_model(ORDER_YEAR_SPEC.with_(where="o_orderpriority <> '1-URGENT'"), reg, RUN))
+    table.merge(build_model(ORDER_YEAR_SPEC.with_(where="o_orderdate >= '1999-01-01'", columns=ORDER_YEAR_SPEC.columns[:3] + (
+        C("AMT", "o_totalprice * 2", "orders"),) + ORDER_YEAR_SPEC.columns[4:]), reg, RUN), ORDER_YEAR_SPEC.unique_key)
+    return table.read()
+
+
+def q_stream_partitions(spark, d):
+    """Events streamed into partitions by type in four batches that hold every key twice: the later revision stays."""
+    events = _registry(spark, d).source("events").withColumn("rev", F.lit(2))
+    landing = scratch_dir(spark, "landing-partitions")
+    events.union(events.withColumns({"value": F.lit(-1.0), "rev": F.lit(1)})).repartitionByRange(4, "event_id").write.parquet(landing)
+    table = PartitionedTable(spark, scratch_dir(spark, "events-by-type"), ["event_type"])
+    stream_partitions(spark, landing, events.schema, table, ["event_id", "event_type"], order_by=["rev"], max_files_per_trigger=1,
+                      checkpoint_location=scratch_dir(spark, "stream-partitions")).awaitTermination()
+    return table.read()
+
+
+def q_group_sets(spark, d):
+    """Grouping sets from the grouping cell's text, with the grouping's number and a condition on groups."""
+    spec = ModelSpec.from_config({
+        "Source": {"Type": "source", "Database": "LAKE", "Schema": "testdata", "Table Name": "customer"},
+        "Target": {"Schema": "DW", "Table Name": "A_CUSTOMER"},
+        "Columns": [{"Target Column": "SEG_CD", "Source Table": "customer", "Logic": "source.c_mktsegment"},
+                    {"Target Column": "NATION_ID", "Source Table": "customer", "Logic": "source.c_nationkey"},
+                    {"Target Column": "SET_NO", "Source Table": "customer", "Logic": "grouping_id()"},
+                    {"Target Column": "CUST_CNT", "Source Table": "customer", "Logic": "count(*)"},
+                    {"Target Column": "MAX_BAL", "Source Table": "customer", "Logic": "max(main.c_acctbal)"}],
+        "Group By": "GROUPING SETS ((main.c_mktsegment, main.c_nationkey), (main.c_nationkey), ())", "Having": "count(*) > 10"})
+    return build_model(spec, _registry(spark, d), RUN)
+
+
+def q_variant_props(spark, d):
+    """Fields of the events' JSON properties, parsed once per row."""
+    spec = ModelSpec(
+        source=TableRef("events"), target="DW.F_EVENT", derived=(("parsed", "try_parse_json(source.props)"),),
+        columns=(C("EVENT_ID", "event_id", "events"), C("IS_JSON", "parsed is not null"),
+                 C("K", "try_variant_get(parsed, '$.k', 'bigint')"), C("K_TEXT", "try_variant_get(parsed, '$.k', 'string')")))
+    return build_model(spec, _registry(spark, d), RUN)
+
+
+KEY_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
+def q_key_discovery(spark, d):
+    """Minimal unique column sets of the order lines, up to three columns."""
+    found = discover_keys(_registry(spark, d).source("lineitem"), KEY_COLUMNS)
+    return spark.createDataFrame([(",".join(k), len(k)) for k in found], "KEY_COLUMNS string, KEY_SIZE int")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_dimension": q_customer_dimension,
     "scan_source": q_scan_source,
@@ -641,6 +703,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_cast_guard": q_merge_cast_guard,
     "sequence_after_truncate": q_sequence_after_truncate,
     "stream_reset": q_stream_reset,
+    "merge_partitions": q_merge_partitions,
+    "stream_partitions": q_stream_partitions,
+    "group_sets": q_group_sets,
+    "variant_props": q_variant_props,
+    "key_discovery": q_key_discovery,
 }
 
 
@@ -694,6 +761,16 @@ _SUPPLIER_NATION = (
     "select source.s_suppkey as SUPP_ID, n.n_nationkey as NATION_ID, n.n_name as NATION_NM "
     "from supplier source {how} join nation n on source.s_nationkey = n.n_nationkey and source.s_acctbal > 5000")
 
+def _key_sql() -> str:
+    """Unique sets of KEY_COLUMNS that hold no smaller one."""
+    tried = [c for n in (1, 2, 3) for c in itertools.combinations(KEY_COLUMNS, n)]
+    parts = " union all ".join(
+        f"select '{','.join(c)}' as k, [{', '.join(repr(x) for x in c)}] as cols, {len(c)} as n, "
+        f"count(*) = count(distinct ({', '.join(c)})) and count(*) = {' and count(*) = '.join(f'count({x})' for x in c)} as uniq from lineitem" for c in tried)
+    return (f"with t as ({parts}) select k as KEY_COLUMNS, n as KEY_SIZE from t where uniq and not exists ("
+            "select 1 from t s where s.uniq and s.n < t.n and list_has_all(t.cols, s.cols))")
+
+
 _ORACLE = {
     "customer_dimension": (
         "select source.c_custkey as CUST_ID, upper(source.c_name) as CUST_NM, n.n_name as NATION_NM, "
@@ -853,6 +930,18 @@ _ORACLE = {
         "(select count(*) from s where SEG_CD = 'BUILDING') as b) "
         "select if(SEG_CD = 'BUILDING', h, h + b) + row_number() over (partition by SEG_CD = 'BUILDING' order by CUST_ID) as CUST_SK, s.* from s, n"),
     "stream_reset": "select *, 2 as rev from events",
+    "merge_partitions": (
+        "select o_orderkey as ORDER_ID, o_custkey as CUST_ID, o_orderstatus as STATUS, if(year(o_orderdate) >= 1999, o_totalprice * 2, o_totalprice) as AMT, "
+        "cast(year(o_orderdate) as integer) as ORDER_YR from orders where o_orderpriority <> '1-URGENT' or year(o_orderdate) >= 1999"),
+    "stream_partitions": "select *, 2 as rev from events",
+    "group_sets": (
+        "select c_mktsegment as SEG_CD, c_nationkey as NATION_ID, cast(grouping_id(c_mktsegment, c_nationkey) as bigint) as SET_NO, "
+        "count(*) as CUST_CNT, max(c_acctbal) as MAX_BAL from customer "
+        "group by grouping sets ((c_mktsegment, c_nationkey), (c_nationkey), ()) having count(*) > 10"),
+    "variant_props": (
+        "select event_id as EVENT_ID, json_valid(props) as IS_JSON, cast(json_extract_string(props, '$.k') as bigint) as K, "
+        "json_extract_string(props, '$.k') as K_TEXT from events"),
+    "key_discovery": _key_sql(),
     "odd_names": (
         "select p_partkey as \"Part Key\", p_retailprice as \"Price (USD)\", p_brand || '/' || cast(p_size as varchar) as "
         "\"Brand-Size\" from part"),

@@ -3,7 +3,7 @@
 from .conform import conform_by_name, create_view, landing_projection, match_columns, positional_rename, publish_view
 from .delta import build_delta, classify_columns
 from .join import JoinError, apply_join
-from .keys import (DuplicateKeyError, assert_unique_keys, assign_surrogate_keys, choose_merge_key,
+from .keys import (DuplicateKeyError, assert_unique_keys, assign_surrogate_keys, choose_merge_key, discover_keys,
                    duplicate_keys, key_profile, with_merge_key)
 from .load import (load_append, load_insert_by_name, load_landing, load_merge, load_truncate,
                    load_with_surrogate_key, materialize, stage)
@@ -14,7 +14,7 @@ from .select import apply_contract, build_model, model_frame
 from .setops import distinct_except
 
 __all__ = [
-    "DuplicateKeyError", "JoinError", "align_to", "asof_join", "ordered_window", "recon_digest", "apply_contract", "apply_join", "assert_unique_keys",
+    "DuplicateKeyError", "JoinError", "align_to", "asof_join", "discover_keys", "ordered_window", "recon_digest", "apply_contract", "apply_join", "assert_unique_keys",
     "assign_surrogate_keys", "build_delta", "build_model", "choose_merge_key", "classify_columns",
     "conform_by_name", "create_view", "distinct_except", "duplicate_keys", "landing_projection", "load_append",
     "load_insert_by_name", "load_landing", "load_merge", "load_truncate", "load_with_surrogate_key",

@@ -4,6 +4,7 @@
 * ``duplicate_keys`` / ``assert_unique_keys`` check the data before a merge:
   one ``groupBy`` with map-side partial counting, so a hot key costs one row
   per task in the shuffle.
+* ``discover_keys`` finds the minimal unique column sets of a table's data.
 * ``assign_surrogate_keys`` numbers rows densely by an order, after the
   current maximum, without a single-partition window.
 """
@@ -11,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,6 +99,42 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], sample: int = 5) -> N
         raise DuplicateKeyError(f"merge input has duplicate keys {list(keys)}, e.g. {[tuple(r) for r in dups]}")
 
 
+def discover_keys(df: DataFrame, columns: Sequence[str] | None = None, max_size: int = 3, rsd: float = 0.02) -> list[list[str]]:
+    """Minimal sets of columns (at most ``max_size``) whose values are present and unique in every row, smallest first.
+
+    Level by level: one job per level estimates the distinct values of all candidate sets (mergeable sketches, so
+    nothing is shuffled but the sketches), and only sets whose estimate is within its error of the row count are counted exactly, by
+    a grouping that stops at the first duplicate.  Supersets of a key are never tried, nor are sets
+    whose columns' estimates multiply to less than the rows.  An empty table has no key.
+    """
+    names = list(columns or df.columns)
+    stats = df.agg(F.count("*"), *[F.count(col(c)) for c in names], *[F.approx_count_distinct(F.xxhash64(*hashable_columns(df.select(col(c)))), rsd)
+                                                                    for c in names]).first()
+    rows, filled, distinct = stats[0], stats[1:len(names) + 1], dict(zip(names, stats[len(names) + 1:]))
+    names = [c for c, n in zip(names, filled) if n == rows > 0]
+    slack = 1 - 6 * rsd
+    found: list[list[str]] = []
+    for size in range(1, max_size + 1):
+        sets = []
+        for c in combinations(names, size):
+            if any(set(k) <= set(c) for k in found):
+                continue
+            room = 1.0
+            for x in c:
+                room *= distinct[x] / slack
+            if room >= rows:
+                sets.append(list(c))
+        if not sets:
+            continue
+        if size > 1:
+            seen = df.agg(*[F.approx_count_distinct(F.xxhash64(*hashable_columns(df.select(*map(col, c)))), rsd) for c in sets]).first()
+            sets = [c for c, n in zip(sets, seen) if n >= slack * rows]
+        else:
+            sets = [c for c in sets if distinct[c[0]] >= slack * rows]
+        found += [c for c in sets if not duplicate_keys(df, c).take(1)]
+    return found
+
+
 def hashable_columns(df: DataFrame) -> list:
     """All columns in a form that hashes; maps, which have no order, enter as text of their sorted entries."""
     out = []

@@ -1,7 +1,7 @@
 """Model builder: a ``ModelSpec`` becomes one DataFrame plan.
 
-``source`` (aliased) -> join chain -> WHERE -> projection, or GROUP BY /
-ROLLUP / CUBE with the aggregate calls the logic text carries.  Everything is
+``source`` (aliased) -> join chain -> WHERE -> derived expressions -> projection, or GROUP BY /
+ROLLUP / CUBE / GROUPING SETS with the aggregate calls the logic text carries, and a condition on groups.  Everything is
 declarative, so Catalyst prunes columns to the Parquet scan, pushes the filter
 below the joins and picks the join strategy; nothing here runs a job except the
 size probe of a non-equi join (see ``join.py``).
@@ -28,6 +28,9 @@ def model_frame(spec: ModelSpec, registry: TableRegistry) -> tuple[DataFrame, li
         df = apply_join(df, registry.resolve(j.table), j, spec.main_alias)
     if spec.where and spec.where.strip():
         df = df.where(F.expr(rewrite_main(spec.where, spec.main_alias)))
+    if spec.derived:
+        # A step of its own: Catalyst keeps an expression that several columns use in one place.
+        df = df.withColumns({name: F.expr(rewrite_main(logic, spec.main_alias)) for name, logic in spec.derived})
     return df, list(base.columns)
 
 
@@ -104,11 +107,19 @@ def build_model(spec: ModelSpec, registry: TableRegistry, ctx: RunContext = RunC
     exprs = [column_expr(c, spec, source_columns, ctx) for c in cols]
     names = [c.target for c in cols]
     if spec.group_by:
-        keys = [F.expr(rewrite_main(k, spec.main_alias)) for k in spec.group_by]
-        grouped = {"plain": df.groupBy, "rollup": df.rollup, "cube": df.cube}[spec.grouping](*keys)
-        res = grouped.agg(*exprs)
+        by_text = {k: F.expr(rewrite_main(k, spec.main_alias)) for k in spec.group_by}
+        keys = list(by_text.values())
+        if spec.grouping == "sets":
+            grouped = df.groupingSets([[by_text[k] for k in g] for g in spec.grouping_sets], *keys)
+        else:
+            grouped = {"plain": df.groupBy, "rollup": df.rollup, "cube": df.cube}[spec.grouping](*keys)
+        having = [F.expr(rewrite_main(spec.having, spec.main_alias)).alias("__having")] if spec.having else []
+        res = grouped.agg(*exprs, *having)
         # Grouping columns come first under generated names; rename by position.
-        res = res.toDF(*[f"__g{i}" for i in range(len(keys))], *names).select(*[quote(n) for n in names])
+        res = res.toDF(*[f"__g{i}" for i in range(len(keys))], *names, *["__having"] * len(having))
+        if having:
+            res = res.where("__having")
+        res = res.select(*[quote(n) for n in names])
     else:
         res = df.select(*exprs)
     return apply_contract(res, spec.contract)

@@ -8,6 +8,7 @@ mapping workbook (``Source`` / ``Target`` / ``Columns`` / ``DAG``).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -17,7 +18,7 @@ from .fixed_values import (ADDED_MATERIALIZATIONS, AUDIT_COLUMNS, DEFAULT_UPDATE
                            SEQUENCE_WORD, SHEET_ARTEFACTS)
 from .functions.expressions import split_list
 
-GROUPINGS = ("plain", "rollup", "cube")
+GROUPINGS = ("plain", "rollup", "cube", "sets")
 
 
 def _join_table(row: dict[str, Any]) -> "TableRef":
@@ -29,6 +30,18 @@ def _join_table(row: dict[str, Any]) -> "TableRef":
     return table
 
 
+def parse_grouping(text: str) -> tuple[tuple[str, ...], str, tuple[tuple[str, ...], ...]]:
+    """Keys, kind and sets of a grouping cell: a list, ``ROLLUP (...)``, ``CUBE (...)`` or ``GROUPING SETS ((...), ...)``."""
+    m = re.fullmatch(r"\s*(ROLLUP|CUBE|GROUPING\s+SETS)\s*\((.*)\)\s*", text, re.I | re.S)
+    if not m:
+        return tuple(split_list(text)), "plain", ()
+    items = split_list(m.group(2))
+    if not m.group(1).upper().startswith("GROUPING"):
+        return tuple(items), m.group(1).lower(), ()
+    sets = tuple(tuple(split_list(x[1:-1])) if x.startswith("(") and x.endswith(")") else (x,) for x in items)
+    return tuple(dict.fromkeys(c for g in sets for c in g)), "sets", sets
+
+
 @dataclass(frozen=True)
 class TableRef:
     """A relation a model reads: an external ``source`` or another model (``ref``)."""
@@ -83,6 +96,9 @@ class ModelSpec:
     where: str | None = None
     group_by: tuple[str, ...] = ()
     grouping: str = "plain"
+    grouping_sets: tuple[tuple[str, ...], ...] = ()  # with grouping "sets": the groupings, each some of ``group_by``
+    having: str | None = None                        # a condition on groups
+    derived: tuple[tuple[str, str], ...] = ()        # (name, logic) computed once per row, for the columns' logic to use
     materialization: str = "table"
     unique_key: tuple[str, ...] = ()
     update_columns: tuple[str, ...] | None = None
@@ -106,6 +122,12 @@ class ModelSpec:
         object.__setattr__(self, "unique_key", tuple(k.strip() for k in self.unique_key if k and k.strip()))
         if self.buckets is not None and (self.buckets < 1 or not self.unique_key):
             raise ValueError("buckets needs a positive count and a unique key to bucket by")
+        if bool(self.grouping_sets) != (self.grouping == "sets"):
+            raise ValueError("grouping 'sets' and grouping_sets belong together")
+        if unknown := {c for g in self.grouping_sets for c in g} - set(self.group_by):
+            raise ValueError(f"grouping sets name {sorted(unknown)}, which group_by does not have")
+        if self.having and not self.group_by:
+            raise ValueError("a condition on groups needs a grouping")
         if self.delta and self.group_by:
             raise ValueError("a delta model cannot also group; the comparison runs on ungrouped rows")
 
@@ -170,9 +192,9 @@ class ModelSpec:
         if len(dep_schemas) != len(dep_objects):
             raise ValueError(f"dependency lists differ in length: {dep_schemas} vs {dep_objects}")
         deps = tuple(f"{s}.{o}" for s, o in zip(dep_schemas, dep_objects))
-        group_by = cfg.get("Group By") or ()
+        group_by, grouping, sets = cfg.get("Group By") or (), "plain", ()
         if isinstance(group_by, str):
-            group_by = tuple(split_list(group_by))
+            group_by, grouping, sets = parse_grouping(group_by)
         exclude = cfg.get("MERGE_UPDATE_EXCLUDE_COLUMNS")
         kwargs = dict(
             source=source,
@@ -181,6 +203,9 @@ class ModelSpec:
             joins=joins,
             where=cfg.get("Where") or None,
             group_by=tuple(group_by),
+            grouping=grouping,
+            grouping_sets=sets,
+            having=cfg.get("Having") or None,
             materialization=tgt.get("materialization") or "table",
             unique_key=tuple(keys),
             update_exclude=tuple(exclude) if exclude is not None else None,

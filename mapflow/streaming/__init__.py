@@ -1,3 +1,3 @@
-from .stream_merge import stream_merge
+from .stream_merge import stream_merge, stream_partitions
 
-__all__ = ["stream_merge"]
+__all__ = ["stream_merge", "stream_partitions"]

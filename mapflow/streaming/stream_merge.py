@@ -28,6 +28,7 @@ from ..functions.expressions import col
 from ..operators.keys import hashable_columns
 from ..operators.load import load_merge
 from ..session import checkpoint_root
+from ..sources.partitions import PartitionedTable
 from ..sources.store import TableStore
 from ..spec import DEFAULT_UPDATE_EXCLUDE
 
@@ -66,14 +67,7 @@ def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store
                  processing_time: str | None = None,
                  ctx_for_batch: Callable[[int], RunContext] | None = None,
                  order_by: Sequence[str] | None = None) -> StreamingQuery:
-    reader = spark.readStream.format(fmt).schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.load(input_path)
-
-    # The default checkpoint is stable per target, so each scheduled run resumes
-    # where the previous one stopped.
-    location = checkpoint_location or f"{checkpoint_root(spark)}/mapflow/streams/{table.upper()}"
+    location = checkpoint_location or default_checkpoint(spark, table)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         tag = "stream:" + query_id(spark, location)
@@ -86,9 +80,39 @@ def stream_merge(spark: SparkSession, input_path: str, schema: StructType, store
             df = latest_per_key(df, keys, order_by)
         load_merge(store, table, df, keys, update_columns, exclude, tags={tag: batch_id})
 
-    writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", location)
+    return start(spark, input_path, schema, merge_batch, location, fmt, max_files_per_trigger, available_now, processing_time)
+
+
+def default_checkpoint(spark: SparkSession, name: str) -> str:
+    """Stable per target, so each scheduled run resumes where the previous one stopped."""
+    return f"{checkpoint_root(spark)}/mapflow/streams/{name.upper()}"
+
+
+def start(spark: SparkSession, input_path: str, schema: StructType, per_batch: Callable[[DataFrame, int], None], location: str,
+          fmt: str = "parquet", max_files_per_trigger: int | None = None, available_now: bool = True,
+          processing_time: str | None = None) -> StreamingQuery:
+    """A query that hands every micro-batch of new files to ``per_batch``."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    writer = reader.load(input_path).writeStream.foreachBatch(per_batch).option("checkpointLocation", location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def stream_partitions(spark: SparkSession, input_path: str, schema: StructType, table: PartitionedTable, keys: Sequence[str],
+                      transform: Callable[[DataFrame], DataFrame] | None = None, order_by: Sequence[str] | None = None,
+                      checkpoint_location: str | None = None, **options) -> StreamingQuery:
+    """Keyed merges of new files into a partitioned table: a micro-batch rewrites only the partitions that it touches."""
+    location = checkpoint_location or default_checkpoint(spark, table.path.rsplit("/", 1)[-1])
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        df = transform(batch) if transform else batch
+        if order_by:
+            df = latest_per_key(df, keys, order_by)
+        table.merge(df, keys, tag=f"{query_id(spark, location)}-{batch_id}")
+
+    return start(spark, input_path, schema, merge_batch, location, **options)
