@@ -22,6 +22,7 @@ Very long texts: cut into as many windows as they need.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_right, insort
@@ -44,11 +45,27 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 _PUNCT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+#: A tokenizer that lower-cases, makes every white space one space and then keeps only matches without spaces: it
+#: never joins text across a space.  Others get whole texts.
+_WORDWISE = (["NFC", "Replace", "Lowercase"], {"Regex": r"\s+"}, " ",
+             {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "Removed", True)
+
+
+def wordwise(spec: dict) -> bool:
+    """Whether a tokenizer's own description proves that a text's ids are those of its lower-cased words in order."""
+    try:
+        normal, first = spec["normalizer"]["normalizers"], spec["pre_tokenizer"]["pretokenizers"][0]
+        return _WORDWISE == ([x["type"] for x in normal], normal[1]["pattern"], normal[1]["content"],
+                             first["pattern"], first["behavior"], first["invert"])
+    except (KeyError, IndexError, TypeError):
+        return False
+
+
 class WordTokenizer:
     """Ids of whole texts by way of their words, which occur again and again.
 
-    The tokenizer never joins text across a space, so a text's ids are those of
-    its space-separated words in order.  Words seen before come from a bounded
+    A tokenizer that is ``wordwise`` never joins text across a space, so a text's ids are those of
+    its space-separated words in order; with any other, texts are encoded whole.  Words seen before come from a bounded
     memory (of ``memory`` words the less used half is dropped when it is full);
     only new ones are encoded.
     """
@@ -60,6 +77,7 @@ class WordTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.memory = memory
+        self.wordwise = wordwise(json.loads(self.tok.to_str()))
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -128,6 +146,8 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array, close: int) -> list[np.ndarray]:
         """Ids of each text (no nulls), followed by ``close``."""
+        if not self.wordwise:
+            return [np.array([*e.ids, close], np.uint32) for e in self.tok.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
         if len(self.index) > self.memory:
             self._shrink()
         # ASCII letters go to lower case here already (as the tokenizer does) so that fewer words differ.

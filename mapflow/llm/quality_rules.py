@@ -10,13 +10,16 @@ fails.  The walk needs no correction of its own; over strata and rules the error
 probability ``delta`` is divided evenly (Bonferroni), so all cutoffs passed hold at
 once and any of them may be picked: it is the one that rejects the most labelled bad
 documents over good ones, the loosest of equals, and none where good ones prevail.
-Where labels are too few to certify anything, nothing more is rejected.
 
-What reaches the driver is one count per certifiable stratum, rule and cutoff.  A
-stratum counts only with the labelled documents that a certificate needs.
+A language is a stratum of its own if its labelled good documents are enough to certify a cutoff under the final number of
+tests (``own_strata``, decided by their number alone).  All other languages, and those without labels, form one pooled
+stratum with cutoffs and a certificate of its own: the risk holds for the pool as a whole.
+Where even the pool has too few labels, nothing more is rejected in it.
 
-Null and empty texts: no words, all counts zero, failed.  A null language is a stratum
-of its own.  Null ``doc_id``: judged, never labelled.  Repeated labels of a document:
+What reaches the driver is one count per language that could be a stratum, and one per stratum, rule and cutoff.
+
+Null and empty texts: no words, all counts zero, failed.  A null language is a language
+like others.  Ties: languages of equal counts by code point, null last.  Further columns pass through ``keep_good`` unchanged.  Null ``doc_id``: judged, never labelled.  Repeated labels of a document:
 good if all say so.  Repeated documents are judged each.  Empty tables: no rows, or no
 cutoffs.  Very long texts are counted whole, inside their row.
 """
@@ -24,6 +27,7 @@ cutoffs.  Very long texts are counted whole, inside their row.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,28 +153,58 @@ def certified_cutoffs(tallies: dict[tuple, tuple[int, list[int], list[int]]], ri
     return out
 
 
-def fit_cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> dict[tuple, float]:
+def least_good(strata: int, risk: float = RISK, delta: float = DELTA) -> int:
+    """Good documents without which no cutoff can be certified, if ``strata`` are tested."""
+    return math.ceil(math.log(delta / (len(RULES) * strata)) / math.log1p(-risk))
+
+
+def own_strata(good: dict[str | None, int], risk: float = RISK, delta: float = DELTA) -> list[str | None]:
+    """Languages that are strata of their own, from their numbers of labelled good documents: as many as can all be certified beside a pool."""
+    ranked = sorted(good, key=lambda x: (-good[x], x is None, x or ""))
+    enough = [i for i, x in enumerate(ranked, 1) if good[x] >= least_good(i + 1, risk, delta)]
+    return ranked[:max(enough, default=0)]
+
+
+@dataclass(frozen=True)
+class Cutoffs:
+    """Cutoffs by (stratum, rule); a stratum is (True, language), or (False, None) for the pool of languages not in ``own``."""
+
+    own: tuple[str | None, ...]
+    by_rule: dict[tuple, float]
+
+
+def fit_cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> Cutoffs:
     """Cutoffs from all labelled documents that pass the base test; ``counted``: ``doc_id``, ``stratum``, counts."""
     marked = (labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg((F.min("quality") == 1).alias("good")))
     held = counted.where(~base_failed()).join(marked, "doc_id")
+    # Only languages with enough good documents reach the driver; the others are in the pool anyhow.
+    good = held.where("good").groupBy("stratum").count().where(F.col("count") >= least_good(2, risk, delta)).collect()
+    own = own_strata({r["stratum"]: r["count"] for r in good}, risk, delta)
+    mine = F.lit(False)
+    for name in own:
+        mine = mine | F.col("stratum").eqNullSafe(F.lit(name))
     shares = measures()
-    least = math.ceil(math.log(delta / len(RULES)) / math.log1p(-risk))  # fewer can never certify a cutoff
-    tally = held.groupBy("stratum").agg(
+    tally = held.groupBy(mine.alias("mine"), F.when(mine, F.col("stratum")).alias("name")).agg(
         F.count_if("good").alias("n"),
         *[F.count_if((shares[r] > c) & (F.col("good") == good)).alias(f"{r}_{i}_{good}")
           for r, cuts in RULES.items() for i, c in enumerate(cuts) for good in (True, False)],
-    ).where(F.col("n") >= least).collect()
-    tallies = {(row.stratum, r): (row.n, *([row[f"{r}_{i}_{good}"] for i in range(len(cuts))] for good in (True, False)))
+    ).collect()
+    tallies = {((row["mine"], row["name"]), r): (row.n, *([row[f"{r}_{i}_{good}"] for i in range(len(cuts))] for good in (True, False)))
                for row in tally for r, cuts in RULES.items()}
-    return certified_cutoffs(tallies, risk, delta)
+    # The pool is tested even if it is empty, so that the number of tests was known when the strata were chosen.
+    for r, cuts in RULES.items():
+        tallies.setdefault(((False, None), r), (0, [0] * len(cuts), [0] * len(cuts)))
+    return Cutoffs(tuple(own), certified_cutoffs(tallies, risk, delta))
 
 
-def rejected(cutoffs: dict[tuple, float], stratum: Column) -> Column:
+def rejected(cutoffs: Cutoffs, stratum: Column) -> Column:
     """True where a share is above its stratum's certified cutoff."""
-    out, shares = F.lit(False), measures()
-    for (name, rule), cutoff in sorted(cutoffs.items(), key=str):
-        out = out | (stratum.eqNullSafe(F.lit(name)) & (shares[rule] > cutoff))
+    out, shares, pooled = F.lit(False), measures(), F.lit(True)
+    for name in cutoffs.own:
+        pooled = pooled & ~stratum.eqNullSafe(F.lit(name))
+    for ((mine, name), rule), cutoff in sorted(cutoffs.by_rule.items(), key=str):
+        out = out | ((stratum.eqNullSafe(F.lit(name)) if mine else pooled) & (shares[rule] > cutoff))
     return out
 
 
@@ -233,25 +267,37 @@ shares as (
                   capitals::double as capitals, long_words::double as long_words from b)
   on symbols, dup_lines, repeats, capitals, long_words into name rule value share),
 marked as (select doc_id, min(quality) = 1 as good from labels where quality is not null group by doc_id),
+ranked as (
+  select lang, count(*) as n, row_number() over (order by count(*) desc, lang nulls last) as place
+  from b join marked using (doc_id) where good and not base_failed group by lang),
+own as (
+  select lang from ranked where place <= (
+    select max(place) from ranked where n >= ceil(ln({DELTA} / ({len(RULES)} * (place + 1))) / ln(1 - {RISK})))),
+strata as (
+  select l.lang, exists (select 1 from own where own.lang is not distinct from l.lang) as mine,
+         case when exists (select 1 from own where own.lang is not distinct from l.lang) then l.lang end as stratum
+  from (select distinct lang from documents) l),
 tally as (
-  select lang, rule, place, cutoff, count(*) filter (where good) as n, count(*) filter (where good and share > cutoff) as k,
+  select mine, stratum, rule, place, cutoff, count(*) filter (where good) as n, count(*) filter (where good and share > cutoff) as k,
          count(*) filter (where not good and share > cutoff) as caught
-  from shares join marked using (doc_id) join cuts using (rule) where not base_failed group by all
-  having count(*) filter (where good) >= ceil(ln({DELTA} / {len(RULES)}) / ln(1 - {RISK}))),
-tests as (select greatest(1, count(*)) as n from (select distinct lang, rule from tally)),
+  from shares join strata on shares.lang is not distinct from strata.lang join marked using (doc_id) join cuts using (rule)
+  where not base_failed group by all),
+tests as (select {len(RULES)} * (1 + (select count(*) from own)) as n),
 tail as (
-  select lang, rule, place, cutoff, caught - k as gain,
+  select mine, stratum, rule, place, cutoff, caught - k as gain,
          (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))
           from (select unnest(range(0, k + 1)) as i)) as p
   from tally),
 passed as (
-  select lang, rule, cutoff, gain from (
-    select *, bool_and(p <= {DELTA} / (select n from tests)) over (partition by lang, rule order by place) as ok from tail) where ok),
+  select mine, stratum, rule, cutoff, gain from (
+    select *, bool_and(p <= {DELTA} / (select n from tests)) over (partition by mine, stratum, rule order by place) as ok from tail) where ok),
 chosen as (
-  select lang, rule, cutoff from passed where gain > 0
-  qualify row_number() over (partition by lang, rule order by gain desc, cutoff desc) = 1),
+  select mine, stratum, rule, cutoff from passed where gain > 0
+  qualify row_number() over (partition by mine, stratum, rule order by gain desc, cutoff desc) = 1),
 out as (
-  select distinct s.doc_id from shares s join chosen on s.rule = chosen.rule and s.lang is not distinct from chosen.lang and s.share > chosen.cutoff)
+  select distinct s.doc_id from shares s join strata on s.lang is not distinct from strata.lang
+  join chosen on s.rule = chosen.rule and strata.mine = chosen.mine and strata.stratum is not distinct from chosen.stratum
+    and s.share > chosen.cutoff)
 select b.doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
        cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
        not base_failed and out.doc_id is null as kept

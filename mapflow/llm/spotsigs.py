@@ -9,7 +9,8 @@ have signatures too.  A document's fingerprint is the set of its signatures.
 
 Two fingerprints are compared by Jaccard similarity, pruned by set length: lengths fall
 into classes so wide that sets two classes apart cannot reach ``least``, and sets whose
-lengths alone rule ``least`` out are not intersected; both have likeness 0.
+lengths alone rule ``least`` out are not intersected; both have likeness 0.  Sets that are
+intersected get their exact similarity, however small.  A signature is the first 64 bits of a chain's MD5.
 
 Null and empty texts: the empty set; two empty sets have likeness 1, an empty and
 another one 0.  Null ``doc_id`` comes before all others.  Rows that share an id follow
@@ -28,7 +29,7 @@ from .common import stored, table
 
 CHAIN = 3
 RUN = 6
-#: Likeness below this is reported as 0.
+#: Sets whose lengths alone rule this likeness out are not intersected.
 LEAST = 0.05
 #: Anchors: common words of English, French, German and Spanish.
 ANCHORS = tuple(sorted(set(
@@ -57,7 +58,7 @@ def _signatures(runs: Column) -> Column:
     chains = F.transform(
         F.arrays_zip(*[after(k).alias(f"r{k}") for k in range(CHAIN)]),
         lambda z: F.substring_index(F.trim(F.concat(*[F.coalesce(z[f"r{k}"], F.lit("")) for k in range(CHAIN)])), "  ", CHAIN))
-    return F.array_sort(F.array_distinct(F.transform(chains, lambda c: F.substring(F.md5(c), 1, 8))))
+    return F.array_sort(F.array_distinct(F.transform(chains, lambda c: F.substring(F.md5(c), 1, 16))))
 
 
 def with_signatures(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -78,7 +79,7 @@ def likeness(a: Column, b: Column, least: float = LEAST) -> Column:
     exact = both / (F.size(a) + F.size(b) - both)
     far = F.abs(length_class(a, least) - length_class(b, least)) > 1
     return (F.when(large == 0, F.lit(1.0)).when(far | (small < least * large), F.lit(0.0))
-            .otherwise(F.when(exact < least, F.lit(0.0)).otherwise(exact)))
+            .otherwise(exact))
 
 
 def _buckets(keys: DataFrame, n: int) -> Column:
@@ -172,7 +173,7 @@ def _sql_signatures(text: str) -> str:
     parts = f"string_split_regex(' ' || trim(regexp_replace(lower({text}), '{_NOT_WORD}', '  ', 'g')) || ' ', '{_SPLIT}')"
     runs = f"flatten(list_transform({parts}, lambda p: regexp_extract_all(p, '{_RUN}')))"
     chain = "array_to_string(string_split(trim(r[i] || coalesce(r[i + 1], '') || coalesce(r[i + 2], '')), '  ')[1:3], '  ')"
-    return (f"(select list_sort(list_distinct(list_transform(range(1, len(r) + 1), lambda i: substr(md5({chain}), 1, 8)))) "
+    return (f"(select list_sort(list_distinct(list_transform(range(1, len(r) + 1), lambda i: substr(md5({chain}), 1, 16)))) "
             f"from (select {runs} as r))")
 
 
@@ -181,7 +182,7 @@ def _sql_likeness(a: str, b: str) -> str:
     size = f"(len({a}) + len({b}) - {both})"
     return (f"case when greatest(len({a}), len({b})) = 0 then 1.0::double "
             f"when least(len({a}), len({b})) < {LEAST}::double * greatest(len({a}), len({b})) then 0.0::double "
-            f"when {both} / {size} < {LEAST}::double then 0.0::double else {both} / {size} end")
+            f"else {both} / {size} end")
 
 
 OP10_SQL = f"""

@@ -210,13 +210,13 @@ def train(texts: Iterable[list[bytes]], toxic: list[int], calibration: list[bool
     more often for few passages, until ``least_steps`` steps are made.
     """
     y, held = np.array(toxic, np.float64), np.array(calibration, bool)
-    if not len(y) or y[~held].sum() == 0 or y[~held].sum() == (~held).sum():
-        base = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
-        return ToxicityModel(np.zeros(buckets, np.float32), 0.0, float(np.log(base / (1 - base))), window)
     index: dict[bytes, int] = {}
     docs = [np.array([index.setdefault(w, len(index)) for w in t], np.int32) for t in texts]
-    trainer, rng = _Trainer(list(index), buckets, dim, seed), np.random.default_rng(seed)
     fit = [i for i in np.flatnonzero(~held) if len(docs[i])]
+    if len(set(y[fit])) < 2:  # nothing to tell apart among texts that have words
+        base = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
+        return ToxicityModel(np.zeros(buckets, np.float32), 0.0, float(np.log(base / (1 - base))), window)
+    trainer, rng = _Trainer(list(index), buckets, dim, seed), np.random.default_rng(seed)
     share = max(1e-3, float(y[fit].mean()))
     weight = np.where(y == 1, min(1.0, 0.5 / share), 1.0)
     # Words that several documents share carry the start; the rest joins with the passages.

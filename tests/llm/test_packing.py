@@ -129,3 +129,15 @@ def test_edges(spark, plain):
     assert pieces.doc_id.isna().any()
     assert pack(empty(spark)).count() == 0
     same(pack(wide(spark).coalesce(1)), pack(edge(spark).coalesce(1)))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_other_tokenizers_get_whole_texts(name):
+    path = public_tokenizers.path(name)
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    texts = ["Hello World, it's  TWO  spaces\n\nand lines\t", "", " lead", "Ünï 漢字 🙂 <|endoftext|>", "x" * 5000]
+    words = WordTokenizer(path)
+    assert words.wordwise == (name == "word_bpe_49k.json")
+    got = words.encode(pa.array(texts), 1)
+    assert [g.tolist() for g in got] == [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]

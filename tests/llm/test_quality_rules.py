@@ -2,13 +2,15 @@ import collections
 import math
 import re
 
+import duckdb
 import pytest
 from edge import ROWS, edge, empty, labels, same, wide
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import SF01, plan_text
-from mapflow.llm.quality_rules import (RULES, binomial_tail, certified_cutoffs, counts, judge, keep_good, op9_quality_rules)
+from mapflow.llm.quality_rules import (OP9_SQL, RULES, binomial_tail, certified_cutoffs, counts, fit_cutoffs, judge, keep_good,
+                                       least_good, op9_quality_rules, own_strata)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -93,6 +95,55 @@ def test_false_rejection_stays_under_the_risk(spark):
     assert {r.doc_id for r in keep_good(docs, lab).collect()} == kept
 
 
+def test_strata_are_those_that_can_all_be_certified():
+    need = [least_good(k) for k in range(1, 6)]
+    assert need == sorted(need) and 0.99 ** need[2] <= 0.05 / 15 < 0.99 ** (need[2] - 1)
+    assert own_strata({}) == [] and own_strata({"a": need[1] - 1}) == [] and own_strata({"a": need[1]}) == ["a"]
+    # Two strata and the pool make three: both have to reach that, or only the larger stays.
+    assert own_strata({"a": need[2], None: need[2]}) == ["a", None]
+    assert own_strata({"a": 9999, "b": need[2] - 1}) == ["a"]
+
+
+def test_several_strata_and_the_pool_against_sql(spark, tmp_path):
+    """A made table: three languages with cutoffs of their own, small ones that only together have one, a null language."""
+    words, rows, labelled = " ".join(f"w{i}" for i in range(60)), [], []
+    sizes = {"en": 1500, "de": 1200, "fr": 900, "es": 260, "it": 200, None: 240}
+    for lang, size in sizes.items():
+        for i in range(size):
+            bad = i % 9 == 4
+            symbols = {"en": 40, "de": 25, "fr": 18}.get(lang, 33) if bad else (i * 7919) % 9
+            text = words + " #" * symbols + (" WORDS IN CAPITALS" * 8 if bad and lang == "fr" else "")
+            rows.append((len(rows), text, lang))
+            labelled.append((rows[-1][0], int(not bad), 0))
+    docs, lab = spark.createDataFrame(rows, "doc_id long, text string, lang string"), labels(spark, labelled)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    lab.write.parquet(f"{tmp_path}/labels.parquet")
+    cuts = fit_cutoffs(counts(docs.withColumnRenamed("lang", "stratum"), ["doc_id", "stratum"]), lab)
+    assert cuts.own == ("en", "de", "fr") and {k[0] for k in cuts.by_rule} == {(True, x) for x in cuts.own} | {(False, None)}
+    got = {tuple(r) for r in op9_quality_rules(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert got == set(con.execute(OP9_SQL).fetchall())
+    kept = {r[0] for r in got if r[-1]}
+    assert not kept & {i for i, y, _ in labelled if not y} and len(kept) == sum(y for _, y, _ in labelled)
+
+
+def test_small_languages_lose_their_bad_documents(spark):
+    """At sf0.1, where the query's SQL agrees with it: cutoffs for the pool of small languages, too."""
+    path = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"create view {t} as select * from read_parquet('{path}/{t}.parquet')")
+    got = {tuple(r) for r in op9_quality_rules(spark, path).collect()}
+    assert got == set(con.execute(OP9_SQL).fetchall())
+    kept, failed = {r[0]: r[-1] for r in got}, {r[0]: r[-2] for r in got}
+    marked = con.execute("select l.doc_id, min(quality) from labels l join documents d using (doc_id) where lang <> 'en' and quality is not null group by 1").fetchall()
+    bad = [i for i, y in marked if y == 0 and not failed[i]]
+    good = [i for i, y in marked if y == 1 and not failed[i]]
+    assert len(bad) > 100 and sum(kept[i] for i in bad) == 0 and sum(not kept[i] for i in good) <= 0.01 * len(good)
+
+
 def test_native_plan(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     text = plan_text(keep_good(docs, spark.read.parquet(f"{SF01}/labels.parquet")))

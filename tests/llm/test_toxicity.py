@@ -111,3 +111,10 @@ def test_edges(spark, model):
         assert len({r.score for r in score(edge(spark), know_nothing).collect()}) == 1
     assert fit(empty(spark), labels(spark, [(1, 1, 1)])).slope == 0
     assert hash_of(-1) >= 0
+
+
+def test_labelled_texts_without_words(spark):
+    docs = spark.createDataFrame([(i, "" if i % 2 else None) for i in range(40)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    scores = {r.score for r in score(docs, fit(docs, marks)).collect()}
+    assert len(scores) == 1 and 0 < scores.pop() < 1
