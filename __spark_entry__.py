@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 from mapflow import ColumnSpec, JoinSpec, ModelSpec, RunContext, TableRef, TableRegistry, TableStore
 from mapflow.fixed_values import DEFAULT_TIME_LOGIC, DEFAULT_USER_LOGIC
-from mapflow.operators import (asof_join, assign_surrogate_keys, build_delta, build_model, conform_by_name, create_view, discover_keys,
+from mapflow.operators import (Measure, Rollup, asof_join, assign_surrogate_keys, build_delta, build_model, conform_by_name,
+                               create_view, discover_keys,
                                duplicate_keys,
                                load_append, load_insert_by_name, load_landing, load_merge, load_truncate, materialize,
                                ordered_window, publish_view, recon_counts, recon_digest, recon_empty_probe, recon_except)
@@ -29,7 +30,7 @@ from mapflow.session import scratch_dir
 from mapflow.sources import catalog_columns, column_profile
 from mapflow.sources.partitions import PartitionedTable
 from mapflow.sources.store import remove_path
-from mapflow.streaming import stream_merge, stream_partitions
+from mapflow.streaming import stream_merge, stream_partitions, stream_rollup, stream_windows
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 RUN = RunContext(run_ts=_dt.datetime(2024, 1, 1), run_user="tester")
@@ -636,6 +637,45 @@ def q_variant_props(spark, d):
     return build_model(spec, _registry(spark, d), RUN)
 
 
+def q_rollup_kept(spark, d):
+    """Statistics per type and user, kept up to date over four streamed batches, then rolled up to types from the states alone."""
+    events = _registry(spark, d).source("events")
+    landing = scratch_dir(spark, "landing-rollup")
+    events.repartitionByRange(4, "ts").write.parquet(landing)
+    value = "cast(value as decimal(18,4))"
+    kept = Rollup(spark, scratch_dir(spark, "rollup"), ["event_type", "user_id"],
+                  [Measure("EVENT_CNT", "count"), Measure("VALUE_SUM", "sum", value), Measure("VALUE_MIN", "min", "value"),
+                   Measure("VALUE_MAX", "max", "value"), Measure("LAST_TS", "max", "ts")], ["event_type"])
+    stream_rollup(spark, landing, events.schema, kept, max_files_per_trigger=1,
+                  checkpoint_location=scratch_dir(spark, "stream-rollup")).awaitTermination()
+    types = kept.roll_up(["event_type"]).withColumn("user_id", F.lit(None).cast("long"))
+    return kept.read().unionByName(types).withColumn("VALUE_SUM", F.col("VALUE_SUM").cast("double"))
+
+
+def q_stream_sessions(spark, d):
+    """Final sessions per user (an hour's gap) of events that were delivered twice, in eight batches."""
+    events = _registry(spark, d).source("events")
+    landing, out = scratch_dir(spark, "landing-sessions"), scratch_dir(spark, "sessions")
+    events.union(events).repartitionByRange(8, "ts").sortWithinPartitions("ts").write.parquet(landing)
+    stream_windows(spark, landing, events.schema, out, scratch_dir(spark, "stream-sessions"), "ts", "1 day", ["user_id"],
+                   [F.count(F.lit(1)).alias("event_cnt"), F.sum("event_id").alias("event_sum"), F.max("value").alias("value_max")],
+                   gap="1 hour", unique_by=["event_id"]).awaitTermination()
+    ends = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return spark.read.parquet(out).withColumns(ends)
+
+
+def q_stream_windows(spark, d):
+    """Final six-hour windows per type, one every three hours, over events in eight batches."""
+    events = _registry(spark, d).source("events")
+    landing, out = scratch_dir(spark, "landing-windows"), scratch_dir(spark, "windows")
+    events.repartitionByRange(8, "ts").write.parquet(landing)
+    stream_windows(spark, landing, events.schema, out, scratch_dir(spark, "stream-windows"), "ts", "1 day", ["event_type"],
+                   [F.count(F.lit(1)).alias("event_cnt"), F.max("value").alias("value_max")],
+                   duration="6 hours", slide="3 hours").awaitTermination()
+    ends = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return spark.read.parquet(out).withColumns(ends)
+
+
 KEY_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 
@@ -708,6 +748,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_sets": q_group_sets,
     "variant_props": q_variant_props,
     "key_discovery": q_key_discovery,
+    "rollup_kept": q_rollup_kept,
+    "stream_sessions": q_stream_sessions,
+    "stream_windows": q_stream_windows,
 }
 
 
@@ -934,6 +977,23 @@ _ORACLE = {
         "select o_orderkey as ORDER_ID, o_custkey as CUST_ID, o_orderstatus as STATUS, if(year(o_orderdate) >= 1999, o_totalprice * 2, o_totalprice) as AMT, "
         "cast(year(o_orderdate) as integer) as ORDER_YR from orders where o_orderpriority <> '1-URGENT' or year(o_orderdate) >= 1999"),
     "stream_partitions": "select *, 2 as rev from events",
+    "rollup_kept": (
+        "select event_type, user_id, count(*) as EVENT_CNT, cast(sum(cast(value as decimal(18,4))) as double) as VALUE_SUM, "
+        "min(value) as VALUE_MIN, max(value) as VALUE_MAX, max(ts) as LAST_TS from events "
+        "group by grouping sets ((event_type, user_id), (event_type))"),
+    "stream_sessions": (
+        "with g as (select *, if(ts - lag(ts) over w <= interval 1 hour, 0, 1) as begins from events "
+        "window w as (partition by user_id order by ts, event_id)), "
+        "n as (select *, sum(begins) over (partition by user_id order by ts, event_id) as session from g) "
+        "select user_id, min(ts) as window_start, max(ts) + interval 1 hour as window_end, count(*) as event_cnt, "
+        "cast(sum(event_id) as bigint) as event_sum, max(value) as value_max from n group by user_id, session "
+        "having max(ts) + interval 1 hour <= (select date_trunc('milliseconds', max(ts)) - interval 1 day from events)"),
+    "stream_windows": (
+        "with s as (select event_type, value, time_bucket(interval 3 hours, ts) - to_hours(3 * k) as window_start "
+        "from events, (values (0), (1)) v(k)) "
+        "select window_start, window_start + interval 6 hours as window_end, event_type, count(*) as event_cnt, max(value) as value_max "
+        "from s group by window_start, event_type "
+        "having window_start + interval 6 hours <= (select date_trunc('milliseconds', max(ts)) - interval 1 day from events)"),
     "group_sets": (
         "select c_mktsegment as SEG_CD, c_nationkey as NATION_ID, cast(grouping_id(c_mktsegment, c_nationkey) as bigint) as SET_NO, "
         "count(*) as CUST_CNT, max(c_acctbal) as MAX_BAL from customer "

@@ -10,10 +10,12 @@ from .load import (load_append, load_insert_by_name, load_landing, load_merge, l
 from .merge import align_to, merge_frames
 from .ordered import asof_join, ordered_window
 from .recon import reconcile, recon_counts, recon_digest, recon_empty_probe, recon_except
+from .rollup import Measure, Rollup
 from .select import apply_contract, build_model, model_frame
 from .setops import distinct_except
 
 __all__ = [
+    "Measure", "Rollup",
     "DuplicateKeyError", "JoinError", "align_to", "asof_join", "discover_keys", "ordered_window", "recon_digest", "apply_contract", "apply_join", "assert_unique_keys",
     "assign_surrogate_keys", "build_delta", "build_model", "choose_merge_key", "classify_columns",
     "conform_by_name", "create_view", "distinct_except", "duplicate_keys", "landing_projection", "load_append",

@@ -14,7 +14,7 @@ Readers during that moment may see both states; loads into one table must not ru
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,25 +114,30 @@ class PartitionedTable:
         """
         if missing := {c.upper() for c in self.partition_by} - {k.upper() for k in keys}:
             raise ValueError(f"partition columns {sorted(missing)} are not in the key {list(keys)}: a key could sit in another partition")
+        def build(rows: DataFrame) -> DataFrame:
+            if key_profile(rows, keys)[1] > 1:
+                assert_unique_keys(rows, keys)
+            return rows if self.schema is None else merge_frames(self.touched(rows), rows, keys, update_columns, exclude)
+
+        self._commit(batch, build, tag)
+
+    def combine(self, batch: DataFrame, fold: Callable[[DataFrame, DataFrame], DataFrame], tag: str | None = None) -> None:
+        """Replace the partitions that ``batch`` touches by ``fold`` of their rows and the batch's."""
+        self._commit(batch, lambda rows: rows if self.schema is None else fold(self.touched(rows), rows), tag)
+
+    def _commit(self, batch: DataFrame, build: Callable[[DataFrame], DataFrame], tag: str | None) -> None:
+        """Stage what ``build`` makes of the batch, then put it in place; a ``tag`` that was done is skipped."""
         if tag and self._exists(f"done/{tag}"):
             return
         staged = f"{self.path}/_mapflow/staged/{tag}" if tag else scratch_dir(self.spark, "partitions")
         if not (tag and self._exists(f"staged/{tag}/_SUCCESS")):
-            self._stage(batch, keys, update_columns, exclude, staged)
+            given, schema = scratch_dir(self.spark, "stage"), self.schema
+            try:
+                (align_to(batch, schema) if schema else batch).write.parquet(given)
+                build(self.spark.read.parquet(given)).write.mode("overwrite").parquet(staged)
+            finally:
+                remove_path(self.spark, given)
         self.replace(self.spark.read.parquet(staged))
         if tag:
             self._write_file(f"done/{tag}", "")
         remove_path(self.spark, staged)
-
-    def _stage(self, batch: DataFrame, keys: Sequence[str], update_columns, exclude, staged: str) -> None:
-        given = scratch_dir(self.spark, "stage")
-        schema = self.schema
-        try:
-            (align_to(batch, schema) if schema else batch).write.parquet(given)
-            rows = self.spark.read.parquet(given)
-            if key_profile(rows, keys)[1] > 1:
-                assert_unique_keys(rows, keys)
-            new = rows if schema is None else merge_frames(self.touched(rows), rows, keys, update_columns, exclude)
-            new.write.mode("overwrite").parquet(staged)
-        finally:
-            remove_path(self.spark, given)

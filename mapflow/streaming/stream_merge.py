@@ -27,6 +27,7 @@ from ..functions.audit import RunContext
 from ..functions.expressions import col
 from ..operators.keys import hashable_columns
 from ..operators.load import load_merge
+from ..operators.rollup import Rollup
 from ..session import checkpoint_root
 from ..sources.partitions import PartitionedTable
 from ..sources.store import TableStore
@@ -116,3 +117,15 @@ def stream_partitions(spark: SparkSession, input_path: str, schema: StructType,
         table.merge(df, keys, tag=f"{query_id(spark, location)}-{batch_id}")
 
     return start(spark, input_path, schema, merge_batch, location, **options)
+
+
+def stream_rollup(spark: SparkSession, input_path: str, schema: StructType, rollup: Rollup,
+                  transform: Callable[[DataFrame], DataFrame] | None = None, checkpoint_location: str | None = None,
+                  **options) -> StreamingQuery:
+    """New files' rows added to a rollup: a micro-batch reads its own rows and the states of the groups' partitions, nothing else."""
+    location = checkpoint_location or default_checkpoint(spark, rollup.table.path.rsplit("/", 1)[-1])
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        rollup.load(transform(batch) if transform else batch, tag=f"{query_id(spark, location)}-{batch_id}")
+
+    return start(spark, input_path, schema, add, location, **options)
