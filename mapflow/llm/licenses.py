@@ -13,7 +13,8 @@ for short templates, the words put in between do not bring it below ``least``; o
 stays.
 
 Null and empty texts: nothing found.  Null ``doc_id``: kept.  Repeated rows are scanned
-each.  Empty table: no rows.  Very long texts are scanned whole, place by place.
+each.  Empty table: no rows.  Very long texts are scanned whole, place by place, in time that follows their words and findings.
+Ties between findings: the earlier place, then the license's name.  Further columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -93,12 +94,47 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     *((f"CC-{kind}-4.0", f"Licensed under CC {kind} 4.0.") for kind in _CC if kind != "BY-NC"),
     *((f"CC-{kind}-4.0", f"This work is licensed under a Creative Commons {_CC[kind]} 4.0 International License.")
       for kind in _CC if kind != "BY"),
+    # Whole texts, openings and notices of others.
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" "
+            "AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+            "FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+            "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS "
+            "ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("ISC", "Released under the ISC License."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, "
+                "and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+                "Software is furnished to do so, all subject to the following:"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                  "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                  "commercial or non-commercial, and by any means."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+                "is available at https://www.eclipse.org/legal/epl-2.0/"),
+    # Titles, which whole texts and their copies begin with.
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"), ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    # Short names and tags.
+    ("MIT", "or the MIT License"),
+    *((f"{kind}-{v}", f"Licensed under the GNU {kind} version {v.removesuffix('.0')}.")
+      for kind, v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0"))),
+    *((f"BSD-{n}-Clause", f"Released under the BSD {n}-Clause License.") for n in (2, 3)),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (
+        "Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "BSL-1.0", "Unlicense", "EPL-2.0", "MPL-2.0", "CC0-1.0", "GPL-2.0",
+        "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", *(f"CC-{kind}-4.0" for kind in _CC))),
 )
-#: Phrases, by name, that must be matched word by word in one piece, if the template has them: name and version.
+#: Phrases, by name, that must be matched word by word in one piece, if the template has them: name and version; the name itself is one.
 MUST: dict[str, tuple[str, ...]] = {
     "Apache-2.0": ("apache", "2"), "MIT": ("mit", "subject to the following conditions"), "MPL-2.0": ("mozilla public license", "2"),
     "BSD": ("bsd",), "BSD-3-Clause": ("endorse or promote",),
-    **{f"{kind}-{v}": (_GNU[kind], v.removesuffix(".0"))
+    "ISC": ("isc", "provided that the above copyright notice"), "BSL-1.0": ("boost software license", "any person or organization", "1"),
+    "EPL-2.0": ("eclipse public license", "2"), "Unlicense": ("unencumbered",),
+    **{f"{kind}-{v}": (_GNU[kind], f"GNU {kind}", v.removesuffix(".0"))
        for kind, v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0"))},
     **{f"CC-{kind}-4.0": (f"CC {kind}", f"Creative Commons {_CC[kind]}", "4") for kind in _CC},
 }
@@ -136,7 +172,7 @@ class Template:
     def must(self) -> list[tuple[int, list[int]]]:
         """Length and places of each phrase that a finding has to match."""
         out = []
-        for phrase in (tuple(plain(p).split()) for p in MUST.get(self.name, ())):
+        for phrase in (tuple(plain(p).split()) for p in (*MUST.get(self.name, ()), self.name)):
             n = len(phrase)
             if at := [i for i in range(len(self.words) - n + 1) if self.words[i:i + n] == phrase]:
                 out.append((n, at))
@@ -241,16 +277,21 @@ class Scanner:
             if w in present:
                 at.setdefault(w, []).append(p)
         found = [x for i in wanted for x in self._places(self.templates[i], self.keys[i], self.must[i], words, at)]
-        out: list[tuple[int, int, int, float, int]] = []
+        # Kept findings do not overlap: of those that begin before another one's end, the last reaches furthest.
+        starts: list[int] = []
+        out: list[tuple[str, int, int, int, float, int]] = []
         for x in sorted(found, key=lambda x: (-x[3], -x[4], x[1], x[0])):
-            if all(x[2] <= y[1] or y[2] <= x[1] for y in out):
-                out.append(x)
-        result = []
+            k = bisect_left(starts, x[2])
+            if not k or out[k - 1][2] <= x[1]:
+                starts.insert(k, x[1])
+                out.insert(k, x)
+        result, at_byte, at_char = [], 0, 0
         encoded = text.encode("utf-8", "surrogatepass")
-        for name, first, after, matched, cover, total in sorted(out, key=lambda x: x[1]):
+        for name, first, after, matched, cover, total in out:
             a, b = spans[first][0], spans[after - 1][1]
-            start = len(encoded[:a].decode("utf-8", "surrogatepass"))
-            result.append((name, start, start + len(encoded[a:b].decode("utf-8", "surrogatepass")), cover, matched, total))
+            start = at_char + len(encoded[at_byte:a].decode("utf-8", "surrogatepass"))
+            at_byte, at_char = b, start + len(encoded[a:b].decode("utf-8", "surrogatepass"))
+            result.append((name, start, at_char, cover, matched, total))
         return result
 
     def _places(self, template: Template, keys: Mapping[bytes, list[int]], must: list[tuple[int, list[int]]], words: list[bytes],

@@ -1,4 +1,5 @@
 import random
+import time
 
 from edge import ROWS, edge, empty, same, wide
 from hypothesis import given
@@ -99,3 +100,49 @@ def test_every_template_is_its_own_finding():
     for name, text in TEMPLATES:
         (f,) = Scanner().scan(f"some words before it {text} and some words after it")
         assert (f[0], f[3]) == (name, 1.0), text
+
+
+def test_tags_short_names_and_other_licenses():
+    scan = Scanner().scan
+    for text, want in (
+            ("# SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]), ("SPDX-License-Identifier: GPL-3.0-or-later", ["GPL-3.0"]),
+            ("SPDX-License-Identifier: LGPL-2.1-only", ["LGPL-2.1"]), ("SPDX-License-Identifier: BSD-4-Clause", []),
+            ("SPDX-License-Identifier: CC-BY-NC-4.0", ["CC-BY-NC-4.0"]), ("SPDX-License-Identifier: Zlib", []),
+            ("SPDX-License-Identifier: AGPL-3.0", ["AGPL-3.0"]), ("SPDX-License-Identifier: Apache-1.1", []),
+            ("licensed under the GNU GPL v3", ["GPL-3.0"]), ("licensed under the GNU LGPL v2.1", ["LGPL-2.1"]),
+            ("Released under the BSD 3-Clause License", ["BSD-3-Clause"]), ("Released under the BSD License", ["BSD"]),
+            ("Apache License Version 2.0, January 2004", ["Apache-2.0"]), ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991", ["GPL-2.0"]),
+            ("Distributed under the Boost Software License, Version 1.0. (See accompanying file)", ["BSL-1.0"]),
+            ("Licensed under the Apache License, Version 2.0 or the MIT License", ["Apache-2.0", "MIT"]),
+            ("mit the license or mit", [])):
+        for around in ("{}", "one two three {} four five six"):
+            assert [f[0] for f in scan(around.format(text))] == want, text
+
+
+def test_overlaps_against_brute_force():
+    """Of all findings, taken by words, coverage, place and name, those that touch none taken before."""
+    scanner, rng = Scanner(), random.Random(4)
+    texts = [t for _, t in TEMPLATES]
+    for _ in range(30):
+        words = " ".join(rng.choice(texts) for _ in range(6)).split()
+        text = " ".join(w for w in words if rng.random() > 0.03)
+        found = []
+        for t in TEMPLATES:  # one template at a time: nothing overlaps but its own findings
+            found += [(n, a, b, m, c) for n, a, b, c, m, _ in Scanner((t,)).scan(text)]
+        best = max((m for *_, m, _ in found), default=0)
+        got = scanner.scan(text)
+        assert all(p[2] <= q[1] for p, q in zip(got, got[1:]))
+        assert max((f[4] for f in got), default=0) == best
+        for n, a, b, m, _ in found:
+            assert any(g[1] < b and a < g[2] and g[4] >= m for g in got), (n, a, b)
+
+
+def test_many_findings_in_one_text_take_linear_time():
+    scan, line = Scanner().scan, "é Released under the MIT License. And then some other words come here. "
+    seconds = []
+    for n in (2000, 8000):
+        began = time.perf_counter()
+        found = scan(line * n)
+        seconds.append(time.perf_counter() - began)
+        assert [f[1:3] for f in found] == [(2 + i * len(line), 2 + i * len(line) + 30) for i in range(n)]
+    assert seconds[1] < 8 * seconds[0]
