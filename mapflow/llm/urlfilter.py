@@ -5,7 +5,8 @@ the 64-bit xxhash of its string: keys sorted, strings beside them, in files that
 every worker maps into memory, so a list costs disk and page cache, not heap.  A
 url is cut into candidates (its host and parent domains, with the path prefixes of
 the lengths that occur in the list), whose digests are looked up by vectorised
-binary search; a hit counts only if the stored string is the candidate itself.
+binary search; a hit counts only if the stored string is the candidate itself.  Host ends longer than the longest listed
+host cannot be listed and are not made, so a url's candidates are bounded by the list, not by the url.
 
 Files hold ``shard_entries`` entries at most each; a longer list becomes more files,
 split by digest, and a worker touches only the pages its digests fall on.  The files
@@ -78,19 +79,29 @@ class DigestArray:
         blobs = [s.encode("utf-8", "surrogatepass") for s in strings]
         digests = np.array([self.digest(b) for b in blobs], np.uint64)
         out = np.full(len(strings), -1, np.int64)
+        order = np.argsort(digests, kind="stable")
+        ranked = digests[order]
         for keys, tags, ends, text in self.shards:
-            first, after = np.searchsorted(keys, digests, "left"), np.searchsorted(keys, digests, "right")
-            for i in np.flatnonzero(after > first):
-                for j in range(first[i], after[i]):  # more than one: different strings with one digest
+            # Only the digests within a shard's range are looked up in it.
+            mine = order[np.searchsorted(ranked, keys[0], "left"):np.searchsorted(ranked, keys[-1], "right")]
+            first, after = np.searchsorted(keys, digests[mine], "left"), np.searchsorted(keys, digests[mine], "right")
+            for k in np.flatnonzero(after > first):
+                i = mine[k]
+                for j in range(first[k], after[k]):  # more than one: different strings with one digest
                     if text[ends[j]:ends[j + 1]].tobytes() == blobs[i]:
                         out[i] = tags[j]
         return out
 
 
-def candidates(host: str, path: str, lengths: list[int]) -> list[str]:
-    """The host and its parent domains, each with the path prefixes of ``lengths``."""
-    parts = host.split(".")
-    return [".".join(parts[k:]) + path[:n] for k in range(len(parts)) for n in lengths if n <= len(path)]
+def candidates(host: str, path: str, lengths: list[int], longest: int) -> list[str]:
+    """The host and its parent domains of at most ``longest`` characters, each with the path prefixes of ``lengths``."""
+    ends, dot = [], len(host)
+    while dot >= 0:
+        dot = host.rfind(".", 0, dot)
+        if len(host) - dot - 1 > longest:
+            break
+        ends.append(host[dot + 1:])
+    return [h + path[:n] for h in ends for n in lengths if n <= len(path)]
 
 
 _OPEN: dict[tuple[str, ...], DigestArray] = {}
@@ -105,6 +116,7 @@ def filter_urls(pages: DataFrame, rules=RULES, blocklist: Iterable[str] = BLOCKL
     spark, rules, listed = pages.sparkSession, tuple(rules), sorted(set(blocklist))
     names = [host + path for _, host, path in rules]
     lengths = sorted({len(p) for _, _, p in rules} | {len(e.partition("/")[1] + e.partition("/")[2]) for e in listed})
+    longest = max([len(h) for _, h, _ in rules] + [len(e.partition("/")[0]) for e in listed], default=0)
     entries = [(n, i) for i, n in enumerate(names)] + [("\n" + e, len(rules) + i) for i, e in enumerate(listed)]
     folder = tempfile.mkdtemp(prefix="mapflow-digests-")
     files = []
@@ -122,7 +134,7 @@ def filter_urls(pages: DataFrame, rules=RULES, blocklist: Iterable[str] = BLOCKL
             hosts, paths = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             strings, owner = [], []
             for i, (h, p) in enumerate(zip(hosts, paths)):
-                own = candidates(h, p, lengths) if h else []
+                own = candidates(h, p, lengths, longest) if h else []
                 strings += own
                 strings += ["\n" + c for c in own]
                 owner += [i] * (2 * len(own))

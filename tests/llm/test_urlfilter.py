@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from conftest import SF001
-from mapflow.llm.urlfilter import BLOCKLIST, RULES, DigestArray, filter_urls, op6_url_filter, write_digest_array
+from mapflow.llm.urlfilter import BLOCKLIST, RULES, DigestArray, candidates, filter_urls, op6_url_filter, write_digest_array
 
 
 def brute(url):
@@ -72,3 +72,14 @@ def test_listed_path_prefixes(spark):
     df = spark.createDataFrame(pd.DataFrame({"page_id": [1, 2, 3], "url": ["http://a.com/bad/x", "http://a.com/ok", "http://s.a.com/bad/"]}))
     got = {r.page_id: (r.verdict, r.listed) for r in filter_urls(df, rules=(), blocklist=["a.com/bad/"]).collect()}
     assert got == {1: ("block", "a.com/bad/"), 2: ("allow", None), 3: ("block", "a.com/bad/")}
+
+
+def test_candidates_follow_the_list_and_not_the_url():
+    host = "a." * 200_000 + "spam.example"
+    assert candidates(host, "/x", [0, 1], 14) == [h + p for h in ("example", "spam.example", "a.spam.example") for p in ("", "/")]
+    assert candidates("x" * 100_000, "/", [0], 14) == [] and candidates("a..b", "", [0], 9) == ["b", ".b", "a..b"]
+
+
+def test_very_long_hosts_are_judged(spark):
+    df = spark.createDataFrame([(1, "http://" + "a." * 100_000 + "bad.com/x"), (2, "http://" + "a." * 100_000 + "com/x")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in filter_urls(df, rules=(), blocklist=["bad.com"]).collect()} == {1: "block", 2: "allow"}
