@@ -21,6 +21,7 @@ Empty table: no rows.  Very long texts are fingerprinted whole.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -83,45 +84,58 @@ def likeness(a: Column, b: Column, least: float = LEAST) -> Column:
 
 
 def _buckets(keys: DataFrame, n: int) -> Column:
-    """Number of the range of ``k`` that a row falls into, for about ``n`` ranges of equal row counts.
+    """Number of the range of (``k``, ``h``) that a row falls into, for about ``n`` ranges of equal row counts.
 
     The bounds are quantiles of all keys, looked up in two steps so that a row compares
-    with about two square roots of ``n`` bounds.
+    with about two square roots of ``n`` bounds.  A key that is several quantiles at once, as a null id that many rows
+    have, gets as many ranges of its own, by ``h``, and one more for the keys between it and the next bound.
     """
     cuts = keys.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else None
-    cuts = sorted(set(cuts or []))
+    times = Counter(cuts or [])
+    cuts = sorted(times)
     wide = max(1, math.isqrt(len(cuts)))
     groups = [cuts[i:i + wide] for i in range(0, len(cuts), wide)]
     if not groups:
-        return F.lit(0)
-    nested = "array(" + ", ".join("array(" + ", ".join(f"{c}L" if c > -(1 << 63) else "-9223372036854775807L - 1L" for c in g) + ")" for g in groups) + ")"
+        return F.lit(0).cast("long")
+    numbers = lambda g: "array(" + ", ".join(f"{c}L" if c > -(1 << 63) else "-9223372036854775807L - 1L" for c in g) + ")"
+    nested = "array(" + ", ".join(map(numbers, groups)) + ")"
     coarse = F.expr(f"greatest(size(filter({nested}, g -> g[0] <= k)), 1)")
-    return coarse * wide + F.size(F.filter(F.element_at(F.expr(nested), coarse), lambda c: c <= F.col("k"))) - wide
+    place = coarse * wide + F.size(F.filter(F.element_at(F.expr(nested), coarse), lambda c: c <= F.col("k"))) - wide
+    bucket = place.cast("long")
+    if max(times.values()) == 1:
+        return bucket
+    share = F.element_at(F.expr(numbers([times[c] for c in cuts])), place)
+    # The upper 31 bits of ``h`` in its signed order, scaled to the key's number of ranges.
+    part = F.shiftright((F.shiftright("h", 33) + (1 << 30)) * share, 31)
+    own = F.when(F.col("k") == F.element_at(F.expr(numbers(cuts)), place), part).otherwise(share)
+    return bucket * n + F.when((place > 0) & (share > 1), own).otherwise(F.lit(0).cast("long"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text``, its signatures ``own``, and both of the next document by ascending ``doc_id`` (after the last: the first).
 
-    Texts move once, to ranges of ids of equal row counts, and are sorted there.  The
-    first document of each range is sent, as a marked copy, to the end of the range before.
+    Texts move once, to ranges of ids (of ids and text hashes, where one id has many rows) of equal row counts, and are
+    sorted there.  The first document of each range is sent, as a marked copy, to the end of the range before.
     """
     spark = docs.sparkSession
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
+    base = base.withColumns({"k": F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")), "h": F.xxhash64("text")})
     # Several ranges to a partition: ranges are dealt out by hash, which evens out over many.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n *= max(1, min(16, 16_384 // n))
-    placed = base.withColumn("bucket", _buckets(base.select("k"), n).cast("int"))
-    heads = placed.groupBy("bucket").agg(F.min("k").alias("k"))
+    placed = base.withColumn("bucket", _buckets(base.select("k"), n))
+    heads = placed.groupBy("bucket").agg(F.min(F.struct("k", "h")).alias("first"))
     # One row per range: a window over all of them orders ranges, not documents.
     before = F.lag("bucket").over(Window.orderBy("bucket"))
     last = F.max("bucket").over(Window.partitionBy())
-    heads = heads.select("k", F.coalesce(before, last).alias("to"), F.when(before.isNull(), 1).otherwise(0).alias("wraps"))
-    copies = base.join(F.broadcast(heads), "k").select("doc_id", "text", "k", F.col("to").alias("bucket"), F.lit(1).alias("copy"))
-    rows = placed.withColumn("copy", F.lit(0)).select("doc_id", "text", "k", "bucket", "copy").union(copies)
+    heads = heads.select("first.*", F.coalesce(before, last).alias("to"))
+    # Rows of one id and one text are alike: one of them is enough.
+    copies = base.join(F.broadcast(heads), ["k", "h"]).groupBy("to").agg(F.min(F.struct("doc_id", "text", "k", "h")).alias("r"))
+    copies = copies.select("r.doc_id", "r.text", "r.k", "r.h", F.col("to").alias("bucket"), F.lit(1).alias("copy"))
+    rows = placed.withColumn("copy", F.lit(0)).select("doc_id", "text", "k", "h", "bucket", "copy").union(copies)
     # Signatures are made after the move, so that only texts are moved, and once per text.
     rows = with_signatures(rows.repartition("bucket"), "text", "own")
-    order = Window.partitionBy("bucket").orderBy("copy", "k", F.xxhash64("text"))
+    order = Window.partitionBy("bucket").orderBy("copy", "k", "h")
     return (rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order))
             .where("copy = 0").select("doc_id", "text", "own", "next_text", "next_own"))
 

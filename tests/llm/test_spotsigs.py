@@ -6,7 +6,7 @@ from edge import ROWS, edge, empty, wide
 from pyspark.sql import functions as F
 
 from conftest import SF001, plan_text
-from mapflow.llm.spotsigs import (ANCHORS, CHAIN, LEAST, RUN, length_class, likeness, near_classes, op10_spotsigs, with_next,
+from mapflow.llm.spotsigs import (_buckets, ANCHORS, CHAIN, LEAST, RUN, length_class, likeness, near_classes, op10_spotsigs, with_next,
                                   with_signatures)
 
 
@@ -123,3 +123,17 @@ def test_equal_texts_have_equal_signatures(spark):
     df = spark.createDataFrame([("The cat of the house, and a dog.",), ("the CAT of the house and a dog",)], "t string")
     a, b = with_signatures(df, "t", "s").select("s").collect()
     assert a.s == b.s and len(a.s) == 3
+
+
+def test_many_rows_of_one_id_fall_into_several_ranges(spark):
+    """A third of the rows have no id and a third share one: ranges stay even, and the order is that of id and hash."""
+    rows = [(None if i % 3 == 0 else 500 if i % 3 == 1 else i, f"the text {i} of some and other words {i * 7}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    keyed = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("h"))
+    sizes = [r["count"] for r in keyed.groupBy(_buckets(keyed.select("k"), 30).alias("b")).count().collect()]
+    assert len(sizes) >= 28 and max(sizes) <= 75
+    got = with_next(docs).collect()
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    line = sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], hashes[r[1]]))
+    want = {(a[0], a[1]): b[1] for a, b in zip(line, line[1:] + line[:1])}
+    assert len(got) == 900 and {(r.doc_id, r.text): r.next_text for r in got} == want
