@@ -7,11 +7,13 @@ pairs of fixed size; only the seeded strings are samples, and they weigh at leas
 what was counted.  A token's score is the log-likelihood ratio of the two per character, from
 the start of the token on; the cut lies between a histogram of the scores of all long tokens
 of the corpus and held-out seeded ones, and the same of caught values.  Tokens above it that
-touch no base span are added as spans of kind ``markov``.
+touch no base span are added as spans of kind ``markov``.  Two models of characters cannot tell a UUID from a key, so
+UUIDs, groups of digits, times and data behind ``base64,`` are left out by their written form.
 
 Null and empty texts have no spans; null ``doc_id`` is kept; repeated rows are
 scanned each; an empty table gives no rows (the models then rest on the seeded
-samples).  Very long texts are scanned whole.
+samples).  Very long texts are scanned whole.  Ties: spans at one place are in the order of
+their kinds; a score equal to the cut is ordinary.  Further columns are kept by ``redact`` and not read by ``scan_secrets``.
 """
 
 from __future__ import annotations
@@ -40,6 +42,13 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "markov")
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+#: Written forms that are public by what they are, however random their characters: UUIDs, groups of digits (versions, card
+#: and phone numbers), dates with times.  They are no tokens for the cut and the spans, and UUIDs teach no model.
+ORDINARY = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[vV]?[0-9]+(?:[-/_=+]+[0-9]+)*[-/_=+]*|"
+                      r"[0-9]{4}[-/]?[0-9]{2}[-/]?[0-9]{2}[T_-][0-9_-]*(?:Z|[+-][0-9]+)?")
+#: What encoded data, such as an image in a page, follows.
+DATA = "base64,"
+UUID_PART = re.compile(r"-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}")
 SPANS = ("doc_id long, n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string, "
          "found array<struct<kind:string,start:long,end:long,value_start:long,value_end:long>>")
 
@@ -241,7 +250,7 @@ def fit(docs: DataFrame, randoms: int = 4000, names: int = 20_000, seed: int = 1
             caught += caught_values(text, spans)
             for s in reversed(spans):
                 text = f"{text[:s[0]]} {text[s[2]:]}"
-            rest.append(text)
+            rest.append(TOKEN.sub(_unless_public, text) if DATA in text or UUID_PART.search(text) else text)
         return np.stack([pair_counts(caught), run_counts(rest)])
 
     caught, plain = summed(pairs, _STATES * _STATES)
@@ -272,15 +281,24 @@ def caught_values(text: str, spans: list[tuple[int, int, int, int, int]]) -> lis
     return [v for v in (_VALUE.sub("", text[s[3]:s[4]]) for s in spans) if len(v) >= 12 and len(set(v)) >= 6]
 
 
+def is_public(text: str, a: int, b: int) -> bool:
+    """Whether the token at ``a`` to ``b`` has an ordinary form or is encoded data."""
+    return ORDINARY.fullmatch(text, a, b) is not None or text[max(0, a - len(DATA)):a] == DATA
+
+
+def _unless_public(m: re.Match) -> str:
+    return " " if is_public(m.string, *m.span()) else m.group()
+
+
 def free_tokens(text: str, spans: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int]]:
-    """Places of the long tokens that touch no base span."""
+    """Places of the long tokens that touch no base span, but for ordinary forms and encoded data."""
     out, k = [], 0
     reach = 0  # furthest end of the spans that start before the token's end
     for m in TOKEN.finditer(text):
         a, b = m.span()
         while k < len(spans) and spans[k][0] < b:
             reach, k = max(reach, spans[k][2]), k + 1
-        if reach <= a:
+        if reach <= a and not is_public(text, a, b):
             out.append((a, b))
     return out
 

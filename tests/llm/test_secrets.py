@@ -111,3 +111,31 @@ def test_uncaught_secrets_do_not_lift_the_cut(spark):
 def test_pair_counts_of_texts_match_those_of_their_tokens(spark):
     for t in TEXTS + ["a", "é_x-1 " * 50]:
         assert (run_counts([t, t], step=7) == 2 * pair_counts(re.findall(r"[A-Za-z0-9+/_=-]+", t))).all()
+
+
+def test_planted_secrets_among_ordinary_forms(spark):
+    """Secrets that no base pattern catches, in documents full of names, UUIDs, times, versions and encoded data."""
+    rng = random.Random(21)
+    pick = lambda chars, n: "".join(rng.choices(chars, k=n))
+    low, dig = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    kinds = lambda n: (["ghp_" + pick(low + low.upper() + dig, 36) for _ in range(2 * n)]
+                       + ["xoxb-" + pick(low.upper() + dig, 24) for _ in range(n)]
+                       + [pick(low + low.upper() + dig + "+/", 40) for _ in range(2 * n)] + [pick(low.upper() + "234567", 32) for _ in range(n)])
+    keys = kinds(2)  # one long token in about a thousand
+    keys = [k for k in keys if not base_spans(k)]
+    hexed = lambda n: pick("0123456789abcdef", n)
+    ordinary = ["-".join(map(hexed, (8, 4, 4, 4, 12))) for _ in range(400)]
+    ordinary += [f"2023-{rng.randrange(1, 13):02}-05T10-22-{rng.randrange(60):02}-{rng.randrange(1000):03}Z" for _ in range(400)]
+    ordinary += ["-".join(pick(dig, 4) for _ in range(4)) for _ in range(400)]
+    ordinary += ["data:image/png;base64," + pick(low + low.upper() + dig + "+/", 60) for _ in range(400)]
+    ordinary += [t for t in identifiers([], 12_000, 31) if len(t) >= 16]
+    ordinary = [t for t in ordinary if not base_spans(t)]
+    rows = [(i, f"here is {t} and so on") for i, t in enumerate(keys + ordinary)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id for r in scan_secrets(docs).where("n_markov > 0").collect()}
+    hits = len([i for i in found if i < len(keys)])
+    m, fresh = fit(docs), kinds(500)
+    recall = (m.scores(fresh) > m.cut).mean()
+    print("planted", hits, "of", len(keys), "found", len(found), "of", len(rows), "fresh recall", recall)
+    assert hits >= 10 and recall >= 0.9
+    assert len(found) - hits <= 0.002 * len(ordinary), [rows[i][1] for i in found if i >= len(keys)][:9]
