@@ -27,7 +27,7 @@ from mapflow.operators import (Measure, Rollup, asof_join, assign_surrogate_keys
                                ordered_window, publish_view, recon_counts, recon_digest, recon_empty_probe, recon_except)
 from mapflow.plans import run_models, spec_job
 from mapflow.session import scratch_dir
-from mapflow.sources import catalog_columns, column_profile
+from mapflow.sources import catalog_columns, column_profile, schema_profile
 from mapflow.sources.partitions import PartitionedTable
 from mapflow.sources.store import remove_path
 from mapflow.streaming import stream_merge, stream_partitions, stream_rollup, stream_windows
@@ -541,6 +541,37 @@ def q_merge_chosen_key(spark, d):
     return run_models([dearer], reg, store, RUN)["DW.D_PART"]
 
 
+def q_merge_sheet_key(spark, d):
+    """Loaded twice by the key cell of the mapping sheet, where the names alone would tell the brand's code as the key."""
+    store = _store(spark)
+    reg = _registry(spark, d, store)
+    sheet = {"Source": {"Schema": "testdata", "Table Name": "part"}, "UNIQUE_KEY": "PART_NO , SIZE_NO",
+             "Target": {"Schema": "DW", "Table Name": "D_PART", "materialization": "incremental"},
+             "Columns": [{"Target Column": t, "Logic": x, "Source Table": "part"} for t, x in
+                         (("BRAND_CD", "p_brand"), ("PART_NO", "p_partkey"), ("SIZE_NO", "p_size"), ("PRICE", "p_retailprice"))]}
+    spec = ModelSpec.from_config(sheet)
+    run_models([spec], reg, store, RUN)
+    dearer = spec.with_(columns=spec.columns[:3] + (C("PRICE", "p_retailprice * 2", "part"),), where="p_brand <> 'Brand#1'")
+    return run_models([dearer], reg, store, RUN)["DW.D_PART"]
+
+
+def q_merge_kept_key(spark, d):
+    """The key declared for a table's first load stays its key when later mappings declare none, whatever their sheets say."""
+    store = _store(spark)
+    reg = _registry(spark, d, store)
+    spec = ModelSpec(source=TableRef("customer"), target="DW.D_CUSTOMER", materialization="incremental", unique_key=("CUST_NO",),
+                     columns=(C("SEG_CD", "c_mktsegment"), C("CUST_NO", "c_custkey"), C("BAL", "c_acctbal")), where="c_acctbal < 5000")
+    run_models([spec], reg, store, RUN)
+    later = spec.with_(unique_key=(), sheet_key=("SEG_CD",), where="c_acctbal > 0",
+                       columns=spec.columns[:2] + (C("BAL", "c_acctbal + 1"),))
+    return run_models([later], reg, store, RUN)["DW.D_CUSTOMER"]
+
+
+def q_schema_profile(spark, d):
+    """All tables of a schema: their columns in ordinal order with row and NULL counts."""
+    return schema_profile(_registry(spark, d), "testdata")
+
+
 def q_conform_rules(spark, d):
     """Conforming by name with renaming rules from source to target names."""
     return conform_by_name(_registry(spark, d).source("part"), ["PART_ID", "p_name", "LIST_PRICE", "P_SIZE", "NOTE"], "DW.D_PART", RUN,
@@ -731,6 +762,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_steps": q_job_steps,
     "group_by_config": q_group_by_config,
     "merge_chosen_key": q_merge_chosen_key,
+    "merge_sheet_key": q_merge_sheet_key,
+    "merge_kept_key": q_merge_kept_key,
+    "schema_profile": q_schema_profile,
     "conform_rules": q_conform_rules,
     "odd_names": q_odd_names,
     "column_profile": q_column_profile,
@@ -814,6 +848,15 @@ def _key_sql() -> str:
             "select 1 from t s where s.uniq and s.n < t.n and list_has_all(t.cols, s.cols))")
 
 
+def _schema_sql() -> str:
+    """Row and NULL counts of every column of every table, in the catalog's order."""
+    counts = " union all ".join(
+        f"select '{t}' as t, name, rows, value from (unpivot (select count(*) as rows, count(columns(*)) from {t}) "
+        "on columns(* exclude rows))" for t in TABLES)
+    return (f"with c as ({counts}) select 'TESTDATA' as TABLE_SCHEMA, upper(t) as TABLE_NAME, cast(ordinal_position as int) as ORDINAL_POSITION, "
+            "name as COLUMN_NAME, rows as ROW_CNT, rows - value as NULL_CNT from c join information_schema.columns on table_name = t and column_name = name")
+
+
 _ORACLE = {
     "customer_dimension": (
         "select source.c_custkey as CUST_ID, upper(source.c_name) as CUST_NM, n.n_name as NATION_NM, "
@@ -930,6 +973,13 @@ _ORACLE = {
     "merge_chosen_key": (
         "select p_name as PART_NM, p_partkey as PART_ID, case when p_size > 25 then p_retailprice + 1 else p_retailprice end as PRICE "
         "from part"),
+    "merge_sheet_key": (
+        "select p_brand as BRAND_CD, p_partkey as PART_NO, p_size as SIZE_NO, "
+        "case when p_brand <> 'Brand#1' then p_retailprice * 2 else p_retailprice end as PRICE from part"),
+    "merge_kept_key": (
+        "select c_mktsegment as SEG_CD, c_custkey as CUST_NO, case when c_acctbal > 0 then c_acctbal + 1 else c_acctbal end as BAL "
+        "from customer where c_acctbal > 0 or c_acctbal < 5000"),
+    "schema_profile": _schema_sql(),
     "conform_rules": (
         "select p_partkey as PART_ID, p_name as p_name, p_retailprice as LIST_PRICE, p_size as P_SIZE, '' as NOTE from part"),
     "column_profile": (

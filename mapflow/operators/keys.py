@@ -51,15 +51,14 @@ def choose_merge_key(columns: Sequence[str], declared: Sequence[str] | None = No
     return list(columns[:1])
 
 
-def with_merge_key(spec: ModelSpec, sheet_key: Sequence[str] | str | None = None,
-                   primary: Sequence[str] | None = None) -> ModelSpec:
+def with_merge_key(spec: ModelSpec, kept: Sequence[str] | None = None) -> ModelSpec:
     """An incremental spec with its merge key chosen by ``choose_merge_key``
-    over the target column names (declared keys win)."""
+    over the target column names.  Declared keys win, then ``kept`` ones (declared for an
+    earlier load of the table), then the sheet's."""
     if spec.materialization != "incremental":
         return spec
     names = [c.target for c in spec.columns if not c.is_artefact]
-    return spec.with_(unique_key=tuple(choose_merge_key(names, declared=spec.unique_key, sheet_key=sheet_key,
-                                                        primary=primary)))
+    return spec.with_(unique_key=tuple(choose_merge_key(names, spec.unique_key, kept, spec.sheet_key, spec.primary_key)))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "DUP_CNT",
@@ -91,12 +90,12 @@ def key_profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return int(row["rows"] or 0), int(row["dup"] or 0)
 
 
-def assert_unique_keys(df: DataFrame, keys: Sequence[str], sample: int = 5) -> None:
+def assert_unique_keys(df: DataFrame, keys: Sequence[str], sample: int = 5, what: str = "merge input") -> None:
     """Fail when a non-NULL key value occurs twice (NULL keys never match anyway)."""
     present = df.where(F.expr(" AND ".join(f"{quote(k)} IS NOT NULL" for k in keys))) if keys else df
     dups = duplicate_keys(present, keys).take(sample)
     if dups:
-        raise DuplicateKeyError(f"merge input has duplicate keys {list(keys)}, e.g. {[tuple(r) for r in dups]}")
+        raise DuplicateKeyError(f"{what} has duplicate keys {list(keys)}, e.g. {[tuple(r) for r in dups]}")
 
 
 def discover_keys(df: DataFrame, columns: Sequence[str] | None = None, max_size: int = 3, rsd: float = 0.02) -> list[list[str]]:

@@ -182,10 +182,12 @@ def load_with_surrogate_key(store: TableStore, table: str, df: DataFrame, sk_col
     return load_insert_by_name(store, table, df, sk_col, order_by)
 
 
-def materialize(spec: ModelSpec, df: DataFrame, store: TableStore, ctx: RunContext = RunContext()) -> DataFrame:
+def materialize(spec: ModelSpec, df: DataFrame, store: TableStore, ctx: RunContext = RunContext(),
+                tags: dict | None = None) -> DataFrame:
     """Load a built model the way its spec says; returns the table as stored.
 
-    A sequence column numbers the rows that are new to the table, in key order.
+    A sequence column numbers the rows that are new to the table, in key order.  ``tags`` are
+    committed with the version that a merge makes.
     """
     table = spec.target
     m = spec.materialization
@@ -200,6 +202,6 @@ def materialize(spec: ModelSpec, df: DataFrame, store: TableStore, ctx: RunConte
     if m == "incremental":
         if spec.unique_key:
             return load_merge(store, table, df, spec.unique_key, spec.update_columns, spec.exclusions,
-                              buckets=spec.buckets, sequence=sequence)
+                              buckets=spec.buckets, sequence=sequence, tags=tags)
         return load_append(store, table, df, sequence, spec.unique_key)
     raise ValueError(f"materialization {m!r} is not a table load")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.audit import RunContext
 from ..operators.delta import build_delta
-from ..operators.keys import with_merge_key
+from ..operators.keys import assert_unique_keys, with_merge_key
 from ..operators.load import materialize
 from ..operators.select import build_model
 from ..sources.registry import TableRegistry
@@ -55,13 +55,35 @@ def topo_order(specs: Sequence[ModelSpec]) -> list[ModelSpec]:
     return [by_name[n] for n in done]
 
 
+def merge_key(spec: ModelSpec, store: TableStore) -> tuple[ModelSpec, dict]:
+    """``spec`` with its merge key, and tags for the version that the merge will commit.
+
+    A declared key is kept with the table for later loads that declare none.  A key told from names alone is
+    trusted only after the table's rows are found unique by it: one ``groupBy``, not repeated while
+    the table's newest version is one that a merge by this key has made.
+    """
+    if spec.materialization != "incremental":
+        return spec, {}
+    now = store.snapshot(spec.target)
+    tags = now.tags if now else {}
+    keyed = with_merge_key(spec, tags.get("declared_key"))
+    key = list(keyed.unique_key)
+    if spec.unique_key:
+        return keyed, {"declared_key": key}
+    if tags.get("declared_key") or spec.sheet_key:
+        return keyed, {}
+    if now and tags.get("checked_key") != [key, now.version]:
+        assert_unique_keys(store.read(spec.target, now), key, what=f"table {spec.target}, whose key was chosen by name,")
+    return keyed, {"checked_key": [key, (now.version if now else 0) + 1]}
+
+
 def run_models(specs: Sequence[ModelSpec], registry: TableRegistry, store: TableStore | None = None,
                ctx: RunContext = RunContext()) -> dict[str, DataFrame]:
     """Build (and load) every model in dependency order; returns each output."""
     out: dict[str, DataFrame] = {}
     for spec in topo_order(specs):
         if store is not None:
-            spec = with_merge_key(spec)  # an incremental model always merges by some key
+            spec, tags = merge_key(spec, store)  # an incremental model always merges by some key
         if spec.delta and store is not None:
             # A replacing load empties its target first: every row of the model is new to it.
             current = store.read(spec.target) if store.exists(spec.target) and not spec.replaces else None
@@ -71,7 +93,7 @@ def run_models(specs: Sequence[ModelSpec], registry: TableRegistry, store: Table
         if spec.materialization != "view":
             if store is None:
                 raise ValueError(f"model {spec.target} loads a table but no store was given")
-            df = materialize(spec, df, store, ctx)
+            df = materialize(spec, df, store, ctx, tags)
         registry.register_ref(spec.target, df)
         out[spec.target.upper()] = df
     return out
@@ -107,10 +129,14 @@ def spec_job(spec: ModelSpec, registry: TableRegistry, store: TableStore, ctx: R
     """
     if unknown := set(steps) - {"build", "merge", "insert"}:
         raise ValueError(f"unknown steps {sorted(unknown)}")
-    keyed = with_merge_key(spec.with_(materialization="incremental"))
+
+    def merge() -> DataFrame:
+        keyed, tags = merge_key(spec.with_(materialization="incremental"), store)
+        return materialize(keyed, build_model(keyed, registry, ctx), store, ctx, tags)
+
     runs = {
         "build": lambda: run_models([spec], registry, store, ctx)[spec.target.upper()],
-        "merge": lambda: materialize(keyed, build_model(keyed, registry, ctx), store, ctx),
+        "merge": merge,
         "insert": lambda: materialize(spec.with_(materialization="insert"), build_model(spec, registry, ctx), store, ctx),
     }
     job = Job(spec.target)

@@ -1,4 +1,5 @@
-from .registry import TableRegistry, catalog_columns, column_profile
+from .registry import TableRegistry, catalog_columns, catalog_listing, column_profile, schema_profile
 from .store import CommitConflict, TableNotFound, TableStore
 
-__all__ = ["CommitConflict", "TableRegistry", "TableStore", "TableNotFound", "catalog_columns", "column_profile"]
+__all__ = ["CommitConflict", "TableRegistry", "TableStore", "TableNotFound", "catalog_columns", "catalog_listing",
+           "column_profile", "schema_profile"]

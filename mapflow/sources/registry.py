@@ -9,6 +9,7 @@ the table store, else a catalog table.  Names match case-insensitively.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,12 @@ class TableRegistry:
         self._refs[name.upper()] = df
         return self
 
+    def tables(self, schema: str, table: str | None = None) -> list[str]:
+        """Names of a schema's registered tables (or of one of them), in any letter case, ordered."""
+        start = schema.upper() + "."
+        return sorted(k for k in self._sources if k.startswith(start) and "." not in k[len(start):]
+                      and (table is None or k[len(start):] == table.upper()))
+
     # -- lookup ----------------------------------------------------------------
     def source(self, name: str) -> DataFrame:
         key = name.upper()
@@ -87,6 +94,32 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(per)).orderBy("ORDINAL_POSITION")
 
 
+def schema_profile(registry: TableRegistry, schema: str, table: str | None = None) -> DataFrame:
+    """``column_profile`` of every registered table of a schema, or of one: by table, then in ordinal order.
+
+    Each table is scanned once; no rows but the counts are shuffled.
+    """
+    names = registry.tables(schema, table)
+    if not names:
+        raise LookupError(f"no table {table or ''} is registered in schema {schema}")
+    parts = [column_profile(registry.source(n)).select(F.lit(schema.upper()).alias("TABLE_SCHEMA"),
+                                                       F.lit(n.split(".")[-1]).alias("TABLE_NAME"), "*") for n in names]
+    return reduce(DataFrame.unionByName, parts).orderBy("TABLE_NAME", "ORDINAL_POSITION")
+
+
+def catalog_listing(spark: SparkSession, schema: str, table: str | None = None) -> DataFrame:
+    """The columns of a catalog schema's tables and views (or of one), by table, then in ordinal order.
+
+    From the session's catalog alone; names match in any letter case, temporary views belong to no schema.
+    """
+    rows = [(schema.upper(), t.name.upper(), i, f.name, f.dataType.simpleString())
+            for t in spark.catalog.listTables(schema)
+            if not t.isTemporary and (table is None or t.name.upper() == table.upper())
+            for i, f in enumerate(spark.table(".".join("`" + p.replace("`", "``") + "`" for p in (schema, t.name))).schema.fields, 1)]
+    return (spark.createDataFrame(rows, "TABLE_SCHEMA string, TABLE_NAME string, ORDINAL_POSITION int, COLUMN_NAME string, DATA_TYPE string")
+            .coalesce(1).sortWithinPartitions("TABLE_NAME", "ORDINAL_POSITION"))
+
+
 def catalog_columns(spark: SparkSession, table: str | DataFrame) -> DataFrame:
     """A table's columns in ordinal order, as a DataFrame.
 

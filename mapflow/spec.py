@@ -9,6 +9,7 @@ mapping workbook (``Source`` / ``Target`` / ``Columns`` / ``DAG``).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -30,6 +31,11 @@ def _join_table(row: dict[str, Any]) -> "TableRef":
     return table
 
 
+def _key_names(cell: str | Iterable[str] | None) -> tuple[str, ...]:
+    """Column names of a key cell (comma separated) or list, without blanks."""
+    return tuple(k.strip() for k in (cell.split(",") if isinstance(cell, str) else cell or ()) if k and k.strip())
+
+
 def parse_grouping(text: str) -> tuple[tuple[str, ...], str, tuple[tuple[str, ...], ...]]:
     """Keys, kind and sets of a grouping cell: a list, ``ROLLUP (...)``, ``CUBE (...)`` or ``GROUPING SETS ((...), ...)``."""
     m = re.fullmatch(r"\s*(ROLLUP|CUBE|GROUPING\s+SETS)\s*\((.*)\)\s*", text, re.I | re.S)
@@ -101,6 +107,8 @@ class ModelSpec:
     derived: tuple[tuple[str, str], ...] = ()        # (name, logic) computed once per row, for the columns' logic to use
     materialization: str = "table"
     unique_key: tuple[str, ...] = ()
+    sheet_key: tuple[str, ...] = ()        # the mapping sheet's key cell: used where no key is declared or kept
+    primary_key: tuple[str, ...] = ()      # the target's primary key: used where no column name tells a key
     update_columns: tuple[str, ...] | None = None
     update_exclude: tuple[str, ...] | None = None
     delta: bool = False
@@ -119,7 +127,8 @@ class ModelSpec:
         if len(self.target.split(".")) != 2:
             raise ValueError(f"target must be SCHEMA.TABLE, got {self.target!r}")
         # A blank key is no key.
-        object.__setattr__(self, "unique_key", tuple(k.strip() for k in self.unique_key if k and k.strip()))
+        for name in ("unique_key", "sheet_key", "primary_key"):
+            object.__setattr__(self, name, _key_names(getattr(self, name)))
         if self.buckets is not None and (self.buckets < 1 or not self.unique_key):
             raise ValueError("buckets needs a positive count and a unique key to bucket by")
         if bool(self.grouping_sets) != (self.grouping == "sets"):
@@ -184,9 +193,6 @@ class ModelSpec:
                      j.get("Join Condition") or None, (j.get("Skew") or "auto").lower())
             for j in cfg.get("Joins", [])
         )
-        keys = tgt.get("unique_key") or []
-        if isinstance(keys, str):
-            keys = [k for k in keys.split(",")]
         dag = cfg.get("DAG") or {}
         dep_schemas, dep_objects = dag.get("Dependency Schema") or [], dag.get("Dependency Object") or []
         if len(dep_schemas) != len(dep_objects):
@@ -207,7 +213,9 @@ class ModelSpec:
             grouping_sets=sets,
             having=cfg.get("Having") or None,
             materialization=tgt.get("materialization") or "table",
-            unique_key=tuple(keys),
+            unique_key=_key_names(tgt.get("unique_key")),
+            sheet_key=_key_names(cfg.get("UNIQUE_KEY")),
+            primary_key=_key_names(tgt.get("primary_key")),
             update_exclude=tuple(exclude) if exclude is not None else None,
             delta=str(cfg.get("MINUS_LOGIC_REQUIRED", "N")).upper() in ("Y", "YES", "TRUE"),
             depends_on=deps,
