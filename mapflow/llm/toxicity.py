@@ -12,12 +12,16 @@ number per bucket, and a document's raw score is the highest window mean of its
 numbers.  Logistic calibration on labelled documents kept out of the fit turns it into
 a probability.
 
-The fit uses ``sample_docs`` labelled documents (the lowest hashes of their ids) as a
-bounded sample; only their ids, labels and words reach the driver.  Scoring covers all.
+The fit uses a sample of labelled documents, bounded twice: at most ``sample_docs`` of them
+(the lowest hashes of their ids) and, in that order, only as long as their words add up to ``sample_bytes``;
+a text of over a 64th of these bytes is scored like any other but not learnt from.  Only the
+sample's ids, labels and words reach the driver, so its memory is bounded however long texts are.
 
 Null and empty texts get the score of a text without toxic words.  Null ``doc_id``:
 scored, held out by the hash of the empty text, never trained on.  Repeated labels:
-toxic if any says so.  Repeated rows are scored each.  Empty tables: no rows, or a model
+toxic if any says so.  Repeated rows are scored each; rows that share an id teach once, with
+the least text.  Ties: ids of one hash are sampled by id; of equally toxic passages the first counts.
+Further columns of either table are not read.  Empty tables: no rows, or a model
 that knows nothing and gives the base rate.  Very long texts are scored whole.
 """
 
@@ -30,8 +34,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import doc_texts, map_arrow, table
+from mapflow.session import scratch_dir
+from mapflow.sources.store import remove_path
+
+from .common import doc_texts, map_arrow, stored, table
 
 WINDOW = 10
 BUCKETS = 1 << 18
@@ -262,8 +270,9 @@ def held_out() -> F.Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, **options) -> ToxicityModel:
-    """A model from at most ``sample_docs`` labelled documents that are not held out; a quarter of them calibrates."""
+def learnt_from(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, sample_bytes: int = 64 << 20) -> pa.Table:
+    """The sample that a fit learns from, one row per document by id: ``doc_id``, its ``words``, space-joined, and ``toxic``."""
+    spark = docs.sparkSession
     marked = (labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg(F.max("toxic").cast("int").alias("toxic")).where(~held_out()))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
@@ -273,10 +282,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, **options)
             packed = [b" ".join(plain_words(t)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(packed, pa.binary())], ["doc_id", "toxic", "words"])
 
-    joined = doc_texts(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
-    # A repeated document counts once, so the sample's bound holds for what is collected.
-    rows = (map_arrow(joined, pick, "doc_id long, toxic int, words binary").groupBy("doc_id")
-            .agg(F.min(F.struct("words", "toxic")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").toArrow())
+    joined = doc_texts(docs).join(F.broadcast(sample), "doc_id").where(F.octet_length("text") <= sample_bytes // 64)
+    # A repeated document counts once, so the sample's bounds hold for what is collected.
+    packed = (map_arrow(joined.select("doc_id", "text", "toxic"), pick, "doc_id long, toxic int, words binary").groupBy("doc_id")
+              .agg(F.min(F.struct("words", "toxic")).alias("r")).select("doc_id", "r.*"))
+    path = scratch_dir(spark, "toxicity-sample")
+    try:
+        packed = stored(packed, "toxicity-sample", path)
+        # One task adds up lengths: a number for each of at most ``sample_docs`` documents.
+        upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+        within = (packed.select("doc_id", F.sum(F.octet_length("words").cast("long")).over(upto).alias("total"))
+                  .where(F.col("total") <= sample_bytes).select("doc_id"))
+        return packed.join(F.broadcast(within), "doc_id").orderBy("doc_id").toArrow()
+    finally:
+        remove_path(spark, path)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, sample_bytes: int = 64 << 20, **options) -> ToxicityModel:
+    """A model from labelled documents that are not held out (see ``learnt_from``); a quarter of them calibrates."""
+    rows = learnt_from(docs, labels, sample_docs, sample_bytes)
     ids = rows.column("doc_id").to_pylist()
     return train((w.as_py().split() for w in rows.column("words")), rows.column("toxic").to_pylist(),
                  [hash_of(i) % 4 == 0 for i in ids], **options)

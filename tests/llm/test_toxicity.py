@@ -5,7 +5,10 @@ import numpy as np
 import pytest
 from edge import ROWS, edge, empty, labels, same, wide
 
-from mapflow.llm.toxicity import BUCKETS, best_window, fit, grams, hash_of, op1_toxicity, plain_words, score, train
+from pyspark.sql import functions as F
+
+from mapflow.llm.toxicity import (BUCKETS, best_window, fit, grams, hash_of, learnt_from, op1_toxicity, plain_words, score,
+                                   train)
 
 CHECK_S = "/root/testdata/sf0.1"
 BAD = "idiotic worthless disgusting pathetic moronic".split()
@@ -118,3 +121,25 @@ def test_labelled_texts_without_words(spark):
     marks = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     scores = {r.score for r in score(docs, fit(docs, marks)).collect()}
     assert len(scores) == 1 and 0 < scores.pop() < 1
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, "word " * (10 + i % 7)) for i in range(400)] + [(ids[0], "word " * 60)] * 50
+                                 + [(401, "long " * 100_000), (None, "word")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(402)] * 2, "doc_id long, toxic int")
+    length = {i: 5 * (10 + i % 7) - 1 for i in ids}
+    everything = learnt_from(docs, marks)
+    assert everything.column("doc_id").to_pylist() == sorted([*ids, *([401] if zlib.crc32(b"401") % 4 != 2 else [])])
+    assert len(learnt_from(docs, marks, sample_docs=25)) == 25
+    order = [r.doc_id for r in spark.createDataFrame([(i,) for i in ids], "doc_id long").orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    few = learnt_from(docs, marks, sample_bytes=6400)  # a 64th is 100 bytes: the long text is left out, not those before it
+    total, taken = 0, []
+    for i in order:
+        total += length[i]
+        if total > 6400:
+            break
+        taken.append(i)
+    assert 0 < len(taken) < len(ids) and few.column("doc_id").to_pylist() == sorted(taken)
+    assert sum(map(len, few.column("words").to_pylist())) <= 6400
+    assert all(0 <= r.score <= 1 for r in score(docs, fit(docs, marks, sample_bytes=6400)).collect())
