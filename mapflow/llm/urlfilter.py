@@ -13,7 +13,8 @@ split by digest, and a worker touches only the pages its digests fall on.  The f
 go to the executors through Spark's file distribution.
 
 Null urls and urls without ``://``: empty host and path, no rule, allowed.  Null
-``page_id``: kept.  Repeated rows are judged each.  Empty table: no rows.
+``page_id``: kept.  Repeated rows are judged each.  Empty table: no rows.  Ties: the longest
+rule that fits decides, of equally long ones that of the longer host.  Further columns are not read and never clash.
 """
 
 from __future__ import annotations
