@@ -673,11 +673,12 @@ def q_rollup_kept(spark, d):
     events = _registry(spark, d).source("events")
     landing = scratch_dir(spark, "landing-rollup")
     events.repartitionByRange(4, "ts").write.parquet(landing)
+    files = len(spark.read.parquet(landing).inputFiles())  # four batches, into however many files the cluster writes
     value = "cast(value as decimal(18,4))"
     kept = Rollup(spark, scratch_dir(spark, "rollup"), ["event_type", "user_id"],
                   [Measure("EVENT_CNT", "count"), Measure("VALUE_SUM", "sum", value), Measure("VALUE_MIN", "min", "value"),
                    Measure("VALUE_MAX", "max", "value"), Measure("LAST_TS", "max", "ts")], ["event_type"])
-    stream_rollup(spark, landing, events.schema, kept, max_files_per_trigger=1,
+    stream_rollup(spark, landing, events.schema, kept, max_files_per_trigger=max(1, -(-files // 4)),
                   checkpoint_location=scratch_dir(spark, "stream-rollup")).awaitTermination()
     types = kept.roll_up(["event_type"]).withColumn("user_id", F.lit(None).cast("long"))
     return kept.read().unionByName(types).withColumn("VALUE_SUM", F.col("VALUE_SUM").cast("double"))

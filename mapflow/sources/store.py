@@ -9,7 +9,9 @@ before leaves nothing a reader sees.
 
 A version names the one it was made from.  If another load has committed in between,
 the commit fails with ``CommitConflict`` instead of losing that load's rows.  Commits
-rename a finished file into place, which is atomic on HDFS and local disks.
+rename a finished file into place, which is atomic on HDFS and local disks.  Object stores copy
+and delete instead and do not refuse an existing name: two loads that commit to one table within
+that moment may both succeed there, and the later file stands.  Keep the root on HDFS, or loads into one table apart.
 
 A table may be *bucketed* by its merge key (``bucket_by=(keys, n)``; later writes keep
 it).  A version of one part is then read through a catalog entry that declares the
