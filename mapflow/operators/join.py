@@ -30,7 +30,7 @@ from functools import reduce
 from ..functions.expressions import qualify_join_lhs, rewrite_main
 from ..spec import JoinSpec
 from .condition import analyse
-from .range_join import RangeMatch, bounds_of
+from .range_join import RangeMatch, bounds_of, without_overlap
 
 # Join words a mapping may use, and the Spark join type of each.
 JOIN_TYPES = {
@@ -170,13 +170,8 @@ class Match:
             return self.sides[0].join(self.sides[1], F.expr(self.text), "inner")
         if self.kind == "either":
             return reduce(DataFrame.union, [m.inner() for m in self.once])
-        return reduce(DataFrame.union, [self._through_pairs(m) for m in self.matches])
-
-    def _through_pairs(self, m: RangeMatch) -> DataFrame:
-        pairs = m.pairs()
-        on_left, on_right = (m.on_span, m.on_point) if m.bounds.flipped else (m.on_point, m.on_span)
-        joined = self.narrow[0].join(pairs, on_left(pairs)).join(self.narrow[1], on_right(pairs)).where(F.expr(self.text))
-        return joined.drop(*pairs.columns)
+        both = " AND ".join(f"({p})" for p in self.cond.parts if p not in (*self.cond.left_only, *self.cond.right_only))
+        return reduce(DataFrame.union, [m.meet(both) for m in self.matches])
 
     def unmatched(self, side: int) -> DataFrame:
         """Rows of the left (0) or right (1) side that meet none of the other's."""
@@ -213,6 +208,8 @@ class Match:
             # The sorted order says which values are matched at all; the pairs are not needed.
             met = m.points.where("__covered") if own_is_point else m.spans
             return own.join(met, (m.on_point if own_is_point else m.on_span)(met) & own_only, "left_anti")
+        if len(self.matches) == 2 and not self.cond.residual and len(self.cond.ranges) == 2:
+            return without_overlap(own, other, self.cond, side, own_only)
         for m in self.matches:
             pairs = m.pairs()
             own_is_point = m.bounds.flipped == bool(side)

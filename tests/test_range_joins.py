@@ -11,6 +11,7 @@ from conftest import plan_text
 from mapflow import JoinSpec, TableRef
 from mapflow.operators.condition import analyse, conjuncts, disjuncts
 from mapflow.operators.join import JoinError, Match, apply_join
+from mapflow.session import checkpoint_root
 
 HOWS = {"INNER": "inner", "LEFT": "left", "RIGHT": "right", "FULL": "full outer"}
 
@@ -148,3 +149,61 @@ def test_parts_of_conditions(spark):
     assert c.right_only == ["coalesce(j.w, 0) = 3"] and c.mixed == ["source.w <> j.w"]
     with pytest.raises(JoinError):
         Match(left, right.alias("j"), "source.w <> j.w or source.k = j.k")
+
+
+def stored_rows(spark, since):
+    """Rows in the folders that joins have written under the checkpoint folder after those of ``since``."""
+    import os
+    top = f"{checkpoint_root(spark).removeprefix('file:')}/mapflow"
+    new = {x for x in os.listdir(top) if x.startswith("range-")} - since if os.path.isdir(top) else set()
+    return new, sum(spark.read.parquet(f"{top}/{x}").count() for x in new)
+
+
+def stages_of(df):
+    """Rows that each exchange of an executed plan has written."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        kind = p.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(p.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                found.append(p.metrics().apply("shuffleRecordsWritten").value())
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+    return found
+
+
+@pytest.mark.parametrize("how,cond", [
+    ("FULL", "source.x <= j.hi and source.x + 50 >= j.lo"), ("LEFT", "source.x >= j.lo and source.x < j.hi")])
+def test_pairs_are_neither_stored_nor_sent(spark, how, cond):
+    # 4,000 rows a side, all values different, an interval holds 150 points or so: some 600,000 pairs.
+    left = spark.range(4000).selectExpr("id", "id * 7 % 4003 as x").alias("source")
+    right = spark.range(4000).selectExpr("id as jd", "id * 11 % 4003 as lo", "id * 11 % 4003 + 150 as hi")
+    since, _ = stored_rows(spark, set())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = apply_join(left, right, JoinSpec(how, TableRef("J"), "j", cond)).select("id", "jd", "x")
+        rows = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    con = duckdb.connect()
+    con.execute("create table a as select id, id * 7 % 4003 as x from range(4000) t(id)")
+    con.execute("create table b as select id as jd, id * 11 % 4003 as lo, id * 11 % 4003 + 150 as hi from range(4000) t(id)")
+    assert sorted(map(tuple, rows), key=repr) == sorted(con.execute(
+        f"select id, jd, x from a source {HOWS[how]} join b j on {cond}").fetchall(), key=repr)
+    assert len(rows) > 500_000
+    assert stored_rows(spark, since)[1] < 120_000
+    sent = stages_of(out)
+    assert sent and sum(sent) < 300_000
+
+
+@pytest.mark.parametrize("cond", [
+    "source.x <= j.hi and source.w * 20 >= j.lo",
+    "source.x < j.hi and source.w * 20 > j.lo and source.k <=> j.k and j.w > 5",
+    "source.x <= j.hi and source.w * 20 > j.lo and source.k = j.k and source.w > 10"])
+def test_overlaps_of_inverted_intervals(spark, cond):
+    points, spans = sides(300, 250, 5)
+    assert got(spark, points, spans, "FULL", cond) == want(points, spans, "FULL", cond.replace("<=>", "is not distinct from"))
